@@ -2,7 +2,7 @@
 counted vote patterns of the texts that pass the base estimates each rule's accuracy; the posterior probability of good text decides.
 
 All row work is built-in expressions on one text at a time, so nothing but the pattern counts is shuffled: at most
-3 ** 8 patterns, whatever the input, reach the driver, where EM runs on them in plain Python; the posteriors go back as
+3 ** 9 patterns, whatever the input, reach the driver, where EM runs on them in plain Python; the posteriors go back as
 a table of the same bound.
 """
 
@@ -29,12 +29,13 @@ RULES = {
     "repeat_words": ("20 * n_repeat_words <= n_words", "5 * n_repeat_words > n_words"),
     "dup_lines": ("n_dup_lines = 0", "n_lines > 3 AND 2 * n_dup_lines > n_lines"),
     "stutter": ("20 * n_stutter < n_words", "10 * n_stutter > 3 * n_words"),
-    "letters": ("10 * n_letters >= 7 * word_chars", "4 * n_letters < word_chars"),
+    "symbol_words": ("20 * n_symbol_words < n_words", "5 * n_symbol_words > n_words"),
+    "letters": ("10 * n_letters >= 8 * word_chars", "4 * n_letters < 3 * word_chars AND n_words > 30"),
     "sentences": ("n_stops > 0 AND 80 * n_stops >= n_words", "n_stops = 0 AND n_words > 200"),
     "digits": ("20 * n_digits < word_chars", "2 * n_digits > word_chars"),
 }
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-OWN = (*BASE, "quality", "n_lines", "n_letters", "n_digits", "n_stops", "n_stutter", "_words", "_text", *(f"vote_{r}" for r in RULES))
+OWN = (*BASE, "quality", "n_lines", "n_letters", "n_digits", "n_stops", "n_stutter", "n_symbol_words", "_words", "_text", *(f"vote_{r}" for r in RULES))
 
 
 def _let(value: Column, body) -> Column:
@@ -79,7 +80,7 @@ def measure(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike("[^\\x20\\x09-\\x0D]"))
     split = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+", -1), lambda w: w != "")
     per_text = _let(
-        split, lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).alias("n_repeat_words"), stutters(w).alias("n_stutter"))
+        split, lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).alias("n_repeat_words"), stutters(w).alias("n_stutter"), F.size(F.filter(w, lambda x: x.rlike("[#*$%&|<>]"))).cast("long").alias("n_symbol_words"))
     )
     per_line = _let(
         lines, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))
@@ -96,7 +97,7 @@ def measure(docs: DataFrame) -> DataFrame:
                 "n_stops": kept("[^.!?。]+"),
             }
         )
-        .withColumns({"n_words": F.col("_words.n_words"), "n_repeat_words": F.col("_words.n_repeat_words"), "n_stutter": F.col("_words.n_stutter"), "n_lines": F.col("_text.n_lines"), "n_dup_lines": F.col("_text.n_dup_lines")})
+        .withColumns({"n_words": F.col("_words.n_words"), "n_repeat_words": F.col("_words.n_repeat_words"), "n_stutter": F.col("_words.n_stutter"), "n_symbol_words": F.col("_words.n_symbol_words"), "n_lines": F.col("_text.n_lines"), "n_dup_lines": F.col("_text.n_dup_lines")})
         .drop("_words", "_text")
     )
 
@@ -114,7 +115,7 @@ def fit(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 50) -> tuple[
     the latent class means; ten pseudo-votes at 0.98 and at 0.4 smooth the accuracies, ten texts the share.
     """
     m = len(RULES)
-    guess = [(0.98 if min(vote) >= 0 else 0.1) for vote, _ in patterns]
+    guess = [(0.998 if min(vote) >= 0 else 0.02) for vote, _ in patterns]
     share, right = 0.9, [(0.98, 0.4)] * m
     for _ in range(rounds):
         total = sum(n for _, n in patterns)
@@ -155,7 +156,7 @@ def judge_quality(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     names = [f"vote_{r}" for r in RULES]
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     voted = votes(measure(docs)).withColumn("base_failed", failed)
-    counted = votes(measure(docs.select("text"))).where(~failed).groupBy(*names).count().collect()  # at most 3 ** 8 rows
+    counted = votes(measure(docs.select("text"))).where(~failed).groupBy(*names).count().collect()  # at most 3 ** 9 rows
     share, right = fit([(tuple(r[n] for n in names), r["count"]) for r in counted])
     rows = [(*(r[n] for n in names), posterior(tuple(r[n] for n in names), share, right)) for r in counted]
     schema = T.StructType([*(T.StructField(n, T.IntegerType()) for n in names), T.StructField("quality", T.DoubleType())])
