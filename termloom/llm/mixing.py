@@ -112,7 +112,7 @@ def op5_mixing(spark, sf_dir: str) -> DataFrame:
     return (
         plan_mix(docs)
         .select("doc_id", "size", "source_size", "target", "taken", "position")
-        .orderBy(F.col("position").asc_nulls_last())
+        .orderBy(F.col("position").asc_nulls_last(), "doc_id")
     )
 
 

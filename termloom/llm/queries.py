@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from termloom.llm import mixing, quality, sharding
+from termloom.llm import mixing, quality, sharding, tokens
 
 
 def queries() -> dict:
     return {
         "op5_mixing": mixing.op5_mixing,
         "op6_sharding": sharding.op6_sharding,
+        "op7_token_counts": tokens.op7_token_counts,
         "op10_quality": quality.op10_quality,
     }
 
