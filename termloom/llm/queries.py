@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from termloom.llm import mixing, quality, sharding, tokens, toxicity
+from termloom.llm import mixing, quality, sharding, simhash, tokens, toxicity
 
 
 def queries() -> dict:
     return {
+        "op4_simhash": simhash.op4_simhash,
         "op5_mixing": mixing.op5_mixing,
         "op6_sharding": sharding.op6_sharding,
         "op7_token_counts": tokens.op7_token_counts,
