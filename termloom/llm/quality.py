@@ -2,7 +2,7 @@
 counted vote patterns of the texts that pass the base estimates each rule's accuracy; the posterior probability of good text decides.
 
 All row work is built-in expressions on one text at a time, so nothing but the pattern counts is shuffled: at most
-3 ** 9 patterns, whatever the input, reach the driver, where EM runs on them in plain Python; the posteriors go back as
+3 ** 8 patterns, whatever the input, reach the driver, where EM runs on them in plain Python; the posteriors go back as
 a table of the same bound.
 """
 
@@ -12,12 +12,10 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from termloom.llm.common import fresh
-from termloom.runtime import table
+from termloom.runtime import settle, table
 
-SYMBOLS = "[^#*$%&|<>]"
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -28,14 +26,13 @@ RULES = {
     "symbols": ("50 * n_symbols < n_words", "4 * n_symbols > n_words"),
     "repeat_words": ("20 * n_repeat_words <= n_words", "5 * n_repeat_words > n_words"),
     "dup_lines": ("n_dup_lines = 0", "n_lines > 3 AND 2 * n_dup_lines > n_lines"),
-    "stutter": ("20 * n_stutter < n_words", "10 * n_stutter > 3 * n_words"),
     "symbol_words": ("20 * n_symbol_words < n_words", "5 * n_symbol_words > n_words"),
-    "letters": ("10 * n_letters >= 8 * word_chars", "4 * n_letters < 3 * word_chars AND n_words > 30"),
+    "letters": ("10 * n_other <= 2 * word_chars", "4 * n_other > word_chars AND n_words > 30"),
     "sentences": ("n_stops > 0 AND 80 * n_stops >= n_words", "n_stops = 0 AND n_words > 200"),
     "digits": ("20 * n_digits < word_chars", "2 * n_digits > word_chars"),
 }
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-OWN = (*BASE, "quality", "n_lines", "n_letters", "n_digits", "n_stops", "n_stutter", "n_symbol_words", "_words", "_text", *(f"vote_{r}" for r in RULES))
+OWN = (*BASE, "quality", "n_lines", "n_other", "n_digits", "n_stops", "n_symbol_words", "_words", "_text", *(f"vote_{r}" for r in RULES))
 
 
 def _let(value: Column, body) -> Column:
@@ -46,41 +43,46 @@ def _let(value: Column, body) -> Column:
 def repeated_words(words: Column) -> Column:
     """Words inside windows of five that occur twice or more in the text, the first included.
 
-    Windows are hashed to 64 bits and sorted with their place; equal neighbours are repeats; their places, sorted, cover
-    five words each, less what the next one covers too. n log n for any text.
+    Windows are hashed to 64 bits. If none is equal to another, that is all; else they are sorted with their places, equal
+    neighbours are repeats, and their places, sorted, cover five words each, less what the next one covers too.
+    n log n for any text.
     """
 
-    def windows(w: Column) -> Column:
-        gram = lambda i: F.struct(F.xxhash64(*(F.get(w, i + k) for k in range(WINDOW))).alias("h"), i.alias("i"))
-        return F.array_sort(F.transform(F.sequence(F.lit(0), F.size(w) - WINDOW), gram))
+    def places(h: Column) -> Column:
+        g = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
 
-    def places(g: Column) -> Column:
-        same = lambda i, j: F.coalesce(F.get(g, i)["h"] == F.get(g, j)["h"], F.lit(False))
-        twin = F.filter(g, lambda x, k: same(k, k + 1) | ((k > 0) & same(k, F.greatest(k - 1, F.lit(0)))))
-        return F.array_sort(F.transform(twin, lambda x: x["i"]))
+        def twins(g: Column) -> Column:
+            same = lambda i, j: F.coalesce(F.get(g, i)["h"] == F.get(g, j)["h"], F.lit(False))
+            return F.filter(g, lambda x, k: same(k, k + 1) | ((k > 0) & same(k, F.greatest(k - 1, F.lit(0)))))
+
+        return F.array_sort(F.transform(_let(g, twins), lambda x: x["i"]))
 
     def covered(p: Column) -> Column:
         gap = lambda x, k: F.least(F.lit(WINDOW), F.coalesce(F.get(p, k + 1) - x, F.lit(WINDOW)))
         return F.aggregate(F.transform(p, gap), F.lit(0), lambda a, x: a + x)
 
-    whole = _let(words, lambda w: F.when(F.size(w) > WINDOW, _let(windows(w), lambda g: _let(places(g), covered))).otherwise(F.lit(0)))
-    return whole.cast("long")
+    def counted(h: Column) -> Column:
+        return F.when(F.size(F.array_distinct(h)) < F.size(h), _let(places(h), covered)).otherwise(F.lit(0))
 
+    def hashes(w: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(w) - WINDOW), lambda i: F.xxhash64(*(F.get(w, i + k) for k in range(WINDOW))))
 
-def stutters(words: Column) -> Column:
-    """Words equal to the word before."""
-    again = F.filter(words, lambda w, k: F.coalesce(w == F.get(words, k - 1), F.lit(False)))
-    return F.size(again).cast("long")
+    return F.when(F.size(words) > WINDOW, _let(hashes(words), counted)).otherwise(F.lit(0)).cast("long")
 
 
 def measure(docs: DataFrame) -> DataFrame:
     """Add the base columns and the counts that the rules read."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    kept = lambda pattern: F.length(F.regexp_replace(text, pattern, "")).cast("long")
+    count = lambda pattern: F.regexp_count(text, F.lit(pattern)).cast("long")
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike("[^\\x20\\x09-\\x0D]"))
-    split = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+", -1), lambda w: w != "")
+    split = F.array_remove(F.split(text, "[\\x20\\x09-\\x0D]+", -1), "")
     per_text = _let(
-        split, lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).alias("n_repeat_words"), stutters(w).alias("n_stutter"), F.size(F.filter(w, lambda x: x.rlike("[#*$%&|<>]"))).cast("long").alias("n_symbol_words"))
+        split,
+        lambda w: F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+            repeated_words(w).alias("n_repeat_words"),
+        ),
     )
     per_line = _let(
         lines, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))
@@ -90,14 +92,14 @@ def measure(docs: DataFrame) -> DataFrame:
         .withColumn("_text", per_line)
         .withColumns(
             {
-                "word_chars": kept("[\\x20\\x09-\\x0D]+"),
-                "n_symbols": kept(SYMBOLS + "+"),
-                "n_letters": kept("\\P{L}+"),
-                "n_digits": kept("[^0-9]+"),
-                "n_stops": kept("[^.!?。]+"),
+                "n_symbols": count("[#*$%&|<>]"),
+                "n_symbol_words": count("[#*$%&|<>][^\\x20\\x09-\\x0D]*"),
+                "n_other": count("[^\\p{L}\\x20\\x09-\\x0D]"),
+                "n_digits": count("[0-9]"),
+                "n_stops": count("[.!?。]"),
             }
         )
-        .withColumns({"n_words": F.col("_words.n_words"), "n_repeat_words": F.col("_words.n_repeat_words"), "n_stutter": F.col("_words.n_stutter"), "n_symbol_words": F.col("_words.n_symbol_words"), "n_lines": F.col("_text.n_lines"), "n_dup_lines": F.col("_text.n_dup_lines")})
+        .select("*", "_words.*", "_text.*")
         .drop("_words", "_text")
     )
 
@@ -145,22 +147,24 @@ def posterior(vote: tuple[int, ...], share: float, right: list[tuple[float, floa
     return 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
 
 
-def judge_quality(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def judge_quality(docs: DataFrame, threshold: float = THRESHOLD, carry_text: bool = True) -> DataFrame:
     """Add the base columns, the rules' votes, ``quality`` (the posterior) and ``kept`` to every row.
 
     ``quality`` is null where the base failed and no passing text has the same votes. Null and empty texts have no words
-    and fail the base. An empty table gives an empty table. Rows equal in text are
-    equal in result. Extra columns pass through; names of the operator's own raise.
+    and fail the base. An empty table gives an empty table. Rows equal in text are equal in result. Extra columns pass
+    through; names of the operator's own raise. The measured rows are settled, without ``text`` unless it is carried.
     """
     fresh(docs, *OWN)
     names = [f"vote_{r}" for r in RULES]
+    measured = measure(docs) if carry_text else measure(docs).drop("text")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    voted = votes(measure(docs)).withColumn("base_failed", failed)
-    counted = votes(measure(docs.select("text"))).where(~failed).groupBy(*names).count().collect()  # at most 3 ** 9 rows
+    voted = settle(votes(measured).withColumn("base_failed", failed), "measured")
+    counted = voted.where("NOT base_failed").groupBy(*names).count().collect()  # at most 3 ** 8 rows
     share, right = fit([(tuple(r[n] for n in names), r["count"]) for r in counted])
     rows = [(*(r[n] for n in names), posterior(tuple(r[n] for n in names), share, right)) for r in counted]
-    schema = T.StructType([*(T.StructField(n, T.IntegerType()) for n in names), T.StructField("quality", T.DoubleType())])
-    verdicts = docs.sparkSession.createDataFrame(rows, schema)
+    values = ", ".join(f"({', '.join(map(str, r[:-1]))}, {r[-1]!r}D)" for r in rows)
+    of = f"VALUES {values}" if rows else f"SELECT {', '.join(['0'] * len(names))}, 0D WHERE false"
+    verdicts = docs.sparkSession.sql(of).toDF(*names, "quality")
     return voted.join(F.broadcast(verdicts), names, "left").withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(F.col("quality") >= threshold, F.lit(False))
     )
@@ -168,4 +172,4 @@ def judge_quality(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def op10_quality(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return judge_quality(docs).select("doc_id", *BASE, "quality")
+    return judge_quality(docs, carry_text=False).select("doc_id", *BASE, "quality")
