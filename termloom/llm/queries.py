@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from termloom.llm import mixing, quality, sharding, simhash, tokens, toxicity
+from termloom.llm import decontamination, mixing, quality, sharding, simhash, tokens, toxicity
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op5_mixing": mixing.op5_mixing,
         "op6_sharding": sharding.op6_sharding,
         "op7_token_counts": tokens.op7_token_counts,
+        "op8_decontamination": decontamination.op8_decontamination,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_quality": quality.op10_quality,
     }
