@@ -1,7 +1,7 @@
 """Toxicity: a linear classifier of character n-grams scaled by naive Bayes log-count ratios.
 
 Training reads a bounded sample of the labelled rows outside the held-out quarter: up to ``SAMPLE`` rows of each label, by
-hash of the id, their whole texts hashed to n-gram sets on the executors. The ratio of a feature is
+hash of the id, their whole texts hashed to n-grams and counted on the executors. The ratio of a feature is
 log(share of toxic texts with it / share of others with it), smoothed; features in few texts or without evidence go.
 A logistic regression on the scaled features, rows weighted back to the labels' true shares, gives the weights.
 
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.llm.common import fresh, held_out
-from termloom.runtime import table
+from termloom.runtime import settle, table
 
 GRAMS = (4, 5, 6)
 BITS = 22
@@ -30,6 +30,8 @@ MIN_TEXTS = 3
 #: Features whose log-likelihood ratio (2 sum o log o/e of the 2 x 2 table) is below this tell no label apart.
 MIN_EVIDENCE = 18.0
 DECAY = 3e-4
+#: Most features a model has.
+FEATURES = 20_000
 THRESHOLD = 0.3
 MODULUS = 4
 #: Characters hashed at once; longer texts are taken in overlapping pieces.
@@ -104,40 +106,29 @@ class Model:
             out[np.array(group)] += add
 
 
-def _evidence(a: np.ndarray, df: np.ndarray, pos: int, n: int) -> np.ndarray:
-    """The G statistic of each feature against the label."""
-    g = np.zeros(len(df))
-    for o, e in (
-        (a, df * (pos / n)),
-        (df - a, df * (1 - pos / n)),
-        (pos - a, (n - df) * (pos / n)),
-        (n - pos - df + a, (n - df) * (1 - pos / n)),
-    ):
-        g += np.where(o > 0, 2 * o * np.log(np.maximum(o, 1e-9) / np.maximum(e, 1e-9)), 0)
-    return g
+def evidence(pos: int, n: int):
+    """The G statistic of a feature against the label, over ``a`` (toxic texts with the feature) and ``df`` (all texts with it)."""
+    cells = [
+        ("a", f"df * {pos / n!r}D"),
+        ("(df - a)", f"df * {1 - pos / n!r}D"),
+        (f"({pos} - a)", f"({n} - df) * {pos / n!r}D"),
+        (f"({n - pos} - df + a)", f"({n} - df) * {1 - pos / n!r}D"),
+    ]
+    return F.expr(" + ".join(f"CASE WHEN {o} > 0 THEN 2D * {o} * ln({o} / ({e})) ELSE 0D END" for o, e in cells))
 
 
-def fit(rows: list[np.ndarray], toxic: np.ndarray, prior: float | None = None, rounds: int = 150) -> Model:
-    """The classifier from feature sets and 0/1 labels; ``prior`` is the true share of label 1.
+def fit(rows: list[np.ndarray], toxic: np.ndarray, index: np.ndarray, a: np.ndarray, df: np.ndarray, prior: float, rounds: int = 150) -> Model:
+    """The classifier from each text's places in ``index``, 0/1 labels, the features' counts and label 1's true share.
 
-    Without rows of both labels it scores every text with the prior (0 if unknown).
+    Without rows of both labels it scores every text with the prior.
     """
     n, pos = len(rows), int(toxic.sum()) if len(rows) else 0
-    prior = (pos / n if n else 0.0) if prior is None else prior
     if not 0 < pos < n:
         p = min(max(prior, 1e-6), 1 - 1e-6)
         return Model(np.empty(0), np.empty(0), float(np.log(p / (1 - p))))
-    lengths = np.array([len(r) for r in rows])
-    cols, text = np.concatenate(rows).astype(np.int64), np.repeat(np.arange(n), lengths)
-    with_pos = np.bincount(cols[toxic[text] == 1], minlength=1 << BITS)
-    with_all = np.bincount(cols, minlength=1 << BITS)
-    ratio = np.log((with_pos + 0.5) / (pos + 1)) - np.log((with_all - with_pos + 0.5) / (n - pos + 1))
-    index = np.flatnonzero((with_all >= MIN_TEXTS) & (_evidence(with_pos, with_all, pos, n) >= MIN_EVIDENCE))
-    slot = np.full(1 << BITS, -1, dtype=np.int64)
-    slot[index] = np.arange(len(index))
-    kept = slot[cols] >= 0
-    cols, text = slot[cols[kept]], text[kept]
-    value = ratio[index][cols]
+    cols, text = np.concatenate(rows).astype(np.int64), np.repeat(np.arange(n), [len(r) for r in rows])
+    ratio = np.log((a + 0.5) / (pos + 1)) - np.log((df - a + 0.5) / (n - pos + 1))
+    value = ratio[cols]
     share = np.where(toxic == 1, prior / pos, (1 - prior) / (n - pos))
     u, bias = np.zeros(len(index)), float(np.log(prior / (1 - prior)))
     m, v, step, decay = np.zeros(len(index) + 1), np.zeros(len(index) + 1), 0.05, DECAY
@@ -151,11 +142,28 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, prior: float | None = None, r
     return Model(index, u * ratio[index], bias)
 
 
-def _feature_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _feature_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For each feature the texts of this task that have it, toxic ones and all."""
+    a, df = np.zeros(1 << BITS, dtype=np.int32), np.zeros(1 << BITS, dtype=np.int32)
     for b in batches:
-        for lo in range(0, len(b), 64):
-            part = b.iloc[lo : lo + 64]
-            yield pd.DataFrame({"toxic": part["toxic"], "grams": [features(t).astype("<u4").tobytes() for t in part["text"]]})
+        for toxic, text in zip(b["toxic"], b["text"], strict=True):
+            found = features(text)
+            df[found] += 1
+            if toxic:
+                a[found] += 1
+    at = np.flatnonzero(df)
+    for lo in range(0, len(at), 100_000):
+        part = at[lo : lo + 100_000]
+        yield pd.DataFrame({"gram": part.astype(np.int32), "a": a[part], "df": df[part]})
+
+
+def _feature_places(index: np.ndarray):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            places = [np.flatnonzero(np.isin(index, features(t))).astype("<i4").tobytes() for t in b["text"]]
+            yield pd.DataFrame({"toxic": b["toxic"], "places": places})
+
+    return run
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -175,12 +183,28 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         part = present.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         chosen = part if chosen is None else chosen.union(part)
     texts = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    got = texts.select("toxic", "text").mapInPandas(_feature_sets, "toxic int, grams binary").collect()
-    got = sorted((r["toxic"], bytes(r["grams"])) for r in got)
-    rows = [np.frombuffer(g, dtype="<u4") for _, g in got]
-    toxic = np.array([y for y, _ in got], dtype=np.int64)
-    total = sum(counts.values())
-    return fit(rows, toxic, counts.get(1, 0) / total if total else None)
+    texts = settle(texts.select("doc_id", "toxic", "text"), "labelled")  # the bounded sample
+    sizes = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
+    pos, n, total = sizes.get(1, 0), sum(sizes.values()), sum(counts.values())
+    prior = counts.get(1, 0) / total if total else 0.0
+    if not 0 < pos < n:
+        return fit([], np.empty(0), np.empty(0), np.empty(0), np.empty(0), prior)
+    tallied = texts.select("toxic", "text").mapInPandas(_feature_counts, "gram int, a int, df int")
+    telling = (
+        tallied.groupBy("gram")
+        .agg(F.sum("a").alias("a"), F.sum("df").alias("df"))
+        .where(F.col("df") >= MIN_TEXTS)
+        .withColumn("g", evidence(pos, n))
+        .where(F.col("g") >= MIN_EVIDENCE)
+        .orderBy(F.desc("g"), "gram")
+        .limit(FEATURES)
+        .collect()
+    )
+    telling.sort(key=lambda r: r["gram"])
+    index, a, df = (np.array([r[c] for r in telling], dtype=np.int64) for c in ("gram", "a", "df"))
+    placed = texts.select("toxic", "text").mapInPandas(_feature_places(index), "toxic int, places binary").collect()
+    got = sorted((r["toxic"], bytes(r["places"])) for r in placed)  # one order, whatever the tasks'
+    return fit([np.frombuffer(p, dtype="<i4") for _, p in got], np.array([y for y, _ in got]), index, a, df, prior)
 
 
 def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
