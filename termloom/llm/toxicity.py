@@ -139,7 +139,7 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, index: np.ndarray, a: np.ndar
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         move = step * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
         u, bias = u - move[:-1], bias - float(move[-1])
-    return Model(index, u * ratio[index], bias)
+    return Model(index, u * ratio, bias)
 
 
 def _feature_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
