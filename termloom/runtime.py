@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -12,8 +13,17 @@ TABLES = (
 ).split()
 
 
+def show_package(spark: SparkSession) -> None:
+    """Let Python workers find this package where it runs from a folder instead of being installed."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table; the path goes to Spark's reader only, so any file system it knows will do."""
+    show_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
