@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from termloom.llm import decontamination, language_model, mixing, quality, sharding, simhash, substring_dedup, tokens, toxicity
+from termloom.llm import decontamination, extraction, language_model, mixing, quality, sharding, simhash, substring_dedup, tokens, toxicity
 
 
 def queries() -> dict:
     return {
         "op1_substring_dedup": substring_dedup.op1_substring_dedup,
+        "op2_html_extraction": extraction.op2_html_extraction,
         "op3_language_model": language_model.op3_language_model,
         "op4_simhash": simhash.op4_simhash,
         "op5_mixing": mixing.op5_mixing,
