@@ -17,7 +17,7 @@ from termloom.runtime import settle, table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the classifier rejects (score 0.3 or more) go; it is fitted on the labelled rows outside the held-out quarter."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score_toxicity(docs, model).where("predicted = 0").select(*docs.columns)
+    return toxicity.drop_toxic(docs, model)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: One word: a run of anything but ASCII white space.
@@ -26,8 +26,24 @@ def row_key(*cols: Column) -> Column:
     return F.sha2(F.concat_ws("\x01", *lengths, *parts), 256)
 
 
-def fresh(df, *names: str) -> None:
-    """Refuse input columns whose names an operator is about to add."""
-    clash = sorted(set(names) & set(df.columns))
-    if clash:
-        raise ValueError(f"columns {clash} are the operator's own; rename them in the input first")
+class Carried:
+    """A frame's columns under names that clash with nothing, beside those an operator reads, and the way back.
+
+    ``frame`` has the columns ``read`` under their own names and every input column as ``_c0``, ``_c1``, ...; of input columns
+    that share a name (in any case) the first is read. ``back`` gives the input's columns their names again, in order, and adds
+    the results; an input column with a result's name gives way to it.
+    """
+
+    def __init__(self, docs: DataFrame, *read: str):
+        self.names = docs.columns
+        self.held = [f"_c{i}" for i in range(len(self.names))]
+        lower = [n.lower() for n in self.names]
+        self.frame = docs.toDF(*self.held).select(*self.held, *(F.col(self.held[lower.index(r)]).alias(r) for r in read))
+
+    def kept(self, *results: str) -> list[Column]:
+        """The input's columns but for those that results replace."""
+        gone = {r.lower() for r in results}
+        return [F.col(h).alias(n) for h, n in zip(self.held, self.names, strict=True) if n.lower() not in gone]
+
+    def back(self, made: DataFrame, *results: str) -> DataFrame:
+        return made.select(*self.kept(*results), *results)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import fresh
+from termloom.llm.common import Carried
 from termloom.runtime import settle, table
 
 WINDOW = 10
@@ -171,30 +171,33 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *keep: str) -> DataFram
 
     Null and empty texts have no words and no hits; ``items_sha256`` is then the digest of the empty string. Items that are
     null or have no words occur nowhere. Items of equal text all count; an id that occurs twice counts once; a null item id
-    makes hits but is not listed. Repeated rows each get a row; empty tables give empty or clean results.
+    makes hits but is not listed. Repeated rows each get a row; empty tables give empty or clean results. A column of ``keep``
+    with a result's name gives way to it.
     """
-    fresh(docs.select(*keep), "_rid", "_bytes", "n_words", "found", "n_hit", "n_items", "items_sha256", "contaminated")
-    rows, found = hits(docs, benchmark, *keep)
+    carried = Carried(docs.select("text", *keep), "text")
+    carried.names, carried.held = carried.names[1:], carried.held[1:]
+    rows, found = hits(carried.frame, benchmark, *carried.held)
     each = found.groupBy("_rid").agg(
         F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("spans"), F.array_sort(F.collect_set("item")).alias("items")
     )
-    return rows.join(each, "_rid", "left").select(
-        *keep,
+    met = rows.join(each, "_rid", "left").select(
+        *carried.held,
         "n_words",
         F.coalesce(_covered(F.col("spans")), F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
         F.col("spans").isNotNull().alias("contaminated"),
     )
+    return carried.back(met, "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text holds no item's window, columns as given."""
-    fresh(docs, "_digest")
+    """The rows of ``docs`` whose text holds no item's window, columns as given, whatever their names."""
+    carried = Carried(docs, "text")
     digest = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
-    keyed = docs.withColumn("_digest", digest)
+    keyed = carried.frame.withColumn("_digest", digest)
     dirty = decontaminate(keyed, benchmark, "_digest").where("contaminated").select("_digest").distinct()
-    return keyed.join(dirty, "_digest", "left_anti").select(*docs.columns)
+    return carried.back(keyed.join(dirty, "_digest", "left_anti"))
 
 
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.llm import html_pages as made
-from termloom.llm.common import fresh
+from termloom.llm.common import Carried
 from termloom.runtime import table
 
 TRAINING_PAGES = 1000
@@ -383,9 +383,9 @@ def extract_pages(pages: DataFrame, trees: Trees | None = None) -> DataFrame:
     """Add ``text`` and ``n_chars`` to every row.
 
     Null or empty html, and pages in which nothing looks like an article, give the empty text. Equal pages give equal texts. An
-    empty table gives an empty table. Extra columns pass through; an input column named ``text`` or ``n_chars`` raises.
+    empty table gives an empty table. Extra columns pass through; an input column named ``text`` or ``n_chars`` gives way to the result.
     """
-    fresh(pages, "text", "n_chars")
+    carried = Carried(pages, "html")
     model = trees or trained()
     base, feature, cut, leaf = model.base, model.feature, model.cut, model.leaf
 
@@ -398,7 +398,8 @@ def extract_pages(pages: DataFrame, trees: Trees | None = None) -> DataFrame:
                 found += extract([h if isinstance(h, str) else None for h in html.iloc[lo : lo + 200]], own)
             yield pd.Series(found, dtype=object)
 
-    return pages.withColumn("text", main_text(F.coalesce(F.col("html"), F.lit("")))).withColumn("n_chars", F.length("text").cast("long"))
+    found = carried.frame.withColumn("text", main_text(F.coalesce(F.col("html"), F.lit(""))))
+    return carried.back(found.withColumn("n_chars", F.length("text").cast("long")), "text", "n_chars")
 
 
 def op2_html_extraction(spark, sf_dir: str) -> DataFrame:

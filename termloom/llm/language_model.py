@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import fresh, held_out
+from termloom.llm.common import held_out
 from termloom.runtime import settle, table
 
 MODULUS = 7
@@ -253,7 +253,6 @@ def score_documents(docs: DataFrame) -> DataFrame:
     Repeated rows count and are scored each. An empty table gives an empty table; without training rows every
     count is 0, all probabilities come from the smoothing and the untrained start. Other columns are not read.
     """
-    fresh(docs.select("doc_id"), "_bytes", "_rid", "_logs", "_known")
     spark = docs.sparkSession
     source = docs.select(
         F.monotonically_increasing_id().alias("_rid"),

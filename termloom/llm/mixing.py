@@ -18,15 +18,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.llm.common import fresh, word_count
+from termloom.llm.common import Carried, word_count
 from termloom.runtime import table
 
 MAX_EPOCHS = 3
 #: Slope of the weight schedule for weights 1, 2, 3: from early to late in training.
 SLOPES = (-0.5, 0.0, 0.5)
-OWN = (
-    "size source_size target taken copies position _key _bucket _src _size _before _sum _epochs _rest _slope"
-).split()
+ADDED = ("size", "source_size", "target", "taken", "copies", "position")
 
 
 def _sources(sums: DataFrame, epochs: int) -> DataFrame:
@@ -58,9 +56,14 @@ def plan_mix(docs: DataFrame, epochs: int = MAX_EPOCHS) -> DataFrame:
 
     ``taken`` cuts the last document of a pass at the target's word, so a source's sum is its rounded target; ``copies``
     takes a document of the last pass whole if its middle is inside. Null text has size 0, null source is a source,
-    null ids are ordered by text. Rows equal in id and text may swap results. Extra columns pass through.
+    null ids are ordered by text. Rows equal in id and text may swap results. Extra columns pass through, those with a result's
+    name give way to it.
     """
-    fresh(docs, *OWN)
+    carried = Carried(docs, "doc_id", "source", "text")
+    return carried.back(_planned(carried.frame, epochs), *ADDED)
+
+
+def _planned(docs: DataFrame, epochs: int) -> DataFrame:
     keyed = (
         docs.withColumn("_size", word_count(F.col("text")))
         .withColumn("_src", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null")))
@@ -100,10 +103,10 @@ def due(words: Column, target: Column, slope: Column) -> Column:
 
 def mix(docs: DataFrame, epochs: int = MAX_EPOCHS) -> DataFrame:
     """The training set: a row for each whole copy, the input's columns only, range-sorted by training time."""
-    columns = docs.columns
-    copies = plan_mix(docs, epochs).where("copies > 0").withColumn("_pass", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    carried = Carried(docs, "doc_id", "source", "text")
+    copies = _planned(carried.frame, epochs).where("copies > 0").withColumn("_pass", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     at = due(F.col("_before") + F.col("_pass") * F.col("source_size"), F.col("target"), F.col("_slope"))
-    return copies.withColumn("position", at).orderBy("position").select(*columns)
+    return carried.back(copies.withColumn("position", at).orderBy("position"))
 
 
 def op5_mixing(spark, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import fresh
+from termloom.llm.common import Carried
 from termloom.runtime import settle, table
 
 WINDOW = 5
@@ -31,8 +31,9 @@ RULES = {
     "sentences": ("n_stops > 0 AND 80 * n_stops >= n_words", "n_stops = 0 AND n_words > 200"),
     "digits": ("20 * n_digits < word_chars", "2 * n_digits > word_chars"),
 }
+MEASURED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_other", "n_digits", "n_stops", "n_symbol_words")
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-OWN = (*BASE, "quality", "n_lines", "n_other", "n_digits", "n_stops", "n_symbol_words", "_words", "_text", *(f"vote_{r}" for r in RULES))
+ADDED = (*BASE, "quality", "n_lines", "n_other", "n_digits", "n_stops", "n_symbol_words", *(f"vote_{r}" for r in RULES))
 
 
 def _let(value: Column, body) -> Column:
@@ -152,11 +153,15 @@ def judge_quality(docs: DataFrame, threshold: float = THRESHOLD, carry_text: boo
 
     ``quality`` is null where the base failed and no passing text has the same votes. Null and empty texts have no words
     and fail the base. An empty table gives an empty table. Rows equal in text are equal in result. Extra columns pass
-    through; names of the operator's own raise. The measured rows are settled, without ``text`` unless it is carried.
+    through, those with a result's name give way to it. The measured rows are settled, without ``text`` unless it is carried.
     """
-    fresh(docs, *OWN)
+    carried = Carried(docs, "text")
+    if not carry_text:
+        kept = [n.lower() != "text" for n in carried.names]
+        carried.held = [h for h, k in zip(carried.held, kept, strict=True) if k]
+        carried.names = [n for n, k in zip(carried.names, kept, strict=True) if k]
     names = [f"vote_{r}" for r in RULES]
-    measured = measure(docs) if carry_text else measure(docs).drop("text")
+    measured = measure(carried.frame).select(*carried.held, *(c for c in MEASURED))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     voted = settle(votes(measured).withColumn("base_failed", failed), "measured")
     counted = voted.where("NOT base_failed").groupBy(*names).count().collect()  # at most 3 ** 8 rows
@@ -165,9 +170,10 @@ def judge_quality(docs: DataFrame, threshold: float = THRESHOLD, carry_text: boo
     values = ", ".join(f"({', '.join(map(str, r[:-1]))}, {r[-1]!r}D)" for r in rows)
     of = f"VALUES {values}" if rows else f"SELECT {', '.join(['0'] * len(names))}, 0D WHERE false"
     verdicts = docs.sparkSession.sql(of).toDF(*names, "quality")
-    return voted.join(F.broadcast(verdicts), names, "left").withColumn(
+    judged = voted.join(F.broadcast(verdicts), names, "left").withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(F.col("quality") >= threshold, F.lit(False))
     )
+    return carried.back(judged, *ADDED)
 
 
 def op10_quality(spark, sf_dir: str) -> DataFrame:

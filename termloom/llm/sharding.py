@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.llm.common import fresh
+from termloom.llm.common import Carried
 from termloom.runtime import table
 
 ROUNDS = 6
@@ -74,9 +74,10 @@ def shard_documents(docs: DataFrame, shards: int = 16, seed: int = 20_240_601) -
     """Add ``shard`` (int, 0 to shards - 1), ``slot`` (long, gapless from 0 in each shard) to every row.
 
     Law: rows. Null ids and texts count as values of their own; rows that are equal in both may swap places, which
-    changes no multiset of results. An empty table gives an empty table. Extra columns pass through.
+    changes no multiset of results. An empty table gives an empty table. Extra columns pass through, those with a result's name
+    give way to it.
     """
-    fresh(docs, "shard", "slot", "_place", "_row", "_rows", "_key", "_bucket", "_n", "_start")
+    carried = Carried(docs, "doc_id", "text")
     ident = F.md5(
         F.concat_ws(
             "\x01",
@@ -84,12 +85,11 @@ def shard_documents(docs: DataFrame, shards: int = 16, seed: int = 20_240_601) -
             F.coalesce(F.concat(F.lit("t"), F.col("text")), F.lit("null")),
         ).cast("binary")
     )
-    placed = number_rows(docs, ident, "_row", "_rows").withColumn("_place", feistel(F.col("_row"), F.col("_rows"), seed))
-    return (
-        placed.withColumn("shard", F.pmod(F.col("_place"), F.lit(shards)).cast("int"))
-        .withColumn("slot", _div(F.col("_place"), F.lit(shards).cast("long")))
-        .drop("_place", "_row", "_rows")
+    placed = number_rows(carried.frame, ident, "_row", "_rows").withColumn("_place", feistel(F.col("_row"), F.col("_rows"), seed))
+    dealt = placed.withColumn("shard", F.pmod(F.col("_place"), F.lit(shards)).cast("int")).withColumn(
+        "slot", _div(F.col("_place"), F.lit(shards).cast("long"))
     )
+    return carried.back(dealt, "shard", "slot")
 
 
 def op6_sharding(spark, sf_dir: str) -> DataFrame:

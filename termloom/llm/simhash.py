@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termloom.llm.common import fresh, row_key
+from termloom.llm.common import Carried, row_key
 from termloom.llm.components import components
 from termloom.runtime import settle, table
 
@@ -206,20 +206,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row of each component stays: the one with the least id, ties by row key. Columns as given."""
-    fresh(docs, "_row", "_fp", "_turn", "root")
-    columns = docs.columns
-    keyed = docs.withColumn("_row", row_key(F.col("doc_id"), F.col("text")))
+    """One row of each component stays: the one with the least id, ties by row key. Columns as given, whatever their names."""
+    carried = Carried(docs, "doc_id", "text")
+    keyed = carried.frame.withColumn("_row", row_key(F.col("doc_id"), F.col("text")))
     prints = fingerprints(keyed, "doc_id", "_row")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("_row").alias("row"))
     stays = prints.join(groups(prints), "_fp").groupBy("root").agg(F.min(rank).alias("r"))
     one = Window.partitionBy("_row").orderBy(F.lit(0))
-    return (
+    first = (
         keyed.join(stays.select(F.col("r.row").alias("_row")), "_row", "left_semi")
         .withColumn("_turn", F.row_number().over(one))
         .where("_turn = 1")
-        .select(*columns)
     )
+    return carried.back(first)
 
 
 def op4_simhash(spark, sf_dir: str) -> DataFrame:

@@ -19,8 +19,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from termloom.llm.common import fresh, row_key
+from termloom.llm.common import Carried, row_key
 from termloom.runtime import settle, table
 
 SPAN = 3
@@ -139,20 +140,22 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
 
     Null text comes back empty, with no sentences; rows without ids come after all others in the order of first places. Of rows
     equal in id and text one counts as first, the others lose every sentence of a run. Texts of fewer than ``SPAN``
-    sentences have no runs and stay. Empty tables give empty tables; extra columns pass through.
+    sentences have no runs and stay. Empty tables give empty tables; extra columns pass through, those with a result's name
+    give way to it.
     """
-    fresh(docs, "_k", "_bytes", "_places", "_turn", *MADE[1:])
-    keyed = docs.withColumn("_k", row_key(F.col("doc_id"), F.col("text")))
+    carried = Carried(docs, "doc_id", "text")
+    keyed = carried.frame.withColumn("_k", row_key(F.col("doc_id"), F.col("text")))
     turn = F.row_number().over(Window.partitionBy("_k").orderBy(F.lit(0)))
-    carried = [c for c in docs.columns if c != "text"]
+    own = {m.lower() for m in MADE}
+    held = [h for h, n in zip(carried.held, carried.names, strict=True) if n.lower() not in own]
     met = (
         keyed.withColumn("_turn", turn)
         .join(removals(keyed), "_k", "left")
-        .select(*carried, F.col("text").cast("binary").alias("_bytes"), "_places", "_turn")
+        .select(*held, F.col("text").cast("binary").alias("_bytes"), "_places", "_turn")
     )
-    kinds = dict(docs.dtypes)
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in carried), "text string", *(f"{c} long" for c in MADE[1:])])
-    return met.mapInArrow(_cut, schema)
+    made = [T.StructField("text", T.StringType()), *(T.StructField(c, T.LongType()) for c in MADE[1:])]
+    schema = T.StructType([*(f for f in met.schema if f.name in held), *made])
+    return carried.back(met.mapInArrow(_cut, schema), *MADE)
 
 
 def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:

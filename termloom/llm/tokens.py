@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import fresh
+from termloom.llm.common import Carried
 from termloom.runtime import scratch_path, table
 
 OVER = 512
@@ -135,21 +135,21 @@ def count_tokens(docs: DataFrame, path: str, cache: str | None = None, over: int
 
     ``path`` is the tokenizer's file on every machine, ``cache`` a folder all share (default: a fresh one in the scratch
     folder). Null counts as the empty text: no bytes, no tokens. Copies and repeated rows are encoded once and each get the
-    count. An empty table gives an empty table. Extra columns pass through.
+    count. An empty table gives an empty table. Extra columns pass through, those with a result's name give way to it.
     """
-    fresh(docs, "content_digest", "n_bytes", "n_tokens", "over_limit")
+    carried = Carried(docs, "text")
     spark = docs.sparkSession
     cache = cache or scratch_path(spark, "token-cache")
-    fill_cache(docs, cache, path)
+    fill_cache(carried.frame, cache, path)
     known = cached(spark, cache, tokenizer_digest(path))
-    return (
-        _digests(docs)
+    counted = (
+        _digests(carried.frame)
         .withColumn("n_bytes", F.octet_length(F.coalesce(F.col("text"), F.lit(""))).cast("long"))
-        .select("content_digest", *docs.columns, "n_bytes")
+        .select("content_digest", *carried.held, "n_bytes")
         .join(known, "content_digest")
         .withColumn("over_limit", F.col("n_tokens") > over)
-        .drop("content_digest")
     )
+    return carried.back(counted, "n_bytes", "n_tokens", "over_limit")
 
 
 def op7_token_counts(spark, sf_dir: str) -> DataFrame:

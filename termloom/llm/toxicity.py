@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import fresh, held_out
+from termloom.llm.common import Carried, held_out
 from termloom.runtime import settle, table
 
 GRAMS = (4, 5, 6)
@@ -211,9 +211,20 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
     """Add ``score`` and ``predicted`` to every row; only the text is read.
 
     Null counts as the empty text, which scores the intercept. Rows equal in text score alike. An empty table gives an
-    empty table. Extra columns pass through.
+    empty table. Extra columns pass through, those with a result's name give way to it.
     """
-    fresh(docs, "score", "predicted")
+    carried = Carried(docs, "text")
+    scored = _scored(carried.frame, model).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return carried.back(scored, "score", "predicted")
+
+
+def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score below the threshold, columns as given, whatever their names."""
+    carried = Carried(docs, "text")
+    return carried.back(_scored(carried.frame, model).where(F.col("score") < threshold))
+
+
+def _scored(frame: DataFrame, model: Model) -> DataFrame:
     index, weight, bias = model.index, model.weight, model.bias
     held: dict[str, Model] = {}
 
@@ -223,9 +234,7 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
         for texts in batches:
             yield pd.Series(own.scores(list(texts)))
 
-    return docs.withColumn("score", score(F.coalesce(F.col("text"), F.lit("")))).withColumn(
-        "predicted", (F.col("score") >= threshold).cast("int")
-    )
+    return frame.withColumn("score", score(F.coalesce(F.col("text"), F.lit(""))))
 
 
 def op9_toxicity(spark, sf_dir: str) -> DataFrame:
