@@ -1,10 +1,11 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences at end marks followed by white space and at line ends. A sentence of more than ``LONGEST``
-words is cut further after words whose hash is divisible by ``CUT``, so unpunctuated passages too are cut alike wherever they stand.
-Every run of ``SPAN`` consecutive sentences with ``LEAST`` words or more is hashed (lower-cased A-Z, white space made one space); a run's
-first place is the one in the row of least id, earliest in the text. Sentences covered by any other place of a run
-are removed. Each removed sentence has an equal one at an earlier place, so some copy always stays.
+A text is cut into sentences after words with an end mark and at line ends. A long sentence, and what two texts run together
+without an end mark, is cut further after words whose hash is divisible by ``CUT``, but for the ``GAP`` words next to either end; so
+a passage is cut alike wherever it stands, save for a few words at its edges. Every run of ``SPAN`` consecutive sentences, or of
+as many more as make ``LEAST`` words, is hashed (lower-cased A-Z, white space made one space); a run's first place is the one in the
+row of least id, earliest in the text. Sentences covered by any other place of a run are removed. Each removed sentence has
+an equal one at an earlier place, so some copy always stays.
 
 Hashes are aggregated per document first, then per hash with map-side combination; only hashes of several
 rows are joined back, by the hash, where AQE splits a hot one. Text is shuffled once, to meet its removals.
@@ -15,6 +16,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -24,52 +26,88 @@ from pyspark.sql import types as T
 from termloom.llm.common import Carried, row_key
 from termloom.runtime import settle, table
 
-SPAN = 3
-LEAST = 10
-LONGEST = 16
-CUT = 8
-_END = re.compile(rb"(?:[.!?]|\xe3\x80\x82)(?=[\x20\x09-\x0D])[\x20\x09-\x0D]*|\n[\x20\x09-\x0D]*")
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
-
-
-def sentences(text: bytes) -> list[tuple[int, int, list[bytes]]]:
-    """(start, end, lower-cased words) of each sentence; together they are the whole text."""
-    out = []
-    at = 0
-    for end in [*(m.end() for m in _END.finditer(text)), len(text)]:
-        if end == at:
-            continue
-        words = text[at:end].lower().split()
-        if len(words) <= LONGEST:
-            out.append((at, end, words))
-        else:
-            own: list[bytes] = []
-            start = at
-            for m in _WORD.finditer(text, at, end):
-                w = m.group().lower().rstrip()
-                own.append(w)
-                if xxhash.xxh32_intdigest(w) % CUT == 0:
-                    out.append((start, m.end(), own))
-                    start, own = m.end(), []
-            if start < end:
-                out.append((start, end, own))
-        at = end
-    return out
-
-
-def runs(text: bytes) -> list[tuple[int, int]]:
-    """(hash, first sentence) of each run."""
-    marks = sentences(text)
-    keys = [xxhash.xxh64_digest(b" ".join(w)) for _, _, w in marks]
-    sizes = [len(w) for _, _, w in marks]
-    return [
-        (xxhash.xxh64_intdigest(b"".join(keys[i : i + SPAN])) - (1 << 63), i)
-        for i in range(len(marks) - SPAN + 1)
-        if sum(sizes[i : i + SPAN]) >= LEAST
-    ]
-
-
-_RUNS = pa.list_(pa.struct([("h", pa.int64()), ("i", pa.int32())]))
+SPAN = 4
+LEAST = 15
+CUT = 4
+GAP = 2
+#: Words whose kind a worker remembers.
+REMEMBERED = 500_000
+_MARKS = (b".", b"!", b"?", "。".encode())
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+class _Kinds(dict):
+    """Word to 2 if it ends a sentence, 1 if a long one may be cut after it, else 0."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        kind = 2 if word.endswith(_MARKS) else int(xxhash.xxh32_intdigest(word) % CUT == 0)
+        self[word] = kind
+        return kind
+
+
+_KINDS = _Kinds()
+
+
+def sentences(text: bytes) -> tuple[list[bytes], np.ndarray]:
+    """The lower-cased words, and where sentences begin among them, with the number of words at the end."""
+    words: list[bytes] = []
+    lines = [0]
+    for line in text.lower().split(b"\n"):
+        words += line.split()
+        lines.append(len(words))
+    n = len(words)
+    if not n:
+        return words, np.zeros(1, dtype=np.int64)
+    kind = np.fromiter(map(_KINDS.__getitem__, words), dtype=np.int8, count=n)
+    ends = kind == 2
+    ends[np.array(lines[1:], dtype=np.int64)[np.diff(lines) > 0] - 1] = True
+    ends[-1] = True
+    at = np.arange(n)
+    before = np.maximum.accumulate(np.where(ends, at, -1))  # the last end at or before each word
+    after = np.minimum.accumulate(np.where(ends, at, n)[::-1])[::-1]
+    cuts = ends | ((kind == 1) & (at - before > GAP) & (after - at >= GAP))
+    return words, np.concatenate(([0], np.flatnonzero(cuts) + 1))
+
+
+def runs(words: list[bytes], starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first sentence and number of sentences of each run."""
+    m = len(starts) - 1
+    empty = np.empty(0, dtype=np.int64)
+    if m < SPAN:
+        return empty, empty, empty
+    cuts = starts.tolist()
+    digest = xxhash.xxh64_intdigest
+    own = np.fromiter((digest(b" ".join(words[a:b])) for a, b in zip(cuts[:-1], cuts[1:], strict=True)), dtype=np.uint64, count=m)
+    first = np.arange(m - SPAN + 1)
+    h = np.zeros(len(first), dtype=np.uint64)
+    for k in range(SPAN):
+        h = (h ^ own[first + k]) * _MIX
+        h ^= h >> np.uint64(29)
+    size = np.full(len(first), SPAN)
+    while True:
+        short = np.flatnonzero((starts[np.minimum(first + size, m)] - starts[first] < LEAST) & (first + size <= m))
+        if not len(short):
+            break
+        more = short[first[short] + size[short] < m]
+        h[more] = (h[more] ^ own[first[more] + size[more]]) * _MIX
+        h[more] ^= h[more] >> np.uint64(29)
+        size[short] += 1  # beyond the text's end: no run
+    whole = first + size <= m
+    return h[whole].view(np.int64), first[whole], size[whole]
+
+
+_PLACES = pa.struct([("h", pa.int64()), ("i", pa.int32()), ("n", pa.int32())])
+
+
+def _lists(columns: list[tuple[np.ndarray, ...]]) -> pa.Array:
+    """One list of (h, i, n) for each text."""
+    h, i, n = (np.concatenate(x) if columns else np.empty(0, np.int64) for x in (zip(*columns, strict=True) if columns else ((), (), ())))
+    flat = pa.StructArray.from_arrays([pa.array(h, pa.int64()), pa.array(i.astype(np.int32)), pa.array(n.astype(np.int32))], fields=list(_PLACES))
+    offsets = np.concatenate(([0], np.cumsum([len(c[0]) for c in columns]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), flat)
 
 
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,28 +115,34 @@ def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         first, again = [], []
         for t in b.column("_bytes"):
-            seen: dict[int, int] = {}
-            more = []
-            for h, i in runs(t.as_py() or b""):
-                if seen.setdefault(h, i) != i:
-                    more.append(i)
-            first.append([{"h": h, "i": i} for h, i in seen.items()])
-            again.append(more)
+            h, i, n = runs(*sentences(t.as_py() or b""))
+            _, at = np.unique(h, return_index=True)
+            new = np.zeros(len(h), dtype=bool)
+            new[at] = True
+            first.append((h[new], i[new], n[new]))
+            again.append((h[~new], i[~new], n[~new]))
         names = [n for n in b.schema.names if n != "_bytes"]
-        yield pa.RecordBatch.from_arrays(
-            [*(b.column(n) for n in names), pa.array(first, _RUNS), pa.array(again, pa.list_(pa.int32()))], [*names, "first", "again"]
-        )
+        yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), _lists(first), _lists(again)], [*names, "first", "again"])
 
 
-def cut(text: bytes, places: list[int] | None) -> tuple[bytes, int, int, int, int]:
-    """The text without the sentences of the runs at ``places`` (all runs if None); sentences and words, in all and removed."""
-    marks = sentences(text)
-    gone = bytearray(len(marks))
-    for i in places if places is not None else [i for _, i in runs(text)]:
-        gone[i : i + SPAN] = b"\1" * SPAN
-    words = [len(w) for _, _, w in marks]
-    stay = b"".join(text[a:b] for (a, b, _), g in zip(marks, gone, strict=True) if not g)
-    return stay, len(marks), sum(gone), sum(words), sum(n for n, g in zip(words, gone, strict=True) if g)
+def cut(text: bytes, places: list[dict] | None) -> tuple[bytes, int, int, int, int]:
+    """The text without the sentences of the runs at ``places`` (all runs if None); sentences and words, in all and removed.
+
+    A sentence goes with the white space after it.
+    """
+    words, starts = sentences(text)
+    gone = np.zeros(len(starts) - 1, dtype=bool)
+    if places is None:
+        _, first, size = runs(words, starts)
+        places = [{"i": i, "n": n} for i, n in zip(first.tolist(), size.tolist(), strict=True)]
+    for p in places:
+        gone[p["i"] : p["i"] + p["n"]] = True
+    if not gone.any():
+        return text, len(gone), 0, len(words), 0
+    at = [m.start() for m in _WORD.finditer(text)]
+    edges = [0, *(at[s] for s in starts[1:-1].tolist()), len(text)]
+    stay = b"".join(text[a:b] for a, b, g in zip(edges[:-1], edges[1:], gone.tolist(), strict=True) if not g)
+    return stay, len(gone), int(gone.sum()), len(words), int(np.diff(starts)[gone].sum())
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,18 +161,19 @@ MADE = ("text", "n_sentences", "n_removed", "n_words", "n_words_removed")
 
 
 def removals(docs: DataFrame) -> DataFrame:
-    """(_k, _places): for each row key the first sentences of its runs that have an earlier place."""
+    """(_k, _places): for each row key the places of its runs that have an earlier one."""
     source = docs.select(
         F.monotonically_increasing_id().alias("rid"), F.col("doc_id"), "_k", F.col("text").cast("binary").alias("_bytes")
     )
-    schema = "rid long, doc_id long, _k string, first array<struct<h: bigint, i: int>>, again array<int>"
+    places = "array<struct<h: bigint, i: int, n: int>>"
+    schema = f"rid long, doc_id long, _k string, first {places}, again {places}"
     marked = settle(source.mapInArrow(_mark, schema), "runs")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("rid").alias("rid"))
     place = marked.select("rid", rank.alias("rank"), F.explode("first").alias("f")).select("rid", "rank", "f.*")
-    shared = place.groupBy("h").agg(F.min("rank").alias("r"), F.count("*").alias("n")).where("n > 1").select("h", F.col("r.rid").alias("owner"))
-    later = place.select("rid", "h", "i").join(shared, "h").where("rid <> owner").select("rid", "i")
-    every = later.union(marked.select("rid", F.explode("again").alias("i")))
-    lists = every.groupBy("rid").agg(F.collect_set("i").alias("_places"))
+    shared = place.groupBy("h").agg(F.min("rank").alias("r"), F.count("*").alias("rows")).where("rows > 1").select("h", F.col("r.rid").alias("owner"))
+    later = place.select("rid", "h", "i", "n").join(shared, "h").where("rid <> owner").select("rid", "i", "n")
+    every = later.union(marked.select("rid", F.explode("again").alias("f")).select("rid", "f.i", "f.n"))
+    lists = every.groupBy("rid").agg(F.collect_list(F.struct("i", "n")).alias("_places"))
     keyed = marked.select("rid", "_k").join(lists, "rid", "left")
     # of rows equal in id and text the first has the list; the others lose all their runs, see dedup_substrings
     return keyed.groupBy("_k").agg(F.min_by("_places", "rid").alias("_places"))
