@@ -302,14 +302,14 @@ def trained(pages: int = TRAINING_PAGES) -> Trees:
     xs, ys, ws = [], [], []
     for seed in range(pages):
         marked = made.training_page(seed)
-        page = parse(marked.replace("", "").replace("", ""))
+        page = parse(marked.replace("\ue000", "").replace("\ue001", ""))
         truth = parse(marked)
         x, _ = node_features(page)
         y = np.zeros(len(x))
         size = np.zeros(len(x))
         for (e, t, _), (_, plain, _) in zip(truth.pieces, page.pieces, strict=True):
             size[e] += len(plain.strip())
-            if "" in t:
+            if "\ue000" in t:
                 y[e] = 1
         for i in range(len(x) - 1, 0, -1):
             y[page.parent[i]] = max(y[page.parent[i]], y[i])

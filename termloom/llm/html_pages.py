@@ -177,7 +177,7 @@ def render(node: Node | str, out: list[str], spans: list[str]) -> None:
     for kid in node.kids:
         if isinstance(kid, str):
             text = html.escape(kid)
-            out.append(f"{text}" if node.main else text)
+            out.append(f"\ue000{text}\ue001" if node.main else text)
         else:
             out.append(f"<{kid.tag}{kid.attrs}>")
             render(kid, out, spans)
