@@ -22,9 +22,9 @@ def common_types(sections: DataFrame, most: int = 100) -> DataFrame:
 
 def type_frequency(sections: DataFrame, key: str = "doc_id") -> DataFrame:
     """Share of documents that have each type."""
-    total = sections.agg(F.countDistinct(key).alias("total"))
+    total = sections.agg(F.countDistinct(key)).scalar()
     having = sections.select(key, F.explode("types").alias("type")).distinct().groupBy("type").agg(F.count("*").alias("n"))
-    return having.crossJoin(F.broadcast(total)).select("type", F.round(F.col("n") / F.col("total"), 6).alias("share"))
+    return having.select("type", F.round(F.col("n") / total, 6).alias("share"))
 
 
 def sections_of_type(sections: DataFrame, wanted: str, most: int = 20, key: str = "doc_id") -> DataFrame:
@@ -55,6 +55,66 @@ def first_by(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     return rows.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
+def latest_by(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame:
+    """The last row of each key: what loading an index line by line leaves."""
+    return first_by(rows, keys, *(c.desc() for c in order))
+
+
+def duplicates(rows: DataFrame, *keys: str) -> DataFrame:
+    """Keys that occur more than once, with their number."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def membership(ids: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """One row: how many rows of ``ids`` are in ``known`` and how many are not."""
+    met = ids.join(known.select(key).distinct().withColumn("_there", F.lit(1)), key, "left")
+    return met.agg(F.count("_there").alias("inside"), (F.count("*") - F.count("_there")).alias("outside"))
+
+
+def histogram(rows: DataFrame, value: Column, name: str = "value") -> DataFrame:
+    return rows.groupBy(value.alias(name)).agg(F.count("*").alias("n"))
+
+
+def classification_codes(xml: Column) -> Column:
+    """Sorted distinct section-class-subclass codes of the bibliographic part; incomplete ones are left out."""
+    head = F.get(F.split(xml, "</bibliographic-data>", 2), F.lit(0))
+    blocks = F.regexp_extract_all(head, F.lit(r"(?s)(<classification-ipcr?\b.*?</classification-ipcr?>)"), F.lit(1))
+
+    def code(block: Column) -> Column:
+        part = lambda tag: F.regexp_extract(block, rf"<{tag}>\s*([^<]*?)\s*</{tag}>", 1)
+        section, cls, sub = part("section"), part("class"), part("subclass")
+        return F.when((section != "") & (cls != "") & (sub != ""), F.concat_ws("-", section, cls, sub))
+
+    return F.array_sort(F.array_distinct(F.array_compact(F.transform(blocks, code))))
+
+
+def domain_table(lines: DataFrame) -> DataFrame:
+    """(code, domain) from lines (line_no, line): a domain's line, then its codes indented below it."""
+    order = Window.orderBy("line_no")  # one small file
+    head = F.regexp_extract("line", r"^(\S+)\s+-", 1)
+    filled = lines.withColumn("domain", F.last(F.when(head != "", head), ignorenulls=True).over(order))
+    code = F.regexp_extract("line", r"^\s+(\S+)", 1)
+    return filled.where(code != "").select(code.alias("code"), "domain")
+
+
+def years_and_domains(paths: DataFrame, dates: DataFrame, domains: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, year, domain): the year of the application's date, 9999 without one; the domain may be missing."""
+    dated = dates.select(key, F.left("date", F.lit(4)).alias("year"))
+    return paths.select(key).join(dated, key, "left").join(domains.select(key, "domain"), key, "left").withColumn("year", F.coalesce("year", F.lit("9999")))
+
+
+def short_id(path: Column) -> Column:
+    """A file's name without folder, extension, country and kind: digits with their letter prefix."""
+    name = F.regexp_extract(path, r"([^/]+)$", 1)
+    return F.regexp_replace(F.regexp_replace(name, r"\.[A-Za-z.]+$", ""), r"^US|[A-Z]\d?$", "")
+
+
+def unique_path(ids: DataFrame, index: DataFrame, key: str = "short_id") -> DataFrame:
+    """Each id with its path if the index has exactly one for it, else null."""
+    one = index.groupBy(key).agg(F.count("*").alias("_n"), F.first("path").alias("path")).where("_n = 1").drop("_n")
+    return ids.join(one, key, "left")
+
+
 def patent_id(name: Column) -> Column:
     """struct(prefix, number, kind) of US0123456A1 and the like; null parts where the name doesn't fit."""
     bare = F.regexp_replace(F.regexp_replace(name, r"\.[A-Za-z]+$", ""), "^US", "")

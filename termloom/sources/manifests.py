@@ -26,8 +26,8 @@ def parse(lines: DataFrame) -> DataFrame:
 
 def until_blank(lines: DataFrame) -> DataFrame:
     """Lines before the first blank one."""
-    blank = lines.where(F.trim("value") == "").agg(F.min("line_no").alias("_blank"))
-    return lines.crossJoin(F.broadcast(blank)).where("_blank IS NULL OR line_no < _blank").drop("_blank")  # one row
+    blank = lines.where(F.trim("value") == "").agg(F.min("line_no")).scalar()
+    return lines.where(blank.isNull() | (F.col("line_no") < blank))
 
 
 def resume(manifest: DataFrame, done: int, most: int) -> DataFrame:
