@@ -498,3 +498,206 @@ SELECT left(journal, 1) AS letter, count(*) AS lines, count(DISTINCT journal) AS
 def list_analysis(spark, d):
     rows = table(spark, d, "pages").select(F.regexp_extract("url", "//([^/]+)/", 1).alias("journal"))
     return rows.groupBy(F.left("journal", F.lit(1)).alias("letter")).agg(F.count("*").alias("lines"), F.countDistinct("journal").alias("journals"))
+
+
+# --- whole sections, segmenter input, index statistics -------------------------------------------------------------------------------
+
+def _as_patent(spark, d):
+    """Documents as descriptions, every other ten lines as a summary, short lines as headings, the others as paragraphs."""
+    tags = _nested(spark, d).join(_spans(spark, d).select("doc_id", "tag_id", "line"), ["doc_id", "tag_id"], "left")
+    tens = F.when(F.col("tag_id") % 2 == 0, "summary").otherwise("related-apps")
+    name = F.when(F.col("tag_id") == -1_000_000, "description").when(F.col("tag_id") < 0, tens).when(F.length("line") < 40, "heading").otherwise("p")
+    return tags.select("doc_id", "tag_id", name.alias("name"), name.alias("struct"), F.create_map(F.lit("lang"), F.lit("eng")).alias("attrs"), "start", "end")
+
+
+@query(f"""WITH {_SPANS}, r AS (
+  SELECT doc_id, start, "end", line, len(line) < 40 AS hd, list_concat(['Description', CASE WHEN ((tag_id - 1) // 10) % 2 = 1 THEN 'Summary' ELSE 'Related_Applications' END], CASE WHEN len(line) < 40 THEN ['Header'] ELSE [] END) AS base,
+    sum(CASE WHEN len(line) < 40 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY tag_id) AS g FROM x
+), h AS (
+  SELECT *, first_value(CASE WHEN hd THEN regexp_replace(lower(line), '[^A-Za-z_]', '', 'g') END) OVER (PARTITION BY doc_id, g ORDER BY start, "end") AS flat FROM r
+), t AS (SELECT *, {D.header_types_sql('flat').replace('x -> x', 'lambda x: x')} AS found FROM h)
+SELECT doc_id, start, "end", array_to_string(CASE WHEN flat IS NULL THEN base
+  ELSE list_concat(base, list_filter(CASE WHEN len(found) = 0 THEN ['Other'] ELSE found END, lambda y: y <> base[-1])) END, '|') AS types FROM t WHERE len(line) > 0""")
+def patent_sections(spark, d):
+    from termloom.operators import sections
+
+    texts = table(spark, d, "documents").select("doc_id", "text")
+    made = sections.patent_sections(texts, _as_patent(spark, d))
+    return made.where(F.col("struct").isin("p", "heading") & (F.col("end") > F.col("start"))).select("doc_id", "start", "end", F.array_join("types", "|").alias("types"))
+
+
+@query()
+def article_sections(spark, d):
+    """Pages' first lines as titles over the rest; assembled sections are tested by hand-made articles."""
+    from termloom.operators import sections
+
+    spans = _spans(spark, d)
+    title = F.col("tag_id") == 1
+    tags = spans.where("tag_id <= 2").select(
+        "doc_id", "tag_id", F.when(title, "title").otherwise("sec").alias("name"), F.map_from_arrays(F.array(F.lit("TYPE")), F.array(F.lit("TEXT"))).alias("attrs"),
+        F.lit(0).alias("start"), F.when(title, F.col("end")).otherwise(F.col("length")).alias("end"),
+    )
+    made = sections.article_sections(table(spark, d, "documents").select("doc_id", "text"), tags)
+    return sections.section_lines(made).select("doc_id", "section_id", "line")
+
+
+@query(f"""WITH {_NESTED}, i AS (
+  SELECT a.doc_id, a.tag_id, max(CASE WHEN b.tag_id = -1000000 THEN 1 ELSE 2 END) AS deep, max(CASE WHEN b.tag_id < 0 AND b.tag_id > -1000000 THEN 1 ELSE 0 END) AS inside
+  FROM z a JOIN z b ON a.doc_id = b.doc_id AND b.start <= a.start AND b."end" >= a."end" AND b."end" - b.start > a."end" - a.start GROUP BY ALL)
+SELECT round(sum(CASE WHEN z.tag_id < 0 AND z.tag_id > -1000000 AND coalesce(i.inside, 0) = 0 THEN "end" - start ELSE 0 END) / sum(CASE WHEN i.doc_id IS NULL THEN "end" - start END), 6) AS weight
+FROM z LEFT JOIN i USING (doc_id, tag_id)""")
+def type_weight(spark, d):
+    from termloom.operators import sections
+
+    ten = (F.col("tag_id") < 0) & (F.col("tag_id") > -1_000_000)
+    typed = _nested(spark, d).select("doc_id", F.col("tag_id").alias("section_id"), "start", "end", F.array(F.when(ten, "Ten").otherwise("Other")).alias("types"))
+    return sections.type_weight(typed, "Ten").select(F.round("weight", 6).alias("weight"))
+
+
+@query(f"""WITH {_SPANS} SELECT doc_id, tag_id AS section_id, lag(tag_id) OVER o AS prev_id, lead(tag_id) OVER o AS next_id FROM x WINDOW o AS (PARTITION BY doc_id ORDER BY start, tag_id)""")
+def section_neighbours(spark, d):
+    from termloom.operators import sections
+
+    rows = _spans(spark, d).select("doc_id", F.col("tag_id").alias("section_id"), "start")
+    return sections.neighbours(rows).select("doc_id", "section_id", "prev_id", "next_id")
+
+
+@query(r"""WITH l0 AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents
+), l AS (SELECT doc_id, line_no, trim(CASE WHEN line_no % 5 = 3 THEN raw ELSE translate(raw, 'aeo', '一二。') END, ' ') AS line FROM l0
+), k AS (SELECT *, regexp_replace(line, '[ \t\n\r\f\v]', '', 'g') AS b, regexp_replace(regexp_replace(line, '[ \t\n\r\f\v]', '', 'g'), '[^\x00-\x{FF}]', '', 'g') AS lat FROM l WHERE line <> ''
+), m AS (SELECT *, len(b) > 5000 OR (len(b) > 10 AND len(lat) > 0.9 * len(b)) OR (len(lat) = len(b) AND NOT regexp_matches(b, '^[0-9]+$')) AS skip, NOT regexp_matches(line, '[^\x00-\x{FF}]') AS latin FROM k
+), g AS (SELECT *, sum(CASE WHEN skip OR latin THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line_no) AS grp FROM m
+), p AS (SELECT doc_id, min(line_no) AS line_no, string_agg(line, ' ' ORDER BY line_no) AS passage FROM g WHERE NOT skip AND NOT latin GROUP BY doc_id, grp
+), s AS (SELECT doc_id, line_no, list_filter(string_split(replace(regexp_replace(passage, '[ \t\n\r\f\v]', '', 'g'), '。', '。' || chr(10)), chr(10)), lambda x: x <> '' AND len(x) <= 500) AS parts FROM p)
+SELECT doc_id, CAST(line_no AS INT) AS line_no, CAST(generate_subscripts(parts, 1) - 1 AS INT) AS part, unnest(parts) AS line FROM s""")
+def segmenter_input(spark, d):
+    """Lines with letters made Chinese, every fifth left as it is: passages and their sentences."""
+    from termloom.operators import segmenting
+
+    lines = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    mixed = lines.withColumn("line", F.when(F.col("line_no") % 5 == 3, F.col("line")).otherwise(F.translate("line", "aeo", "一二。")))
+    return segmenting.gathered(mixed).where("is_prose").select("doc_id", "line_no", "part", "line")
+
+
+@query("SELECT md5(text) AS digest, count(*) AS n FROM documents GROUP BY text HAVING count(*) > 1")
+def duplicate_texts(spark, d):
+    return stats.duplicates(table(spark, d, "documents").select(F.md5(F.col("text").cast("binary")).alias("digest")), "digest")
+
+
+@query("SELECT count(*) FILTER (WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)) AS inside, count(*) FILTER (WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)) AS outside FROM documents")
+def id_membership(spark, d):
+    return stats.membership(table(spark, d, "documents").select("doc_id"), table(spark, d, "labels").where("quality = 1"), "doc_id")
+
+
+@query("SELECT len(text) // 100 AS hundreds, count(*) AS n FROM documents GROUP BY ALL")
+def length_histogram(spark, d):
+    return stats.histogram(table(spark, d, "documents"), F.expr("CAST(length(text) div 100 AS BIGINT)"), "hundreds")
+
+
+@query("SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1")
+def last_index_entry(spark, d):
+    rows = table(spark, d, "events").select("user_id", "ts", "event_id")
+    return stats.latest_by(rows, ["user_id"], F.col("ts"), F.col("event_id")).select("user_id", "event_id")
+
+
+@query("""WITH c AS (SELECT doc_id, chr(CAST(65 + doc_id % 8 AS INT)) || '-' || doc_id % 90 || '-B' AS a, CASE WHEN doc_id % 5 <> 0 THEN 'H-' || doc_id % 7 || '-C' END AS b FROM documents)
+SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter([a, b], lambda x: x IS NOT NULL))), ',') AS codes FROM c""")
+def classification_codes(spark, d):
+    n = F.col("doc_id")
+    block = lambda tag, *p: F.concat(F.lit(f"<{tag} n='1'>\n<section>"), p[0], F.lit("</section><class>"), p[1].cast("string"), F.lit("</class>\n <subclass>"), p[2], F.lit(f"</subclass></{tag}>"))
+    first = block("classification-ipc", F.expr("char(65 + doc_id % 8)"), n % 90, F.lit("B"))
+    more = block("classification-ipcr", F.lit("H"), n % 7, F.when(n % 5 != 0, "C").otherwise(""))
+    late = block("classification-ipc", F.lit("Z"), n, F.lit("Z"))
+    xml = F.concat(F.lit("<bibliographic-data>"), first, more, first, F.lit("</bibliographic-data>"), late)
+    return table(spark, d, "documents").select("doc_id", F.array_join(stats.classification_codes(xml), ",").alias("codes"))
+
+
+@query("SELECT doc_id, 'D' || doc_id AS id FROM documents")
+def short_ids(spark, d):
+    path = F.concat(F.lit("/a/b/USD"), F.col("doc_id").cast("string"), F.lit("S1.xml"))
+    return table(spark, d, "documents").select("doc_id", stats.short_id(path).alias("id"))
+
+
+@query("""WITH c AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE '2001' || doc_id END AS date, CASE WHEN doc_id % 4 = 0 THEN source END AS domain FROM documents)
+SELECT doc_id, coalesce(left(date, 4), '9999') AS year, domain FROM c""")
+def years_and_domains(spark, d):
+    docs = table(spark, d, "documents")
+    dates = docs.where("doc_id % 3 <> 0").select("doc_id", F.concat(F.lit("2001"), F.col("doc_id").cast("string")).alias("date"))
+    return stats.years_and_domains(docs.select("doc_id"), dates, docs.where("doc_id % 4 = 0").select("doc_id", F.col("source").alias("domain")))
+
+
+@query(r"""WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k, text FROM conversations), l AS (
+  SELECT conv_id, k, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM t)
+SELECT CAST(conv_id AS VARCHAR) AS doc_id, CAST(k AS INT) AS field_ord, CAST(row_number() OVER (PARTITION BY conv_id, k ORDER BY n) - 1 AS INT) AS line_ord, line FROM l WHERE trim(line, ' ') <> ''""")
+def clinical_notes(spark, d):
+    from termloom.sources import readers
+
+    turns = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
+    body = F.array_join(F.transform("t", lambda x: F.concat(F.lit('[start section id="'), x["role"], F.lit('"]\n'), x["text"], F.lit("\n[end section]\n"))), "\n")
+    notes = turns.select(F.col("conv_id").alias("doc_id"), F.lit("").alias("path"), F.concat(F.lit('[meta rev_date="1"]\n'), body).alias("content"))
+    return readers.read("thyme", notes).select("doc_id", "field_ord", "line_ord", "line")
+
+
+@query("""SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(0 AS INT) AS field_ord, 'FH_DATE' AS field, '1999' AS line FROM documents UNION ALL SELECT CAST(doc_id AS VARCHAR), 1, 'FH_TITLE', source FROM documents
+UNION ALL SELECT CAST(doc_id AS VARCHAR), 2, 'FH_ABSTRACT', CASE WHEN doc_id % 2 = 0 THEN lang ELSE 'None' END FROM documents""")
+def abstract_lines(spark, d):
+    from termloom.sources import readers
+
+    text = F.concat(F.lit("<title>old</title>\n<year>1999</year>\n<title>"), "source", F.lit("</title>"), F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("\n<abstract>"), "lang", F.lit("</abstract>"))).otherwise(""))
+    docs = table(spark, d, "documents").select("doc_id", F.lit("").alias("path"), text.alias("content"))
+    return readers.read("signal-processing", docs).select("doc_id", "field_ord", "field", "line")
+
+
+@query("""SELECT doc_id AS line_no, 0 AS kind, 0 AS ord, source || '/' || doc_id AS line FROM documents
+UNION ALL SELECT doc_id, 1, CAST(quality AS INT), chr(9) || 'toxic=' || toxic FROM labels JOIN documents USING (doc_id)""")
+def feature_listing(spark, d):
+    from termloom.sources import sinks
+
+    listed = table(spark, d, "documents").select(F.col("doc_id").alias("line_no"), F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("target"))
+    rows = table(spark, d, "labels").join(table(spark, d, "documents").select("doc_id", "source"), "doc_id").select(
+        F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("target"), F.col("quality").cast("int").alias("ord"), F.concat(F.lit("toxic="), F.col("toxic").cast("string")).alias("line")
+    )
+    return sinks.manifest_listing(rows, listed)
+
+
+@query(f"""{_BASE}, {_islands_sql('de')} SELECT doc_id, sent_id, cs, lcs[cs] AS prev_j FROM p WHERE cs > 0 AND tags[cs] LIKE 'J%'""")
+def features_prev_j(spark, d):
+    rows = S.feature_rows(S.chunks_of(_sentences(spark, d), "de"), "en", ["prev_J"]).where(F.size("features") > 0)
+    return rows.select("doc_id", "sent_id", "cs", F.substring(F.element_at("features", 1), 8, 10_000).alias("prev_j"))
+
+
+def _scan_sql(stop: str, skip: str) -> str:
+    """A preposition and, beyond it, a word whose tag begins with ``stop``, at most four tokens left of the chunk."""
+    step = lambda k: f"""e{k} AS (
+  SELECT *, CASE WHEN done OR cs - {k} <= 0 THEN prep WHEN tags[cs - {k} + 1] IN ('RP', 'IN', 'TO') THEN lcs[cs - {k} + 1] ELSE prep END AS prep_n,
+    CASE WHEN NOT done AND cs - {k} > 0 AND tags[cs - {k} + 1] LIKE '{stop}%' AND prep <> '' THEN lcs[cs - {k} + 1] ELSE word END AS word_n,
+    done OR cs - {k} <= 0 OR NOT (tags[cs - {k} + 1] IN ('RP', 'IN', 'TO') OR ({skip.format(tag=f'tags[cs - {k} + 1]')})) AS done_n FROM f{k - 1}
+), f{k} AS (SELECT doc_id, sent_id, cs, lcs, tags, prep_n AS prep, word_n AS word, done_n OR word_n <> '' AS done FROM e{k})"""
+    return "f0 AS (SELECT doc_id, sent_id, cs, lcs, tags, '' AS prep, '' AS word, false AS done FROM p), " + ", ".join(step(k) for k in (1, 2, 3, 4))
+
+
+@query(f"""{_BASE}, {_islands_sql('en')}, {_scan_sql('N', "regexp_matches({tag}, '^[JD]') AND prep = ''")} SELECT doc_id, sent_id, cs, word || '_' || prep AS prev_npr FROM f4 WHERE word <> ''""")
+def features_prev_npr(spark, d):
+    rows = S.feature_rows(S.chunks_of(_sentences(spark, d), "en"), "en", ["prev_Npr"]).where(F.size("features") > 0)
+    return rows.select("doc_id", "sent_id", "cs", F.substring(F.element_at("features", 1), 10, 10_000).alias("prev_npr"))
+
+
+@query(f"""{_BASE}, {_islands_sql('en')}, {_scan_sql('J', "regexp_matches({tag}, '^[JD]')")} SELECT doc_id, sent_id, cs, word || '_' || prep AS prev_jpr FROM f4 WHERE word <> ''""")
+def features_prev_jpr(spark, d):
+    rows = S.feature_rows(S.chunks_of(_sentences(spark, d), "en"), "en", ["prev_Jpr"]).where(F.size("features") > 0)
+    return rows.select("doc_id", "sent_id", "cs", F.substring(F.element_at("features", 1), 10, 10_000).alias("prev_jpr"))
+
+
+def _language_features(language: str):
+    def run(spark, d):
+        rows = S.feature_rows(S.chunks_of(_sentences(spark, d), language), language)
+        return rows.select("doc_id", "sent_id", "cs", "term", F.array_join("features", "\t").alias("features"))
+
+    run.__name__ = f"features_{language}"
+    run.__doc__ = "All features of the language over rule tags; hand-made sentences test them."
+    query()(run)
+
+
+for _name in ("de", "cn"):
+    _language_features(_name)
