@@ -35,7 +35,7 @@ def _lines(spark, d):
 
 
 def _sentences(spark, d):
-    return S.sentences_of(S.title_sections(_lines(spark, d)))
+    return S.document_sentences(table(spark, d, "documents").select("doc_id", "text"))
 
 
 def _tokens(spark, d):

@@ -84,3 +84,11 @@ def test_external_tagger_errors_stay_in_their_row(spark):
 def test_unknown_languages():
     with pytest.raises(ValueError):
         tagging.chunker_for("fr")
+
+
+def test_sentences_inside_rows_are_those_of_lines(spark):
+    docs = [(1, "Title one. Two!\nx y. z\n\n \n" + "w" * 10_001 + "\nlast"), (2, ""), (3, None), (4, "w" * 10_001 + "\nrest. more"), (5, "\n~\nb")]
+    frame = spark.createDataFrame(docs, "doc_id int, text string")
+    order = ["doc_id", "sent_id"]
+    assert S.document_sentences(frame).orderBy(*order).collect() == S.sentences_of(S.title_sections(S.lines_of(frame))).orderBy(*order).collect()
+    assert "Exchange" not in S.document_sentences(frame)._jdf.queryExecution().executedPlan().toString()
