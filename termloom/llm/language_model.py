@@ -256,7 +256,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     source = docs.select(
         F.monotonically_increasing_id().alias("_rid"),
-        "doc_id",
+        F.col("doc_id").cast("string").alias("doc_id"),  # pandas would turn ids beside nulls into doubles
         held_out(F.col("doc_id"), MODULUS).alias("held_out"),
         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("_bytes"),
     )
@@ -280,7 +280,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     p = train(training, vocabulary, unigram)
     tables = spark.sparkContext.broadcast(p.tables())
     columns = (
-        "_rid long, doc_id long, held_out boolean, n_tokens long, n_frequent long, log_counts double, log_model double, "
+        "_rid long, doc_id string, held_out boolean, n_tokens long, n_frequent long, log_counts double, log_model double, "
         "shapes array<int>, rare array<struct<token: binary, n: int>>"
     )
     scored = settle(source.mapInPandas(_score(vocabulary, tables), columns), "scored")
@@ -298,7 +298,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     end_logs = float(np.log10(ends + 1))
     base = F.col("log_counts") + logs + F.lit(end_logs) - F.col("n_tokens") * F.lit(float(np.log10(total + distinct + 1)))
     return scored.join(known, "_rid", "left").select(
-        "doc_id",
+        F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"),
         "held_out",
         "n_tokens",
         (F.col("n_frequent") + more + F.lit(int(ends > 0))).cast("long").alias("n_known"),

@@ -69,3 +69,8 @@ def test_contrastive_steps_learn():
 
 def test_spelling_classes():
     assert all(0 <= L.shape(t.encode()) < L.SHAPES for t in ("a", "z.", "1", "12345678901", "é", "日本", "«", "x-é"))
+
+
+def test_large_ids_beside_null_ones(docs):
+    got = {r["doc_id"] for r in L.score_documents(docs([((1 << 62) + 1, "a b"), (None, "c")], parts=1)).collect()}
+    assert got == {(1 << 62) + 1, None}
