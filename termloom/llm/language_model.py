@@ -246,6 +246,18 @@ def count_training_tokens(texts: DataFrame) -> DataFrame:
     return settle(parts.groupBy("token").agg(F.first("shape").alias("shape"), F.sum("n").alias("n")), "token-counts")
 
 
+def commonest(counts: DataFrame, most: int) -> int:
+    """The least count so that no more than ``most`` tokens have it or a higher one, by sixteenths of a doubling."""
+    bins = counts.groupBy(F.floor(F.log2("n") * 16).alias("bin")).agg(F.min("n").alias("least"), F.count("*").alias("tokens"))
+    out, kept = 1 << 62, 0
+    for r in sorted(bins.collect(), key=lambda r: -r["bin"]):  # 1024 rows at most
+        kept += r["tokens"]
+        if kept > most:
+            break
+        out = r["least"]
+    return out
+
+
 def score_documents(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row.
 
@@ -263,7 +275,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
     training = source.where("NOT held_out").select("_bytes")
     ends = training.count()
     counts = count_training_tokens(training)
-    frequent = counts.orderBy(F.desc("n"), "token").limit(FREQUENT).collect()  # FREQUENT rows at most
+    least = commonest(counts, FREQUENT)
+    frequent = counts.where(F.col("n") >= least).collect()  # FREQUENT rows at most
+    frequent.sort(key=lambda r: (-r["n"], bytes(r["token"])))
     own = Vocabulary([bytes(r["token"]) for r in frequent], [r["n"] for r in frequent], [r["shape"] for r in frequent], ends)
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total, distinct = total + ends, distinct + (ends > 0)
@@ -286,7 +300,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     scored = settle(source.mapInPandas(_score(vocabulary, tables), columns), "scored")
     rare = scored.select("_rid", F.explode("rare").alias("r")).select("_rid", F.col("r.token").alias("token"), F.col("r.n").alias("times"))
     known = (
-        rare.join(counts.where(F.col("n") <= (frequent[-1]["n"] if frequent else 0)), "token")
+        rare.join(counts.where(F.col("n") < least), "token")
         .groupBy("_rid")
         .agg(F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("_logs"), F.sum("times").alias("_known"))
     )

@@ -71,6 +71,15 @@ def test_spelling_classes():
     assert all(0 <= L.shape(t.encode()) < L.SHAPES for t in ("a", "z.", "1", "12345678901", "é", "日本", "«", "x-é"))
 
 
+def test_commonest_never_exceeds_its_bound(spark):
+    counts = spark.createDataFrame([(f"t{i}", max(1, 3000 // (i + 1))) for i in range(3000)], "token string, n long")
+    for most in (1, 50, 500, 2999, 3000, 9000):
+        kept = counts.where(counts["n"] >= L.commonest(counts, most)).count()
+        assert kept <= most and (kept == 3000 or most < 3000)
+    assert counts.where(counts["n"] >= L.commonest(counts, 500)).count() > 300
+    assert L.commonest(counts.where("false"), 5) > 0
+
+
 def test_large_ids_beside_null_ones(docs):
     got = {r["doc_id"] for r in L.score_documents(docs([((1 << 62) + 1, "a b"), (None, "c")], parts=1)).collect()}
     assert got == {(1 << 62) + 1, None}
