@@ -42,6 +42,8 @@ STRIDE = 4
 BATCH = 2048
 NOISE = 96
 RATE = 0.1
+#: Texts scored at a time.
+SLICE = 500
 #: Distinct tokens that a task counts before it hands them on.
 HELD = 400_000
 
@@ -217,7 +219,7 @@ def _score(vocabulary, tables):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = vocabulary.value
         a1, a2, z = tables.value
-        for b in batches:
+        for b in (b.iloc[lo : lo + SLICE] for b in batches for lo in range(0, len(b), SLICE)):
             out: dict[str, list] = {c: [] for c in ("n_tokens", "n_frequent", "log_counts", "log_model", "shapes", "rare")}
             for t in b["_bytes"]:
                 words = tokens(t)
@@ -234,7 +236,7 @@ def _score(vocabulary, tables):
                 out["shapes"].append(np.bincount(cls[:-1][as_shape] - 1 - WORDS, minlength=SHAPES).tolist() if as_shape.any() else [])
                 rare = Counter(words[i] for i in np.flatnonzero(~known).tolist())
                 out["rare"].append([{"token": w, "n": n} for w, n in rare.items()])
-            keep = {c: b[c] for c in b.columns if c != "_bytes"}
+            keep = {c: b[c].to_numpy() for c in b.columns if c != "_bytes"}
             yield pd.DataFrame({**keep, **out})
 
     return run
