@@ -34,6 +34,8 @@ DECAY = 3e-4
 FEATURES = 20_000
 THRESHOLD = 0.3
 MODULUS = 4
+#: Texts whose features the trainer looks at together.
+BLOCK = 500
 #: Characters hashed at once; longer texts are taken in overlapping pieces.
 PIECE = 1 << 20
 _MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1, 0xD3A2646D)
@@ -126,16 +128,19 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, index: np.ndarray, a: np.ndar
     if not 0 < pos < n:
         p = min(max(prior, 1e-6), 1 - 1e-6)
         return Model(np.empty(0), np.empty(0), float(np.log(p / (1 - p))))
-    cols, text = np.concatenate(rows).astype(np.int64), np.repeat(np.arange(n), [len(r) for r in rows])
     ratio = np.log((a + 0.5) / (pos + 1)) - np.log((df - a + 0.5) / (n - pos + 1))
-    value = ratio[cols]
     share = np.where(toxic == 1, prior / pos, (1 - prior) / (n - pos))
     u, bias = np.zeros(len(index)), float(np.log(prior / (1 - prior)))
     m, v, step, decay = np.zeros(len(index) + 1), np.zeros(len(index) + 1), 0.05, DECAY
     for t in range(1, rounds + 1):
-        z = np.bincount(text, weights=u[cols] * value, minlength=n) + bias
-        err = share * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - toxic)
-        grad = np.append(np.bincount(cols, weights=err[text] * value, minlength=len(index)) + decay * u, err.sum())
+        grad, w = np.append(decay * u, 0.0), u * ratio
+        for lo in range(0, n, BLOCK):  # little memory, whatever the sample
+            part = rows[lo : lo + BLOCK]
+            cols, text = np.concatenate(part), np.repeat(np.arange(len(part)), [len(r) for r in part])
+            z = np.bincount(text, weights=w[cols], minlength=len(part)) + bias
+            err = share[lo : lo + BLOCK] * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - toxic[lo : lo + BLOCK])
+            grad[:-1] += ratio * np.bincount(cols, weights=err[text], minlength=len(index))
+            grad[-1] += err.sum()
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         move = step * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
         u, bias = u - move[:-1], bias - float(move[-1])
