@@ -26,10 +26,10 @@ from pyspark.sql import types as T
 from termloom.llm.common import Carried, row_key
 from termloom.runtime import settle, table
 
-SPAN = 4
+SPAN = 3
 LEAST = 15
 CUT = 4
-GAP = 2
+GAP = 7
 #: Words whose kind a worker remembers.
 REMEMBERED = 500_000
 _MARKS = (b".", b"!", b"?", "。".encode())
