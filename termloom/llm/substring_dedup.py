@@ -7,8 +7,9 @@ as many more as make ``LEAST`` words, is hashed (lower-cased A-Z, white space ma
 row of least id, earliest in the text. Sentences covered by any other place of a run are removed. Each removed sentence has
 an equal one at an earlier place, so some copy always stays.
 
-Hashes are aggregated per document first, then per hash with map-side combination; only hashes of several
-rows are joined back, by the hash, where AQE splits a hot one. Text is shuffled once, to meet its removals.
+Of each run a task hands on its first place among some thousand rows; its other places there are removed whatever comes from
+other tasks, so a hot run has no more places than there are such groups of rows. Places travel packed, a few bytes each, and
+meet by ranges of hashes; only those that have an earlier one become rows again. Text is shuffled once, to meet its removals.
 """
 
 from __future__ import annotations
@@ -26,10 +27,14 @@ from pyspark.sql import types as T
 from termloom.llm.common import Carried, row_key
 from termloom.runtime import settle, table
 
-SPAN = 3
+SPAN = 4
 LEAST = 15
 CUT = 4
-GAP = 7
+GAP = 2
+#: Runs that a task holds before it hands them on.
+HELD = 500_000
+#: Hashes meet by so many ranges, a power of two.
+BUCKETS = 1024
 #: Words whose kind a worker remembers.
 REMEMBERED = 500_000
 _MARKS = (b".", b"!", b"?", "。".encode())
@@ -99,30 +104,92 @@ def runs(words: list[bytes], starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return h[whole].view(np.int64), first[whole], size[whole]
 
 
-_PLACES = pa.struct([("h", pa.int64()), ("i", pa.int32()), ("n", pa.int32())])
-
-
-def _lists(columns: list[tuple[np.ndarray, ...]]) -> pa.Array:
-    """One list of (h, i, n) for each text."""
-    h, i, n = (np.concatenate(x) if columns else np.empty(0, np.int64) for x in (zip(*columns, strict=True) if columns else ((), (), ())))
-    flat = pa.StructArray.from_arrays([pa.array(h, pa.int64()), pa.array(i.astype(np.int32)), pa.array(n.astype(np.int32))], fields=list(_PLACES))
-    offsets = np.concatenate(([0], np.cumsum([len(c[0]) for c in columns]))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), flat)
+_PLACES = pa.struct([("i", pa.int32()), ("n", pa.int32())])
+_MARKED = pa.schema(
+    [("rid", pa.int64()), ("doc_id", pa.int64()), ("_k", pa.string()), ("again", pa.list_(_PLACES))]
+    + [("bucket", pa.int32()), ("base", pa.int64()), ("size", pa.int32()), ("packed", pa.binary())]
+)
+_LATER = pa.schema([("rid", pa.int64()), ("i", pa.int32()), ("n", pa.int32())])
+
+
+def pack(h: np.ndarray, ids: np.ndarray, *rest: np.ndarray) -> bytes:
+    """Ascending hashes, another column of 64 bits and three of 32: differences, bytes of equal weight side by side, zstd."""
+    columns = (np.diff(h, prepend=np.uint64(0)), ids.astype(np.int64), *(x.astype(np.uint32) for x in rest))
+    return pa.compress(b"".join(x.view(np.uint8).reshape(len(x), -1).T.tobytes() for x in columns), codec="zstd", asbytes=True)
+
+
+def unpack(packed: bytes, size: int) -> list[np.ndarray]:
+    raw = np.frombuffer(pa.decompress(packed, decompressed_size=28 * size, codec="zstd", asbytes=True), dtype=np.uint8)
+    h, ids = (np.ascontiguousarray(x.T).view(np.uint64).ravel() for x in raw[: 16 * size].reshape(2, 8, size))
+    rest = (np.ascontiguousarray(x.T).view(np.uint32).ravel() for x in raw[16 * size :].reshape(3, 4, size))
+    return [np.cumsum(h, dtype=np.uint64), ids.view(np.int64), *rest]
+
+
+def _combined(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Of (rid, doc_id, key, runs) one record a row with the places that have an earlier one here, one a bucket with the other places."""
+    rid, ids, keys, found = zip(*rows, strict=True)
+    rid, doc_id = np.array(rid, dtype=np.int64), np.array([x or 0 for x in ids], dtype=np.int64)
+    last = np.array([x is None for x in ids])
+    order = np.lexsort((rid, doc_id, last))
+    h, i, n = (np.concatenate([found[k][c] for k in order]) for c in range(3))
+    row = np.repeat(order, [len(found[k][0]) for k in order])
+    by = np.argsort(h.view(np.uint64), kind="stable")
+    h, row, i, n = h.view(np.uint64)[by], row[by], i[by], n[by]
+    new = np.ones(len(h), dtype=bool)
+    new[1:] = h[1:] != h[:-1]
+    again = np.flatnonzero(~new)
+    again = again[np.argsort(row[again], kind="stable")]
+    offsets = np.concatenate(([0], np.cumsum(np.bincount(row[again], minlength=len(rid))))).astype(np.int32)
+    places = pa.StructArray.from_arrays([pa.array(x[again].astype(np.int32)) for x in (i, n)], fields=list(_PLACES))
+    own = [pa.array(rid), pa.array(ids, pa.int64()), pa.array(keys, pa.string()), pa.ListArray.from_arrays(pa.array(offsets), places)]
+    yield pa.RecordBatch.from_arrays([*own, *(pa.nulls(len(rid), f.type) for f in list(_MARKED)[4:])], schema=_MARKED)
+    if not len(h):
+        return
+    base = int(rid.min())
+    h, row, i, n = h[new], row[new], i[new], n[new]
+    at = rid[row] - base
+    ids, at = doc_id[row] - at, 2 * at + last[row]  # ids in the order of rows become one value; a row without id is odd
+    bucket = (h // np.uint64((1 << 64) // BUCKETS)).astype(np.int32)
+    edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(h)]
+    spans = [slice(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    packed = [
+        pa.array(bucket[edges[:-1]]),
+        pa.array([base] * len(spans), pa.int64()),
+        pa.array([x.stop - x.start for x in spans], pa.int32()),
+        pa.array([pack(h[x], ids[x], at[x], i[x], n[x]) for x in spans], pa.binary()),
+    ]
+    yield pa.RecordBatch.from_arrays([*(pa.nulls(len(spans), f.type) for f in list(_MARKED)[:4]), *packed], schema=_MARKED)
 
 
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each text its runs' first places, and the other places of runs that occur in it again."""
+    held: list[tuple] = []
+    size = 0
     for b in batches:
-        first, again = [], []
-        for t in b.column("_bytes"):
-            h, i, n = runs(*sentences(t.as_py() or b""))
-            _, at = np.unique(h, return_index=True)
-            new = np.zeros(len(h), dtype=bool)
-            new[at] = True
-            first.append((h[new], i[new], n[new]))
-            again.append((h[~new], i[~new], n[~new]))
-        names = [n for n in b.schema.names if n != "_bytes"]
-        yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), _lists(first), _lists(again)], [*names, "first", "again"])
+        for rid, doc_id, key, text in zip(*(b.column(c) for c in ("rid", "doc_id", "_k", "_bytes")), strict=True):
+            found = runs(*sentences(text.as_py() or b""))
+            held.append((rid.as_py(), doc_id.as_py(), key.as_py(), found))
+            size += len(found[0]) + 1
+            if size >= HELD:
+                yield from _combined(held)
+                held, size = [], 0
+    if held:
+        yield from _combined(held)
+
+
+def _meet(bucket: pa.Table) -> pa.Table:
+    """The places of a bucket whose hash has an earlier one in it."""
+    parts = []
+    for base, size, packed in zip(*(bucket.column(c).to_pylist() for c in ("base", "size", "packed")), strict=True):
+        h, ids, at, i, n = unpack(packed, size)
+        row = (at >> 1).astype(np.int64)
+        parts.append((h, (at & 1).astype(bool), ids + row, row + base, i, n))
+    h, last, ids, rid, i, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    by = np.argsort(h, kind="stable")
+    same = h[by][1:] == h[by][:-1]
+    by = by[np.concatenate((same, [False])) | np.concatenate(([False], same))]
+    by = by[np.lexsort((rid[by], ids[by], last[by], h[by]))]
+    later = by[1:][h[by][1:] == h[by][:-1]]
+    return pa.table([rid[later], i[later].astype(np.int32), n[later].astype(np.int32)], schema=_LATER)
 
 
 def cut(text: bytes, places: list[dict] | None) -> tuple[bytes, int, int, int, int]:
@@ -165,16 +232,14 @@ def removals(docs: DataFrame) -> DataFrame:
     source = docs.select(
         F.monotonically_increasing_id().alias("rid"), F.col("doc_id"), "_k", F.col("text").cast("binary").alias("_bytes")
     )
-    places = "array<struct<h: bigint, i: int, n: int>>"
-    schema = f"rid long, doc_id long, _k string, first {places}, again {places}"
+    schema = "rid long, doc_id long, _k string, again array<struct<i: int, n: int>>, bucket int, base long, size int, packed binary"
     marked = settle(source.mapInArrow(_mark, schema), "runs")
-    rank = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("rid").alias("rid"))
-    place = marked.select("rid", rank.alias("rank"), F.explode("first").alias("f")).select("rid", "rank", "f.*")
-    shared = place.groupBy("h").agg(F.min("rank").alias("r"), F.count("*").alias("rows")).where("rows > 1").select("h", F.col("r.rid").alias("owner"))
-    later = place.select("rid", "h", "i", "n").join(shared, "h").where("rid <> owner").select("rid", "i", "n")
-    every = later.union(marked.select("rid", F.explode("again").alias("f")).select("rid", "f.i", "f.n"))
+    rows = marked.where("rid IS NOT NULL")
+    packed = marked.where("bucket IS NOT NULL").select("bucket", "base", "size", "packed")
+    later = packed.groupBy("bucket").applyInArrow(_meet, "rid long, i int, n int")
+    every = later.union(rows.select("rid", F.explode("again").alias("f")).select("rid", "f.i", "f.n"))
     lists = every.groupBy("rid").agg(F.collect_list(F.struct("i", "n")).alias("_places"))
-    keyed = marked.select("rid", "_k").join(lists, "rid", "left")
+    keyed = rows.select("rid", "_k").join(lists, "rid", "left")
     # of rows equal in id and text the first has the list; the others lose all their runs, see dedup_substrings
     return keyed.groupBy("_k").agg(F.min_by("_places", "rid").alias("_places"))
 

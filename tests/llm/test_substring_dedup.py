@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
+
 from termloom.llm import substring_dedup as S
 from termloom.runtime import table
 
@@ -44,6 +46,16 @@ def test_against_one_pass(spark, docs):
     assert removed > 1000
 
 
+def test_groups_of_rows_meet(docs):
+    """Rows dealt over many tasks, so that first places are found between their groups."""
+    r = random.Random(10)
+    lines = [prose(r, 30) for _ in range(60)]
+    rows = [((i * 7919) % 1009 - 500, "\n".join(r.choices(lines, k=5))) for i in range(300)]
+    want = plain(rows)
+    for x in S.dedup_substrings(docs(rows, parts=40)).collect():
+        assert x["text"].lower().split() == [w.decode() for w in want[x["doc_id"]]]
+
+
 def prose(r: random.Random, n: int) -> str:
     return " ".join("".join(r.choice("abcdefghij") for _ in range(6)) + ("." if r.random() < 0.08 else "") for _ in range(n))
 
@@ -95,3 +107,38 @@ def test_sentences_are_the_whole_text():
         assert words == raw.lower().split() and starts[0] == 0 and starts[-1] == len(words)
         assert all(a < b for a, b in zip(starts[:-1], starts[1:], strict=True))
         assert S.cut(raw, [])[0] == raw
+
+
+def short_sentences(r: random.Random, lengths: list[int], end_mark: bool) -> str:
+    """A passage of whole sentences of so many words."""
+    words = [["".join(r.choice("klmnopqrst") for _ in range(7)) for _ in range(n)] for n in lengths]
+    text = ". ".join(" ".join(w) for w in words)
+    return text + "." if end_mark else text
+
+
+def test_passages_of_short_sentences(docs):
+    """Passages of four or five sentences of 10 to 14 words, alone in one document and spliced mid-sentence in another."""
+    r = random.Random(9)
+    rows, passages = [], {}
+    for k in range(200):
+        passage = short_sentences(r, [r.randrange(10, 15) for _ in range(r.choice((4, 5)))], k % 2 == 0)
+        own = prose(r, 80).split(" ")
+        at = r.randrange(5, 75)
+        if own[at - 1].endswith("."):  # spliced mid-sentence
+            own[at - 1] = own[at - 1][:-1]
+        rows += [(2 * k, passage), (2 * k + 1, " ".join([*own[:at], passage, *own[at:]]))]
+        passages[2 * k + 1] = passage.split(" ")
+    out = {x["doc_id"]: x for x in S.dedup_substrings(docs(rows)).collect()}
+    left = {i: len(set(out[i]["text"].split()) & set(p)) for i, p in passages.items()}
+    print("words left of", sum(map(len, passages.values())), ":", sum(left.values()), "at most", max(left.values()))
+    assert all(out[2 * k]["text"] == rows[2 * k][1] for k in range(200))
+    assert all(left[i] <= 30 for i in left) and sum(left.values()) <= 0.15 * sum(map(len, passages.values()))
+
+
+def test_packed_places_come_back():
+    """Packed places come back as they were."""
+    g = np.random.default_rng(4)
+    h = np.sort(g.integers(0, 1 << 63, 999, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+    rest = [g.integers(-(1 << 63), 1 << 63, 999), *(g.integers(0, 1 << 32, 999, dtype=np.uint32) for _ in range(3))]
+    for want, got in zip((h, *rest), S.unpack(S.pack(h, *rest), 999), strict=True):
+        assert (want == got).all()
