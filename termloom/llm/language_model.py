@@ -6,7 +6,7 @@ two places before the target, and a bias: s(w | u, v) = (c1 * Q[u] + c2 * Q[v])
 
 Training: every task runs mini-batches over the texts it reads, real targets against noise drawn from the unigram,
 from one common start; the replicas' parameters are averaged by a distributed aggregate of bounded width and a second
-round starts from the mean. All training documents take part, a fixed share of the positions of each.
+round starts from the mean. Every position of every training document is a target once, in one of the rounds.
 
 Scoring: batched matrix products give A1 = (Q c1) R', A2 = (Q c2) R' and the normaliser of every pair of context classes,
 Z = exp(A1) (exp(A2 + b))', so a token's normalised log-probability is a sum of looked-up values. A token of a spelling
@@ -37,8 +37,8 @@ END = 0
 FREQUENT = 200_000
 DIM = 32
 ROUNDS = 2
-#: One of so many positions of each text is a training target, another one in each round.
-STRIDE = 4
+#: One of so many positions of each text is a training target, another one in each round, so that each is one once.
+STRIDE = ROUNDS
 BATCH = 2048
 NOISE = 96
 RATE = 0.1
@@ -82,12 +82,19 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out()
 
 
+class _Places(dict):
+    """Token to place, -1 for others."""
+
+    def __missing__(self, token: bytes) -> int:
+        return -1
+
+
 class Vocabulary:
     """What every worker knows: the frequent tokens' places, classes and log counts."""
 
     def __init__(self, words: list[bytes], counts: list[int], shapes: list[int], ends: int):
         self.words = words
-        self.place = {w: i for i, w in enumerate(words)}
+        self.place = _Places((w, i) for i, w in enumerate(words))
         own = np.arange(1, len(words) + 1, dtype=np.int32)
         self.cls = np.where(own <= WORDS, own, 1 + WORDS + np.array(shapes, dtype=np.int32))
         self.log_count = np.log10(np.array(counts, dtype=np.float64) + 1)
@@ -95,8 +102,7 @@ class Vocabulary:
 
     def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Places of a text's tokens, -1 where rare, and classes with the end's last."""
-        get = self.place.get
-        place = np.fromiter((get(w, -1) for w in words), dtype=np.int32, count=len(words))
+        place = np.fromiter(map(self.place.__getitem__, words), dtype=np.int32, count=len(words))
         cls = np.empty(len(words) + 1, dtype=np.int32)
         cls[:-1] = self.cls[place] if len(self.words) else 0
         for i in np.flatnonzero(place < 0).tolist():
@@ -146,7 +152,12 @@ def nce_step(p: Parameters, grad2: np.ndarray, one, two, target, noise, log_nois
     real = p.r[target]
     up = 1 / (1 + np.exp(-np.clip((h * real).sum(1) + p.b[target] - log_noise[target], -30, 30))) - 1
     other = p.r[noise]
-    down = 1 / (1 + np.exp(-np.clip(h @ other.T + p.b[noise] - log_noise[noise], -30, 30)))
+    down = h @ other.T
+    down += p.b[noise] - log_noise[noise]
+    np.negative(np.clip(down, -30, 30, out=down), out=down)
+    np.exp(down, out=down)
+    down += 1
+    np.reciprocal(down, out=down)
     dh = up[:, None] * real + down @ other
     k = CLASSES * DIM
     g = np.zeros_like(p.vector)
@@ -162,7 +173,7 @@ def nce_step(p: Parameters, grad2: np.ndarray, one, two, target, noise, log_nois
 
 
 def _scatter(into: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    order = np.argsort(rows, kind="stable")
+    order = np.argsort(rows.astype(np.int16), kind="stable")  # classes fit, and 16 bits are sorted by radix
     sorted_rows = rows[order]
     at = np.flatnonzero(np.concatenate(([True], sorted_rows[1:] != sorted_rows[:-1])))
     into[sorted_rows[at]] += np.add.reduceat(values[order], at, axis=0)

@@ -6,8 +6,10 @@ import math
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 
 from termloom.llm import language_model as L
 from termloom.runtime import table
@@ -83,3 +85,22 @@ def test_commonest_never_exceeds_its_bound(spark):
 def test_large_ids_beside_null_ones(docs):
     got = {r["doc_id"] for r in L.score_documents(docs([((1 << 62) + 1, "a b"), (None, "c")], parts=1)).collect()}
     assert got == {(1 << 62) + 1, None}
+
+
+def test_every_position_is_a_target_once(monkeypatch):
+    """Over all rounds the targets are all tokens and the end of each text, whatever its length."""
+    texts = [b" ".join(b"w%d" % (k % 9) for k in range(n)) for n in (0, 1, 2, 3, 4, 5, 6, 7, 50, 3 * L.BATCH + 1)]
+    words = [b"w%d" % k for k in range(9)]
+    own = L.Vocabulary(words, [1] * 9, [L.shape(w) for w in words], len(texts))
+    want = np.bincount(np.concatenate([own.read(L.tokens(t))[1] for t in texts]), minlength=L.CLASSES)
+    seen = np.zeros(L.CLASSES, dtype=int)
+
+    def step(p, grad2, one, two, target, noise, log_noise):
+        seen[:] += np.bincount(target, minlength=L.CLASSES)
+
+    monkeypatch.setattr(L, "nce_step", step)
+    unigram = np.full(L.CLASSES, 1 / L.CLASSES)
+    for turn in range(L.ROUNDS):
+        run = L._train(SimpleNamespace(value=own), L.Parameters.start(unigram).vector, unigram, turn)
+        list(run(iter([pd.DataFrame({"_bytes": texts})])))
+    assert (seen == want).all()
