@@ -30,8 +30,6 @@ MIN_TEXTS = 3
 #: Features whose log-likelihood ratio (2 sum o log o/e of the 2 x 2 table) is below this tell no label apart.
 MIN_EVIDENCE = 18.0
 DECAY = 3e-4
-#: Most features a model has.
-FEATURES = 20_000
 THRESHOLD = 0.3
 MODULUS = 4
 #: Texts whose features the trainer looks at together.
@@ -201,9 +199,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .where(F.col("df") >= MIN_TEXTS)
         .withColumn("g", evidence(pos, n))
         .where(F.col("g") >= MIN_EVIDENCE)
-        .orderBy(F.desc("g"), "gram")
-        .limit(FEATURES)
-        .collect()
+        .collect()  # bounded by the sample and by 2^BITS
     )
     telling.sort(key=lambda r: r["gram"])
     index, a, df = (np.array([r[c] for r in telling], dtype=np.int64) for c in ("gram", "a", "df"))

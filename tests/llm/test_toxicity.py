@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -59,3 +61,13 @@ def test_training_reads_no_held_out_label(spark, docs):
     flipped = [(i, 1 - t if toxicity.crc32_of(i) % 4 == 2 else t) for i, t in labels]
     a, b = (toxicity.train(d, spark.createDataFrame(x, "doc_id long, toxic int")) for x in (labels, flipped))
     assert (a.index == b.index).all() and np.allclose(a.weight, b.weight) and np.isclose(a.bias, b.bias)
+
+
+def test_all_telling_features_are_kept(spark, docs):
+    """Toxic texts share a passage of more than 20,000 telling n-grams; none is left out for their number."""
+    r = random.Random(11)
+    letters = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    shared = letters(12_000)
+    rows = [(i, f"{letters(50)} {shared}" if i % 2 else letters(50)) for i in range(120)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, toxic int")
+    assert len(toxicity.train(docs(rows), labels).index) > 22_000
