@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.runtime import settle
+from termloom.runtime import release, settle
 
 MAX_ROUNDS = 60
 
@@ -38,7 +38,8 @@ def components(edges: DataFrame) -> DataFrame:
     digest = lambda d: tuple(d.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
     last = digest(e)
     for _ in range(MAX_ROUNDS if last[0] else 0):
-        e = settle(_small_star(_large_star(e)), "edges")
+        before, e = e, settle(_small_star(_large_star(e)), "edges")
+        release(before)
         now = digest(e)
         if now == last:
             break

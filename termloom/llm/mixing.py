@@ -9,6 +9,9 @@ t + g (t * t - t) is the share of the source's target that training has asked fo
 at cumulative word c of its source's stream is due when the demand reaches c: t is the root of
 g t^2 + (1 - g) t = c / target. Sorting by t (range partitions) gives the training order.
 
+A document is taken whole: its copies are the full passes over its source's stream, and one more if its middle lies inside what is
+left of the target. Every copy has its own position, later passes later ones.
+
 The stream order inside a source is that of the md5 of id and text. Cumulative words come in two levels, sums of
 md5 buckets and a window inside each (source, bucket), so one source with a third of all rows is spread over all tasks.
 """
@@ -24,11 +27,11 @@ from termloom.runtime import table
 MAX_EPOCHS = 3
 #: Slope of the weight schedule for weights 1, 2, 3: from early to late in training.
 SLOPES = (-0.5, 0.0, 0.5)
-ADDED = ("size", "source_size", "target", "taken", "copies", "position")
+ADDED = ("size", "source_size", "target", "taken", "copies", "positions")
 
 
 def _sources(sums: DataFrame, epochs: int) -> DataFrame:
-    """A row for each source: its words, weight class, target."""
+    """A row for each source: its words, weight class, target. All sources meet in one task, a row each, whatever their size."""
     totals = sums.groupBy("_src", "source").agg(F.sum("_sum").alias("source_size"))
     ranked = totals.withColumn("w", ((F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % 3 + 1).cast("long"))
     by_ratio = Window.orderBy(F.col("source_size") / F.col("w"), F.col("source").asc_nulls_last())
@@ -51,13 +54,12 @@ def _sources(sums: DataFrame, epochs: int) -> DataFrame:
 
 
 def plan_mix(docs: DataFrame, epochs: int = MAX_EPOCHS) -> DataFrame:
-    """Every row with ``size``, ``source_size``, ``target``, ``taken`` (words), ``copies`` (whole documents) and
-    ``position`` (training time of the first copy, null if none).
+    """Every row with ``size``, ``source_size``, ``target``, ``copies`` (whole documents that the mix takes), ``taken`` (their
+    words, size times copies) and ``positions`` (training time of each copy, ascending; empty if none).
 
-    ``taken`` cuts the last document of a pass at the target's word, so a source's sum is its rounded target; ``copies``
-    takes a document of the last pass whole if its middle is inside. Null text has size 0, null source is a source,
-    null ids are ordered by text. Rows equal in id and text may swap results. Extra columns pass through, those with a result's
-    name give way to it.
+    A source's taken words are within half a document of its target. Null text has size 0, null source is a source, null ids are
+    ordered by text. Rows equal in id and text may swap results. An empty table gives an empty table. Extra columns pass through,
+    those with a result's name give way to it.
     """
     carried = Carried(docs, "doc_id", "source", "text")
     return carried.back(_planned(carried.frame, epochs), *ADDED)
@@ -82,15 +84,15 @@ def _planned(docs: DataFrame, epochs: int) -> DataFrame:
     )
     goal = F.round("target").cast("long")
     full = F.when(F.col("source_size") > 0, F.call_function("div", goal, F.col("source_size"))).otherwise(F.lit(1).cast("long"))
-    demand = placed.withColumn("_epochs", full).withColumn("_rest", goal - F.col("_epochs") * F.col("source_size"))
-    last = F.greatest(F.lit(0).cast("long"), F.least(F.col("_size"), F.col("_rest") - F.col("_before")))
-    whole = (2 * F.col("_before") + F.col("_size") < 2 * F.col("_rest")).cast("long")
+    rest = goal - full * F.col("source_size")
+    inside_rest = (2 * F.col("_before") + F.col("_size") < 2 * rest).cast("long")
+    at = [due(F.col("_before") + k * F.col("source_size"), F.col("target"), F.col("_slope")) for k in range(epochs)]
     return (
-        demand.withColumn("taken", F.col("_epochs") * F.col("_size") + last)
-        .withColumn("copies", (F.col("_epochs") + whole).cast("int"))
-        .withColumn("position", F.when(F.col("copies") > 0, due(F.col("_before"), F.col("target"), F.col("_slope"))))
+        placed.withColumn("copies", (full + inside_rest).cast("int"))
+        .withColumn("taken", F.col("copies") * F.col("_size"))
+        .withColumn("positions", F.slice(F.array(*at), F.lit(1), F.col("copies")))
         .withColumnRenamed("_size", "size")
-        .drop("_src", "_bucket", "_key", "_sum", "_epochs", "_rest")
+        .drop("_src", "_bucket", "_sum")
     )
 
 
@@ -102,19 +104,24 @@ def due(words: Column, target: Column, slope: Column) -> Column:
 
 
 def mix(docs: DataFrame, epochs: int = MAX_EPOCHS) -> DataFrame:
-    """The training set: a row for each whole copy, the input's columns only, range-sorted by training time."""
+    """The training set: a row for each whole copy, the input's columns only, range-sorted by training time.
+
+    Ties in time are ordered by the md5 of id and text and by pass, so the order is one and the same on every run, up to rows equal
+    in id and text. Written files hold it: file by file, row by row (see ``sharding.in_file_order``).
+    """
     carried = Carried(docs, "doc_id", "source", "text")
-    copies = _planned(carried.frame, epochs).where("copies > 0").withColumn("_pass", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-    at = due(F.col("_before") + F.col("_pass") * F.col("source_size"), F.col("target"), F.col("_slope"))
-    return carried.back(copies.withColumn("position", at).orderBy("position"))
+    copies = _planned(carried.frame, epochs).select(*carried.held, "_key", F.posexplode("positions").alias("_pass", "_at"))
+    return carried.back(copies.orderBy("_at", "_key", "_pass"))
 
 
 def op5_mixing(spark, sf_dir: str) -> DataFrame:
-    """Every document of the table with what the mix takes of it, in training order (documents not taken last)."""
+    """Every document of the table with what the mix takes of it, and the training times of its copies; in order of the first
+    (documents not taken last)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    time = {"position" + ("" if k == 0 else f"_{k + 1}"): F.get("positions", F.lit(k)) for k in range(MAX_EPOCHS)}
     return (
         plan_mix(docs)
-        .select("doc_id", "size", "source_size", "target", "taken", "position")
+        .select("doc_id", "size", "source_size", "target", "taken", "copies", *(t.alias(n) for n, t in time.items()))
         .orderBy(F.col("position").asc_nulls_last(), "doc_id")
     )
 
@@ -141,12 +148,14 @@ WITH d AS (
 ), q AS (
   SELECT *, CASE WHEN ss > 0 THEN goal // ss ELSE 1 END AS e FROM p
 ), r AS (
-  SELECT *, goal - e * ss AS rest, CASE WHEN target > 0 THEN least(1.0::DOUBLE, b / target) ELSE 0.0::DOUBLE END AS u FROM q
+  SELECT *, CAST(e + CASE WHEN 2 * b + size < 2 * (goal - e * ss) THEN 1 ELSE 0 END AS INT) AS copies FROM q
+), u AS (
+  SELECT *, list_transform([0, 1, 2], lambda k: CASE WHEN target > 0 THEN least(1.0::DOUBLE, (b + k * ss) / target) ELSE 0.0::DOUBLE END) AS us FROM r
+), t AS (
+  SELECT *, list_transform(us, lambda x: CASE WHEN g = 0 THEN x
+    ELSE abs((sqrt((1.0::DOUBLE - g) * (1.0::DOUBLE - g) + 4.0::DOUBLE * g * x) - (1.0::DOUBLE - g)) / (2.0::DOUBLE * g)) END) AS ts FROM u
 )
-SELECT doc_id, CAST(size AS BIGINT) AS size, ss AS source_size, target,
-       CAST(e * size + greatest(0, least(size, rest - b)) AS BIGINT) AS taken,
-       CASE WHEN e + CASE WHEN 2 * b + size < 2 * rest THEN 1 ELSE 0 END > 0 THEN
-         CASE WHEN g = 0 THEN u ELSE abs((sqrt((1.0::DOUBLE - g) * (1.0::DOUBLE - g) + 4.0::DOUBLE * g * u) - (1.0::DOUBLE - g)) / (2.0::DOUBLE * g)) END
-       END AS position
-FROM r
+SELECT doc_id, CAST(size AS BIGINT) AS size, ss AS source_size, target, CAST(copies * size AS BIGINT) AS taken, copies,
+       CASE WHEN copies > 0 THEN ts[1] END AS position, CASE WHEN copies > 1 THEN ts[2] END AS position_2, CASE WHEN copies > 2 THEN ts[3] END AS position_3
+FROM t
 """

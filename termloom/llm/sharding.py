@@ -8,10 +8,14 @@ The permutation acts on Z_a x Z_b, a = ceil(sqrt(n)), b = ceil(n / a): six round
 other. The domain is less than sqrt(n) larger than n, so a point seldom lies outside [0, n); if so it is permuted
 again until it is inside (cycle walking), which keeps the map a bijection on [0, n).
 shard = p mod shards, slot = p div shards: counts differ by one at most and slots have no gaps.
+
+A table that was written in an order worth keeping (a curriculum) is numbered in that order instead, by file and row: then the
+number is the row's position in training and its shard and slot are computed from it.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,18 +82,67 @@ def shard_documents(docs: DataFrame, shards: int = 16, seed: int = 20_240_601) -
     give way to it.
     """
     carried = Carried(docs, "doc_id", "text")
-    ident = F.md5(
+    numbered = number_rows(carried.frame, _identity(), "_row", "_rows")
+    return carried.back(_dealt(numbered, F.col("_row"), F.col("_rows"), shards, seed), "shard", "slot")
+
+
+def _identity() -> Column:
+    """The md5 of ``doc_id`` and ``text``, null unlike any value."""
+    return F.md5(
         F.concat_ws(
             "\x01",
             F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
             F.coalesce(F.concat(F.lit("t"), F.col("text")), F.lit("null")),
         ).cast("binary")
     )
-    placed = number_rows(carried.frame, ident, "_row", "_rows").withColumn("_place", feistel(F.col("_row"), F.col("_rows"), seed))
-    dealt = placed.withColumn("shard", F.pmod(F.col("_place"), F.lit(shards)).cast("int")).withColumn(
-        "slot", _div(F.col("_place"), F.lit(shards).cast("long"))
+
+
+def _dealt(numbered: DataFrame, row: Column, rows: Column, shards: int, seed: int) -> DataFrame:
+    return (
+        numbered.withColumn("_place", feistel(row, rows, seed))
+        .withColumn("shard", F.pmod(F.col("_place"), F.lit(shards)).cast("int"))
+        .withColumn("slot", _div(F.col("_place"), F.lit(shards).cast("long")))
+    )
+
+
+def in_file_order(docs: DataFrame) -> tuple[DataFrame, Carried] | None:
+    """``docs`` with ``_row``, a gapless number from 0 in the order of the files that it was written to (their part numbers) and of
+    rows in them, and ``_rows``, the row count; None if ``docs`` is no plain scan of files. Columns are carried.
+
+    Counts of the files, a row each, give each file's first number: no row is shuffled.
+    """
+    at = "_at"
+    while at in (c.lower() for c in docs.columns):
+        at += "_"
+    try:
+        located = docs.select("*", F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")).alias(at))
+    except AnalysisException:
+        return None
+    carried = Carried(located, at)
+    carried.names, carried.held = carried.names[:-1], carried.held[:-1]
+    placed = carried.frame.select(*carried.held, F.col(f"{at}.file").alias("_file"), F.col(f"{at}.row").alias("_in_file"))
+    part = F.regexp_extract("_file", r"^part-(\d+)", 1)
+    counts = placed.groupBy("_file").agg(F.max("_in_file").alias("_last"))
+    every = Window.orderBy(F.length(part), part, "_file")
+    size = F.col("_last") + 1
+    starts = counts.select(
+        "_file", (F.sum(size).over(every) - size).alias("_start"), F.sum(size).over(Window.partitionBy(F.lit(0))).alias("_rows")
     )
-    return carried.back(dealt, "shard", "slot")
+    return placed.join(F.broadcast(starts), "_file").withColumn("_row", F.col("_start") + F.col("_in_file")), carried
+
+
+def shard_in_order(docs: DataFrame, shards: int = 16, seed: int = 20_240_601) -> DataFrame:
+    """``shard_documents`` for a table written in training order: adds ``position``, the row's number in that order, beside
+    ``shard`` and ``slot``, which are the permutation's of ``position``. Where ``docs`` is no plain scan of files its order is that
+    of ``shard_documents``. Names clash as there; an empty table gives an empty table.
+    """
+    if (found := in_file_order(docs)) is not None:
+        numbered, carried = found
+    else:
+        carried = Carried(docs, "doc_id", "text")
+        numbered = number_rows(carried.frame, _identity(), "_row", "_rows")
+    dealt = _dealt(numbered, F.col("_row"), F.col("_rows"), shards, seed).withColumn("position", F.col("_row").cast("long"))
+    return carried.back(dealt, "shard", "slot", "position")
 
 
 def op6_sharding(spark, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import numpy as np
 
 import corpus_pipeline
 from termloom.llm import mixing
-from termloom.runtime import table
+from termloom.runtime import settle, table
 from tests.llm.test_decontamination import plain
 from tests.llm.test_simhash import plain_fingerprint, plain_groups
 
@@ -48,10 +48,17 @@ def test_every_stage(spark):
 
 
 def test_run(spark):
-    a, b = (corpus_pipeline.run(spark, SMALL) for _ in range(2))
-    key = lambda rows: Counter((r["doc_id"], r["shard"], r["slot"]) for r in rows)
-    assert key(a.collect()) == key(b.collect()) and a.count() > 100
-    assert set(table(spark, SMALL, "documents").columns) < set(a.columns)
+    """Runs agree, and a run can be read in the mix's training order."""
+    docs = table(spark, SMALL, "documents")
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = settle(stage(spark, docs, SMALL), "stage")
+    want = [r["doc_id"] for r in mixing.mix(docs).collect()]
+    ran = corpus_pipeline.run(spark, SMALL)
+    rows = sorted(ran.collect(), key=lambda r: r["position"])
+    assert [r["doc_id"] for r in rows] == want and len(want) > 100
+    assert [r["position"] for r in rows] == list(range(len(rows)))
+    assert set(docs.columns) < set(ran.columns)
+    assert sorted(r["shard"] + 16 * r["slot"] for r in rows) == list(range(len(rows)))
 
 
 def test_stages_take_bad_rows(spark):
