@@ -11,6 +11,7 @@ read, without a shuffle, all nodes of a few hundred pages at once.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import html as entities
 import re
@@ -27,23 +28,25 @@ from termloom.runtime import table
 
 TRAINING_PAGES = 1000
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Raw or never shown: no text of the page.
-SKIP = frozenset("script style template noscript head title iframe svg math canvas object audio video select option datalist textarea button".split())
+#: Scripts, styles, the head and form controls: no text of the page. All else is for the trees to tell.
+SKIP = frozenset("script style template noscript head title iframe xmp select option datalist textarea button".split())
+#: What a head may hold; any other element, or text, ends it.
+IN_HEAD = frozenset("base link meta title style script noscript template head".split())
 RAW = frozenset("script style textarea title noscript iframe template xmp".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr button select meta link".split()
 )
 #: A start tag here ends an open element of the set, if no element of ``SCOPE`` lies between.
 _BLOCKS = "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()
-ENDS = {b: ("p",) for b in _BLOCKS} | {"li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p"), "body": ("head",), "option": ("option",), "tbody": ("thead", "tbody", "tr", "td", "th"), "tfoot": ("tbody", "tr", "td", "th")}
+ENDS = {b: ("p",) for b in _BLOCKS} | {"li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p"), "option": ("option",), "tbody": ("thead", "tbody", "tr", "td", "th"), "tfoot": ("tbody", "tr", "td", "th")}
+BLOCK = frozenset(_BLOCKS) | frozenset("html head body li dt dd tr td th thead tbody tfoot caption colgroup legend summary search option optgroup noframes frameset xmp title script style template noscript textarea".split())
 SCOPE = frozenset("table td th ul ol dl div section article main aside nav header footer form body html button object figure blockquote".split())
 _INSIDE = {"li": frozenset(("ul", "ol", "menu", "table", "td", "th", "html", "body")), "dt": frozenset(("dl", "table", "td", "html", "body")), "dd": frozenset(("dl", "table", "td", "html", "body")), "tr": frozenset(("table", "html", "body")), "td": frozenset(("tr", "table", "html", "body")), "th": frozenset(("tr", "table", "html", "body"))}
-_INSIDE |= {"tbody": frozenset(("table",)), "tfoot": frozenset(("table",)), "body": frozenset(("html",))}
+_INSIDE |= {"tbody": frozenset(("table",)), "tfoot": frozenset(("table",))}
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"""(?:^|\s)(class|id|role|itemprop|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTR = re.compile(r"""(?:^|\s)(class|id|role|itemprop)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _HINT = re.compile(r"[A-Za-z]+")
 _SPACE = re.compile(r"\s+")
-_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _GROUPS = [made.GOOD, made.NAV, made.SIDE, made.AD, made.NOTICE, made.FOOT, made.HEAD, made.COMMENT, made.SHARE, made.FORM]
 _WEAK = frozenset("site list slot box more stories area search page top main text body content item".split())
 _MORE = [
@@ -62,50 +65,105 @@ N_TAGS = 17
 N_HINTS = len(_GROUPS)
 
 
+def hints_of(attrs: str) -> int:
+    """A bit for each group of words that class, id, role or itemprop have one of."""
+    hints = 0
+    for _, value in _ATTR.findall(attrs):
+        for part in _HINT.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value)):
+            g = HINTS.get(part.lower())
+            if g is not None:
+                hints |= 1 << g
+    return hints
+
+
 class Page:
     """Elements in document order: parent, tag, hints; and text pieces with their element and whether a block begins before them."""
 
-    __slots__ = ("parent", "tag", "hint", "hidden", "size", "pieces", "depth")
+    __slots__ = ("parent", "tag", "hint", "pieces", "depth")
 
     def __init__(self):
-        self.parent, self.tag, self.hint, self.hidden, self.depth, self.pieces = [], [], [], [], [], []
-        self.size = 0
+        self.parent, self.tag, self.hint, self.depth, self.pieces = [], [], [], [], []
 
     def open(self, parent: int, tag: str, attrs: str) -> int:
-        hints = hidden = 0
-        if attrs:
-            for name, value in _ATTR.findall(attrs):
-                name = name.lower()
-                if name == "hidden" or name == "style" and _HIDDEN.search(value) or name == "aria-hidden" and "true" in value:
-                    hidden = name != "aria-hidden"
-                elif name in ("class", "id", "role", "itemprop"):
-                    for part in _HINT.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value)):
-                        g = HINTS.get(part.lower())
-                        if g is not None:
-                            hints |= 1 << g
         self.parent.append(parent)
         self.tag.append(tag)
-        self.hint.append(hints)
-        self.hidden.append(hidden)
+        self.hint.append(hints_of(attrs) if attrs else 0)
         self.depth.append(0 if parent < 0 else self.depth[parent] + 1)
         return len(self.parent) - 1
 
 
+class _Open:
+    """The open elements, outermost first, and where each name stands among them: no tag makes a walk over all of them."""
+
+    def __init__(self, page: Page):
+        self.page, self.stack, self.skip = page, [page.open(-1, "html", "")], 0
+        self.at: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
+
+    def push(self, node: int) -> None:
+        tag = self.page.tag[node]
+        self.at.setdefault(tag, []).append(len(self.stack))
+        if tag in SCOPE:
+            self.scopes.append(len(self.stack))
+        self.skip += tag in SKIP
+        self.stack.append(node)
+
+    def cut(self, k: int) -> None:
+        """Close all from place ``k`` on."""
+        for node in reversed(self.stack[k:]):
+            tag = self.page.tag[node]
+            self.at[tag].pop()
+            if tag in SCOPE:
+                self.scopes.pop()
+            self.skip -= tag in SKIP
+        del self.stack[k:]
+
+    def body(self) -> None:
+        """The head, if any, ends here and the body begins."""
+        self.cut(1)
+        self.push(self.page.open(self.stack[0], "body", ""))
+
+    def last(self, tag: str) -> int:
+        held = self.at.get(tag)
+        return held[-1] if held else 0
+
+    def end(self, tag: str) -> None:
+        """An end tag closes the last element of its name, if that is open and, for inline ones, in no outer scope."""
+        k = self.last(tag)
+        if k and not (tag in INLINE and self.scopes and self.scopes[-1] > k):
+            self.cut(k)
+
+    def begin(self, tag: str) -> None:
+        """A start tag closes the elements that can't hold it."""
+        enders = ENDS.get(tag)
+        if enders:
+            inside = _INSIDE.get(tag)
+            stop = max(map(self.last, inside)) if inside else self.scopes[-1] if self.scopes else 0
+            first = [held[k] for e in enders if (held := self.at.get(e)) and (k := bisect.bisect_right(held, stop)) < len(held)]
+            if first:
+                self.cut(min(first))
+
+
 def parse(text: str) -> Page:
-    """A forgiving reader: unclosed, misnested and stray tags give a tree for any input."""
+    """A forgiving reader: unclosed, misnested and stray tags give a tree for any input, in time that grows with its length.
+
+    Tags of html, head and body may be left out: the first element or text that no head may hold begins the body.
+    """
     page = Page()
-    stack = [page.open(-1, "html", "")]
-    tags = page.tag
-    pieces = page.pieces
-    at, skip, fresh_block = 0, 0, True
+    now = _Open(page)
+    stack, tags, pieces = now.stack, page.tag, page.pieces
+    at, fresh_block = 0, True
     find = _TOKEN.search
     while True:
         lt = text.find("<", at)
         m = find(text, lt) if lt >= 0 else None
         end = m.start() if m else len(text)
-        if end > at and not skip:
-            pieces.append((stack[-1], text[at:end], fresh_block))
-            fresh_block = False
+        if end > at:
+            if (len(stack) == 1 or tags[stack[-1]] == "head") and not text[at:end].isspace():
+                now.body()
+            if not now.skip:
+                pieces.append((stack[-1], text[at:end], fresh_block))
+                fresh_block = False
         if m is None:
             return page
         at = m.end()
@@ -116,33 +174,25 @@ def parse(text: str) -> Page:
         if m.group(1):
             if tag == "br":
                 continue
-            if tag not in INLINE:
+            if tag in BLOCK or "-" in tag:
                 fresh_block = True
-            for k in range(len(stack) - 1, 0, -1):
-                if tags[stack[k]] == tag:
-                    for e in stack[k:]:
-                        if tags[e] in SKIP:
-                            skip -= 1
-                    del stack[k:]
-                    break
-                if tags[stack[k]] in SCOPE and tag in INLINE:
-                    break
+            if tag not in ("html", "body"):
+                now.end(tag)
+            continue
+        if tag == "html":
+            page.hint[0] |= hints_of(m.group(3))
             continue
-        if tag not in INLINE:
+        if tag not in IN_HEAD and (len(stack) == 1 or tags[stack[-1]] == "head"):
+            now.body()
+        if tag == "body":
             fresh_block = True
-            enders = ENDS.get(tag)
-            if enders:
-                stop = _INSIDE.get(tag, SCOPE)
-                for k in range(len(stack) - 1, 0, -1):
-                    own = tags[stack[k]]
-                    if own in stop:
-                        break
-                    if own in enders:
-                        if any(tags[e] in SKIP for e in stack[k:]):
-                            skip = sum(tags[e] in SKIP for e in stack[:k])
-                        del stack[k:]
+            page.hint[stack[min(1, len(stack) - 1)]] |= hints_of(m.group(3))
+            continue
+        if tag in BLOCK or "-" in tag:  # any other unknown element runs along with the text
+            fresh_block = True
+            now.begin(tag)
         if tag == "br":
-            if not skip:
+            if not now.skip:
                 pieces.append((stack[-1], " ", fresh_block))
                 fresh_block = False
             continue
@@ -154,9 +204,7 @@ def parse(text: str) -> Page:
             close = re.compile(f"</{tag}(?=[\\s/>])[^>]*>", re.I).search(text, at)
             at = close.end() if close else len(text)
             continue
-        stack.append(node)
-        if tag in SKIP:
-            skip += 1
+        now.push(node)
 
 
 def node_features(page: Page) -> tuple[np.ndarray, np.ndarray]:
@@ -254,33 +302,48 @@ class Trees:
         return out
 
 
-def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = 110, depth: int = 4, rate: float = 0.2, bins: int = 32) -> Trees:
-    """Newton boosting of the log-loss on binned features."""
+def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = 110, depth: int = 4, rate: float = 0.2, bins: int = 32, share: float = 0.25) -> Trees:
+    """Newton boosting of the log-loss on binned features; splits are found on a seeded ``share`` of the rows, leaves get all."""
     n, d = x.shape
     edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(d)]
     binned = np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(edges)], axis=1).astype(np.int64)
+    two = np.flatnonzero(binned.max(axis=0, initial=0) <= 1)  # columns of two values need no counting, only sums
+    many = np.setdiff1d(np.arange(d), two)
+    high = (binned[:, two] == 1).astype(np.float64)
+    flat = binned[:, many] + np.arange(len(many)) * bins
     base = float(np.log((weight * y).sum() / (weight * (1 - y)).sum()))
     score = np.full(n, base)
     inner = (1 << depth) - 1
     features, cuts, leaves = [], [], []
-    offset = np.arange(d) * bins
-    flat = (binned + offset).ravel()
+    random = np.random.default_rng(5)
+
+    def sums(values: tuple, local: np.ndarray, ones: np.ndarray, places: np.ndarray, nodes: int) -> list[np.ndarray]:
+        """(node, feature, bin): the sums over rows, cumulated over bins."""
+        key = ((local * (len(many) * bins))[:, None] + places).ravel()
+        made = []
+        for v in values:
+            out = np.zeros((nodes, d, bins))
+            by_node = np.zeros((nodes, len(local)))
+            by_node[local, np.arange(len(local))] = v
+            out[:, two, 1] = by_node @ ones
+            out[:, two, 0] = by_node.sum(1)[:, None] - out[:, two, 1]
+            out[:, many] = np.bincount(key, weights=np.repeat(v, len(many)), minlength=nodes * len(many) * bins).reshape(nodes, len(many), bins)
+            made.append(out.cumsum(2))
+        return made
+
     for _ in range(trees):
         p = 1 / (1 + np.exp(-score))
         g, h = weight * (p - y), np.maximum(weight * p * (1 - p), 1e-9)
         f, c = np.zeros(inner, dtype=np.int64), np.full(inner, np.inf, dtype=np.float32)
         at = np.zeros(n, dtype=np.int64)
+        rows = np.flatnonzero(random.random(n) < share) if n > 1000 else np.arange(n)
+        ones, places = high[rows], flat[rows]
         for level in range(depth):
             first = (1 << level) - 1
-            local = at - first
-            key = (np.repeat(local, d) * (d * bins)) + flat
-            size = (1 << level) * d * bins
-            sg = np.bincount(key, weights=np.repeat(g, d), minlength=size).reshape(1 << level, d, bins)
-            sh = np.bincount(key, weights=np.repeat(h, d), minlength=size).reshape(1 << level, d, bins)
-            lg, lh = sg.cumsum(2), sh.cumsum(2)
+            lg, lh = sums((g[rows], h[rows]), at[rows] - first, ones, places, 1 << level)
             tg, th = lg[:, :, -1:], lh[:, :, -1:]
             gain = lg**2 / (lh + 1) + (tg - lg) ** 2 / (th - lh + 1) - tg**2 / (th + 1)
-            gain[(lh < 2) | (th - lh < 2)] = -1
+            gain[(lh < 1) | (th - lh < 1)] = -1
             best = gain.reshape(1 << level, -1).argmax(1)
             for k, b in enumerate(best.tolist()):
                 j, at_bin = divmod(b, bins)
@@ -343,7 +406,7 @@ def decode(page: Page, odds: np.ndarray) -> list[bool]:
     kept = [False] * n
     kept[0] = True
     for i in range(1, n):
-        kept[i] = kept[page.parent[i]] and page.tag[i] not in SKIP and not page.hidden[i] and keep[i] > drop[i]
+        kept[i] = kept[page.parent[i]] and page.tag[i] not in SKIP and keep[i] > drop[i]
     return kept
 
 

@@ -169,6 +169,8 @@ class Maker:
             foot.add(r.choice([f"© {self.words(1, 3)} · {self.sentence()}", f"© {self.words(1, 2)} · {self.prose(1, 2)}", Node("p").add(self.words(3, 14)), self.prose(1, 2)]))
             tail.append(foot.add(self.links(2, 6)) if r.random() < 0.3 else foot)
         before = [s for s in side if r.random() < 0.4]
+        if r.random() < 0.08:  # the article stands in the body itself, alone or among little
+            return body.add(*(head if r.random() < 0.4 else []), *self.article(), *(tail if r.random() < 0.4 else []))
         return body.add(*head, *before, own, *[s for s in side if s not in before], *tail)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -90,6 +91,59 @@ def test_any_markup_is_read(bad, trees):
     assert isinstance(X.extract([bad, None], trees)[0], str)
 
 
+BARE = ["First paragraph of the story, long enough to be one. It goes on and on, as they do.", "Second paragraph of the story, which is also long. It ends here, at last."]
+
+
+@pytest.mark.parametrize("lead", ["", "<html><head><title>t</title>", "<title>t</title>", "<!DOCTYPE html><html><head><meta charset=utf-8><title>t</title></head>", "<html><body>", "<head><script>x</script><body class=page>"])
+def test_tags_that_may_be_left_out(lead, trees):
+    assert X.extract([lead + "".join(f"<p>{t}</p>" for t in BARE)], trees) == ["\n".join(BARE)]
+
+
+def test_text_ends_the_head(trees):
+    assert X.extract([f"<html><head><title>t</title>{BARE[0]}<p>{BARE[1]}"], trees) == ["\n".join(BARE)]
+
+
+@pytest.mark.parametrize("marked", ["<b>" * 30_000 + "</i>" * 30_000, "<i><div>" + "<b>" * 30_000 + "</i>" * 30_000, "<b>" * 30_000 + "<p>x" * 30_000, "<ul>" * 30_000 + "<li>x" * 30_000, "<table>" * 30_000 + "<td>" * 30_000])
+def test_stray_and_deep_tags_take_linear_time(marked):
+    begun = time.process_time()
+    X.parse(marked)
+    assert time.process_time() - begun < 10
+
+
+def test_inline_mathematics_and_pictures_keep_their_text(trees):
+    page = f"<article><h1>Story</h1><p>{BARE[0]} Here <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p><p>{BARE[1]}</p></article>"
+    assert "Here x=2 holds." in X.extract([page], trees)[0]
+
+
+WORDS = "river mountain winter station letter window garden morning harbour engine captain market village teacher doctor bridge".split()
+
+
+def other_page(r: random.Random) -> tuple[str, list[str]]:
+    """A page whose class names, words and layouts are none of the training generator's, and its main blocks."""
+    prose = lambda lo, hi: " ".join(" ".join(r.choices(WORDS, k=r.randint(6, 18))).capitalize() + "." for _ in range(r.randint(lo, hi)))
+    link = lambda: f'<a href="/{r.random()}">{" ".join(r.choices(WORDS, k=2))}</a>'
+    want = [" ".join(r.choices(WORDS, k=5)).capitalize()] + [prose(2, 6) for _ in range(r.randint(3, 9))]
+    name = lambda: "".join(r.choices("qxzjvk", k=6))
+    main = f"<h1>{want[0]}</h1>" + "".join(f"<p>{t}</p>" for t in want[1:])
+    wrap = r.choice(["article", "main", "div", "section"])
+    bar = f'<{r.choice(["nav", "div"])} class="{name()}"><ul>{"".join(f"<li>{link()}</li>" for _ in range(r.randint(5, 12)))}</ul></{"div"}>'
+    side = f'<aside class="{name()}"><h3>{r.choice(WORDS)}</h3><ul>{"".join(f"<li>{link()}</li>" for _ in range(6))}</ul></aside>'
+    foot = f'<footer class="{name()}"><p>{" ".join(r.choices(WORDS, k=6))} {link()} {link()}</p></footer>'
+    return f'<html><head><title>x</title></head><body><header class="{name()}">{link()}</header>{bar}<{wrap} class="{name()}">{main}</{wrap}>{side}{foot}</body></html>', want
+
+
+def test_pages_of_another_make(trees):
+    """F1 of blocks on pages that share no class name or word with the training pages."""
+    r = random.Random(8)
+    found = wanted = both = 0
+    for _ in range(150):
+        page, want = other_page(r)
+        got = X.extract([page], trees)[0].split("\n")
+        found, wanted, both = found + len(got), wanted + len(want), both + sum((Counter(got) & Counter(want)).values())
+    print("other pages", both / found, both / wanted)
+    assert 2 * both / (found + wanted) > 0.9
+
+
 def test_driver_pages(spark, trees):
     pages = table(spark, "/root/testdata/sf0.001", "pages").select("page_id", "url", "html")
     for r in X.extract_pages(pages, trees).collect():
