@@ -26,6 +26,28 @@ def row_key(*cols: Column) -> Column:
     return F.sha2(F.concat_ws("\x01", *lengths, *parts), 256)
 
 
+#: A key with more than one of so many rows is hot: there are fewer hot keys than this, whatever the table.
+HOT = 256
+
+
+def hot_keys(counts: DataFrame, key: str, total: int) -> list:
+    """Keys that hold more than 1 / HOT of ``total`` rows, from ``counts`` (key, _n); fewer than HOT."""
+    return [r[key] for r in counts.where(F.col("_n") * HOT > total).select(key).collect()]
+
+
+def meet(rows: DataFrame, values: DataFrame, key: str, hot: list) -> DataFrame:
+    """Join ``rows`` with ``values``, which has each key once. The rows of a hot key are dealt over all tasks, by the hash of
+    their columns and of the task that they come from; its one value goes to each."""
+    if not hot:
+        return rows.join(values, key)
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    none, is_hot = F.lit(0).cast("long"), F.col(key).isin(hot)
+    salt = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in rows.columns), F.spark_partition_id()), F.lit(tasks))
+    dealt = rows.withColumn("_salt", F.when(is_hot, salt).otherwise(none))
+    each = values.withColumn("_salt", F.explode(F.when(is_hot, F.sequence(none, F.lit(tasks - 1).cast("long"))).otherwise(F.array(none))))
+    return dealt.join(each, [key, "_salt"]).drop("_salt")
+
+
 class Carried:
     """A frame's columns under names that clash with nothing, beside those an operator reads, and the way back.
 

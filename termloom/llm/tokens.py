@@ -2,7 +2,9 @@
 
 A text's count depends on its content and the tokenizer's files only. Counts are kept in a table keyed by the SHA-256
 of the normalised content and of the tokenizer (its file and the engine's version). A run joins its digests
-to the cache, encodes one text for each distinct digest it misses, appends those counts, and joins again.
+to the cache, encodes one text for each distinct digest it misses, appends those counts, and joins again. The cache has one
+place in the shared folder, so later runs find what earlier ones counted; a row says the same whoever wrote it, so that runs at
+the same time, or one that died half-way, leave at most rows that occur twice.
 
 Normalisation may not change a count, and byte-level encoders tell all texts apart, so it does no more than make null
 the empty text.
@@ -23,8 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import Carried
-from termloom.runtime import scratch_path, table
+from termloom.llm.common import Carried, hot_keys, meet
+from termloom.runtime import scratch_dir, table
 
 OVER = 512
 #: Pre-tokens remembered in one worker.
@@ -120,35 +122,36 @@ def cached(spark, cache: str, digest: str) -> DataFrame | None:
 
 
 def fill_cache(docs: DataFrame, cache: str, path: str) -> None:
-    """Encode each distinct text of ``docs`` that the cache lacks and append its count."""
+    """Encode each distinct text of ``docs`` that the cache lacks and append its count. Copies are combined before anything is
+    shuffled, so a text that a third of the rows have is one row for each task."""
     spark, digest = docs.sparkSession, tokenizer_digest(path)
-    texts = _digests(docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text")))
+    misses = _digests(docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text"))).dropDuplicates(["content_digest"])
     known = cached(spark, cache, digest)
     if known is not None:
-        texts = texts.join(known.select("content_digest"), "content_digest", "left_anti")
-    misses = texts.dropDuplicates(["content_digest"])
+        misses = misses.join(known.select("content_digest"), "content_digest", "left_anti")
     misses.mapInPandas(_encode(path, digest), CACHE).write.mode("append").parquet(cache)
 
 
 def count_tokens(docs: DataFrame, path: str, cache: str | None = None, over: int = OVER) -> DataFrame:
     """Add ``n_bytes``, ``n_tokens`` and ``over_limit`` to every row.
 
-    ``path`` is the tokenizer's file on every machine, ``cache`` a folder all share (default: a fresh one in the scratch
-    folder). Null counts as the empty text: no bytes, no tokens. Copies and repeated rows are encoded once and each get the
-    count. An empty table gives an empty table. Extra columns pass through, those with a result's name give way to it.
+    ``path`` is the tokenizer's file on every machine, ``cache`` a folder all share (default: ``termloom-token-cache`` in the
+    session's shared folder). Null counts as the empty text: no bytes, no tokens. Copies and repeated rows are encoded once and
+    each get the count. An empty table gives an empty table. Extra columns pass through, those with a result's name give way to it.
     """
     carried = Carried(docs, "text")
     spark = docs.sparkSession
-    cache = cache or scratch_path(spark, "token-cache")
+    cache = cache or f"{scratch_dir(spark)}/termloom-token-cache"
     fill_cache(carried.frame, cache, path)
     known = cached(spark, cache, tokenizer_digest(path))
-    counted = (
+    digested = (
         _digests(carried.frame)
         .withColumn("n_bytes", F.octet_length(F.coalesce(F.col("text"), F.lit(""))).cast("long"))
         .select("content_digest", *carried.held, "n_bytes")
-        .join(known, "content_digest")
-        .withColumn("over_limit", F.col("n_tokens") > over)
     )
+    copies = digested.groupBy("content_digest").agg(F.count("*").alias("_n"))
+    hot = hot_keys(copies, "content_digest", docs.count())
+    counted = meet(digested, known, "content_digest", hot).withColumn("over_limit", F.col("n_tokens") > over)
     return carried.back(counted, "n_bytes", "n_tokens", "over_limit")
 
 

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from termloom.llm import tokens
-from termloom.runtime import scratch_path, table
+from termloom.runtime import scratch_dir, scratch_path, table
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -46,6 +46,23 @@ def test_cache_encodes_each_text_once(spark, docs):
     assert again.count() == 4
 
 
+def test_the_query_encodes_nothing_twice(spark):
+    """A second run of the query finds every digest in the cache: it appends no row, and gives the same rows."""
+    cache = f"{scratch_dir(spark)}/termloom-token-cache"
+    first = sorted(map(tuple, tokens.op7_token_counts(spark, "/root/testdata/sf0.001").collect()))
+    rows = spark.read.parquet(cache).count()
+    second = sorted(map(tuple, tokens.op7_token_counts(spark, "/root/testdata/sf0.001").collect()))
+    assert second == first and spark.read.parquet(cache).count() == rows > 0
+    assert tokens.fill_cache(table(spark, "/root/testdata/sf0.001", "documents"), cache, PATH) is None and spark.read.parquet(cache).count() == rows
+
+
+def test_a_hot_text(spark):
+    """A text that most rows have is dealt over tasks; every row gets its count."""
+    docs = spark.range(3000).selectExpr("id AS doc_id", "if(id % 10 < 8, 'the same words', concat('words of ', id)) AS text")
+    rows = tokens.count_tokens(docs, PATH, scratch_path(spark, "tokens-test")).collect()
+    assert len(rows) == 3000 and all(r["n_tokens"] == count(r["text"]) for r in rows)
+
+
 def test_other_kinds_of_tokenizers_go_to_the_library():
     path = public_tokenizers.path("word_bpe_49k.json")
     other = tokens.Counter(path)
