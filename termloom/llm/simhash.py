@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termloom.llm.common import Carried, row_key
+from termloom.llm.common import Carried, hot_keys, meet, row_key
 from termloom.llm.components import components
 from termloom.runtime import settle, table
 
@@ -184,12 +184,20 @@ def link_fingerprints(prints: DataFrame) -> DataFrame:
 
 
 def groups(prints: DataFrame) -> DataFrame:
-    """``_fp``, ``root``, ``component_id`` for each distinct fingerprint of rows with ``doc_id`` and ``_fp``."""
-    first = prints.groupBy("_fp").agg(F.min("doc_id").alias("_first"))
+    """``_fp``, ``root``, ``component_id`` and ``_n`` (its rows) for each distinct fingerprint of rows with ``doc_id`` and ``_fp``."""
+    first = prints.groupBy("_fp").agg(F.min("doc_id").alias("_first"), F.count("*").alias("_n"))
     roots = components(link_fingerprints(first.select(F.col("_fp").alias("fp"))))
-    member = first.join(roots.withColumnRenamed("node", "_fp"), "_fp", "left").select("_fp", "_first", F.coalesce("root", "_fp").alias("root"))
-    ids = member.groupBy("root").agg(F.min("_first").alias("component_id"))
-    return member.select("_fp", "root").join(ids, "root").select("_fp", "root", "component_id")
+    linked_to = first.join(roots.withColumnRenamed("node", "_fp"), "_fp", "left")
+    member = settle(linked_to.select("_fp", "_n", "_first", F.coalesce("root", "_fp").alias("root")), "members")
+    ids = settle(member.groupBy("root").agg(F.min("_first").alias("component_id"), F.count("*").alias("_n")), "component-ids")
+    # a component may hold a third of all fingerprints
+    return meet(member.drop("_first"), ids.drop("_n"), "root", hot_keys(ids, "root", member.count()))
+
+
+def grouped(prints: DataFrame) -> DataFrame:
+    """``prints`` with ``root`` and ``component_id``; a fingerprint may be that of a third of all rows."""
+    found = groups(prints)
+    return meet(prints, found.drop("_n"), "_fp", hot_keys(found, "_fp", prints.count()))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -199,8 +207,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     id, unless no row of the component has an id: then it is null. Repeated rows each get a row. An empty table gives
     an empty table. Other columns are not read.
     """
-    prints = fingerprints(docs, "doc_id")
-    return prints.join(groups(prints), "_fp").select(
+    return grouped(fingerprints(docs, "doc_id")).select(
         "doc_id", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -209,9 +216,8 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One row of each component stays: the one with the least id, ties by row key. Columns as given, whatever their names."""
     carried = Carried(docs, "doc_id", "text")
     keyed = carried.frame.withColumn("_row", row_key(F.col("doc_id"), F.col("text")))
-    prints = fingerprints(keyed, "doc_id", "_row")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("_row").alias("row"))
-    stays = prints.join(groups(prints), "_fp").groupBy("root").agg(F.min(rank).alias("r"))
+    stays = grouped(fingerprints(keyed, "doc_id", "_row")).groupBy("root").agg(F.min(rank).alias("r"))
     one = Window.partitionBy("_row").orderBy(F.lit(0))
     first = (
         keyed.join(stays.select(F.col("r.row").alias("_row")), "_row", "left_semi")
