@@ -3,7 +3,8 @@
 Training reads a bounded sample of the labelled rows outside the held-out quarter: up to ``SAMPLE`` rows of each label, by
 hash of the id, their whole texts hashed to n-grams and counted on the executors. The ratio of a feature is
 log(share of toxic texts with it / share of others with it), smoothed; features in few texts or without evidence go.
-A logistic regression on the scaled features, rows weighted back to the labels' true shares, gives the weights.
+A logistic regression on the scaled features, rows weighted back to the labels' true shares, gives the weights. It runs in one
+task, on the bounded sample only, and hands the driver a weight for each feature; the texts' features never come there.
 
 Scoring is one pass over whole texts without a shuffle: the n-gram hashes of a batch are computed at once by numpy,
 and only those with a weight are looked at again.
@@ -203,9 +204,22 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     )
     telling.sort(key=lambda r: r["gram"])
     index, a, df = (np.array([r[c] for r in telling], dtype=np.int64) for c in ("gram", "a", "df"))
-    placed = texts.select("toxic", "text").mapInPandas(_feature_places(index), "toxic int, places binary").collect()
-    got = sorted((r["toxic"], bytes(r["places"])) for r in placed)  # one order, whatever the tasks'
-    return fit([np.frombuffer(p, dtype="<i4") for _, p in got], np.array([y for y, _ in got]), index, a, df, prior)
+    placed = texts.select("toxic", "text").mapInPandas(_feature_places(index), "toxic int, places binary")
+    weights = placed.repartition(1).mapInPandas(_fitted(index, a, df, prior), "at int, weight double").collect()  # a row a feature
+    by_place = dict(map(tuple, weights))
+    return Model(index, np.array([by_place[k] for k in range(len(index))]), by_place[len(index)])
+
+
+def _fitted(index: np.ndarray, a: np.ndarray, df: np.ndarray, prior: float):
+    """The sample's rows, at most twice SAMPLE, to the model's weights with the intercept last."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        got = sorted((y, bytes(p)) for b in batches for y, p in zip(b["toxic"], b["places"], strict=True))  # one order, whatever the tasks'
+        if got:
+            model = fit([np.frombuffer(p, dtype="<i4") for _, p in got], np.array([y for y, _ in got]), index, a, df, prior)
+            yield pd.DataFrame({"at": np.arange(len(index) + 1), "weight": np.append(model.weight, model.bias)})
+
+    return run
 
 
 def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
