@@ -2,9 +2,9 @@
 
 Of a text's word k-grams (k = 6) the least hash in each window of five consecutive ones is kept. Two texts that share
 10 = k + w - 1 consecutive words share such a window and so its kept hash: every shared span of ten words leaves a
-fingerprint inside each of its ten-word windows. Fingerprints of documents and of benchmark items are joined;
-each meeting is extended by the up to four words on either side that both sides carry along, which decides by
-comparing words, not hashes, all ten-word windows that hold it. Items of fewer than ten words are one window; for
+fingerprint inside each of its ten-word windows. Fingerprints of documents and of benchmark items are joined, and each is extended
+to the up to five ten-word windows that hold it: the join's key is the fingerprint, its place in the window and the window's
+words, so words are compared, not hashes, and a fingerprint that many items share meets none but equal windows. Items of fewer than ten words are one window; for
 each of the at most nine such lengths that occur, all document n-grams are looked up.
 
 Before documents' fingerprints are written they pass a bit table of ``BITS`` bits made of the items' fingerprints: its
@@ -143,18 +143,22 @@ def hits(docs: DataFrame, benchmark: DataFrame, *keep: str) -> tuple[DataFrame,
     lengths = sorted(r["n"] for r in marks.select("n").where("n > 0").distinct().collect())  # nine at most
     source = docs.select(F.monotonically_increasing_id().alias("_rid"), *keep, F.col("text").cast("binary").alias("_bytes"))
     marked = settle(source.mapInArrow(_marked("\x01", lengths, _bit_table(marks)), _schema(source)), "document-marks")
-    mine = marked.where(F.size("found") > 0).select("_rid", F.explode("found").alias("f")).select("_rid", "f.*")
-    # equal fingerprints of equal contexts of many items meet a document's once
-    theirs = marks.select("h", "n", F.col("around").alias("theirs")).distinct()
-    met = mine.join(theirs, ["h", "n"]).withColumn("a", F.split("around", " ")).withColumn("b", F.split("theirs", " "))
-    same = lambda k: F.slice("a", k + 1, WINDOW) == F.slice("b", k + 1, WINDOW)
-    offsets = F.array_compact(F.array(*(F.when(same(k), F.lit(k)) for k in range(KEPT_OF))))
-    long = met.where("n = 0").select("_rid", "h", "n", "theirs", "at", F.explode(offsets).alias("k"))
-    spans = long.select("_rid", "h", "n", "theirs", (F.col("at") - SIDE + F.col("k")).alias("lo"), (F.col("at") - SIDE + F.col("k") + WINDOW).alias("hi"))
-    short = met.where("n > 0 AND around = theirs").select("_rid", "h", "n", "theirs", F.col("at").alias("lo"), (F.col("at") + F.col("n")).alias("hi"))
-    spans = settle(spans.union(short), "spans")
-    owners = marks.select("h", "n", F.col("around").alias("theirs"), F.col("item_id").cast("string").alias("item"))
-    return marked.drop("found"), spans.join(owners, ["h", "n", "theirs"]).select("_rid", "item", "lo", "hi")
+    mine = _windows(marked.where(F.size("found") > 0).select("_rid", F.explode("found").alias("f")).select("_rid", "f.*"))
+    theirs = _windows(marks)
+    key = ["h", "n", "k", "words"]
+    spans = settle(mine.join(theirs.select(*key).distinct(), key).select("_rid", *key, "lo", "hi"), "spans")
+    owners = theirs.select(*key, F.col("item_id").cast("string").alias("item")).distinct()
+    return marked.drop("found"), spans.join(owners, key).select("_rid", "item", "lo", "hi")
+
+
+def _windows(marks: DataFrame) -> DataFrame:
+    """Each mark with every window that holds it: ``k``, its place among them, ``words``, and the window's place ``lo`` to ``hi - 1``."""
+    words = F.split("around", " ")
+    held = F.array(*(F.array_join(F.slice(words, k + 1, WINDOW), " ") for k in range(KEPT_OF)))
+    spread = marks.select("*", F.posexplode(F.when(F.col("n") > 0, F.array("around")).otherwise(held)).alias("k", "words"))
+    lo = F.when(F.col("n") > 0, F.col("at")).otherwise(F.col("at") - SIDE + F.col("k"))
+    placed = spread.withColumn("lo", lo).withColumn("hi", lo + F.when(F.col("n") > 0, F.col("n")).otherwise(WINDOW))
+    return placed.where(~F.col("words").contains("\x01") & ~F.col("words").contains("\x02")).drop("around", "at")
 
 
 def _covered(spans) -> F.Column:
@@ -202,3 +206,25 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id")
+
+
+OP8_SQL = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), iw AS (
+  SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM (SELECT item, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)
+), dw AS (
+  SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS g FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n)
+), m AS (
+  SELECT dw.r, dw.i, dw.n, iw.item FROM dw JOIN iw ON dw.n = iw.n AND dw.g = iw.g
+), p AS (
+  SELECT r, count(DISTINCT at) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS at FROM m) GROUP BY r
+), o AS (
+  SELECT r, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items FROM (SELECT DISTINCT r, item FROM m) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  coalesce(items, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN p USING (r) LEFT JOIN o USING (r)
+"""

@@ -21,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing": mixing.OP5_SQL}
+    return {"op5_mixing": mixing.OP5_SQL, "op8_decontamination": decontamination.OP8_SQL}

@@ -9,7 +9,9 @@ import re
 import numpy as np
 
 from termloom.llm import decontamination as D
+from termloom.llm import queries
 from termloom.runtime import table
+from tests import oracle
 
 
 def words(text):
@@ -59,6 +61,10 @@ def test_against_every_window(spark):
     assert sum(x[5] for x in want) > 100
 
 
+def test_sql(spark):
+    assert oracle.compare(spark, D.op8_decontamination, queries.oracle_sql()["op8_decontamination"], "/root/testdata/sf0.001") > 100
+
+
 def test_winnowing_keeps_a_place_in_every_window():
     g = np.random.default_rng(1).integers(0, 9, 4000)
     kept = set(D.winnow(g).tolist())
