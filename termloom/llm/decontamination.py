@@ -220,7 +220,7 @@ WITH d AS (
 ), m AS (
   SELECT dw.r, dw.i, dw.n, iw.item FROM dw JOIN iw ON dw.n = iw.n AND dw.g = iw.g
 ), p AS (
-  SELECT r, count(DISTINCT at) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS at FROM m) GROUP BY r
+  SELECT r, count(DISTINCT hit) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS hit FROM m) GROUP BY r
 ), o AS (
   SELECT r, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items FROM (SELECT DISTINCT r, item FROM m) GROUP BY r
 )
