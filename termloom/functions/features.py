@@ -42,11 +42,15 @@ def _some(value: Column) -> Column:
     return F.when(value != "", value)
 
 
-def _left(toks: Column, cs: Column, most: int | None = None) -> Column:
-    """Tokens left of the chunk, nearest first, without token 0, each with its index."""
-    lo = F.lit(1) if most is None else F.greatest(F.lit(1), cs - most)
-    found = F.transform(F.sequence(lo, F.greatest(cs - 1, lo)), lambda i: F.struct(i.alias("i"), _at(toks, i).alias("t"), _at(toks, i - 1).alias("p")))
-    return F.when(cs - 1 >= lo, F.reverse(found)).otherwise(F.slice(found, 1, 0))
+def _left(toks: Column, cs: Column, most: int) -> Column:
+    """The ``most`` tokens left of the chunk, nearest first, each with its index; null ones stand for token 0 and what is before it."""
+    at = [cs - k for k in range(1, most + 1)]
+    return F.array(*(F.struct(i.cast("int").alias("i"), F.when(i >= 1, _at(toks, i)).alias("t")) for i in at))
+
+
+def _before(toks: Column, cs: Column) -> Column:
+    """All tokens left of the chunk but token 0, nearest first."""
+    return F.reverse(F.slice(toks, F.lit(2), F.greatest(cs - 1, F.lit(0))))
 
 
 def _is(tag: Column, *starts: str) -> Column:
@@ -75,18 +79,19 @@ def section_loc(toks, cs, ce, ctx):
     return F.concat(ctx["section"], F.when(ctx["sent_in_section"] == 0, "_sent1").otherwise("_later"))
 
 
-def _window(toks: Column, lo: Column, hi: Column) -> Column:
-    return F.array_join(F.transform(F.sequence(lo, hi), lambda i: F.coalesce(F.when(i >= 0, _at(toks, i)["lc"]), F.lit("^"))), "_")
+def _window(toks: Column, lo: Column, n: int) -> Column:
+    """``n`` tokens from ``lo`` on, ^ for those outside the sentence."""
+    return F.concat_ws("_", *(F.coalesce(_at(toks, lo + k)["lc"], F.lit("^")) for k in range(n)))
 
 
 for _n in (2, 3):
-    feature(f"prev_n{_n}")(lambda toks, cs, ce, ctx, n=_n: _window(toks, cs - n, cs - 1))
-    feature(f"next_n{_n}")(lambda toks, cs, ce, ctx, n=_n: _window(toks, ce, ce + n - 1))
+    feature(f"prev_n{_n}")(lambda toks, cs, ce, ctx, n=_n: _window(toks, cs - n, n))
+    feature(f"next_n{_n}")(lambda toks, cs, ce, ctx, n=_n: _window(toks, ce, n))
 
 
 @feature("next2_tags")
 def next2_tags(toks, cs, ce, ctx):
-    return _some(F.array_join(F.transform(F.slice(toks, ce + 1, 2), lambda t: t["tag"]), "_"))
+    return _some(F.concat_ws("_", _at(toks, ce)["tag"], _at(toks, ce + 1)["tag"]))
 
 
 @feature("last_word")
@@ -112,7 +117,7 @@ def plen(toks, cs, ce, ctx):
 
 @feature("tag_sig")
 def tag_sig(toks, cs, ce, ctx):
-    return F.array_join(F.transform(F.slice(toks, cs + 1, ce - cs), lambda t: t["tag"]), "_")
+    return F.array_join(_inside(toks, cs, ce)["tag"], "_")
 
 
 AUXILIARY = ("be", "is", "are", "was", "were", "been", "being", "am", "has", "have", "had", "having")
@@ -124,38 +129,59 @@ def _scan(steps: Column, step: Callable[[Column, Column], Column], **start: str)
     return F.aggregate(steps, begin, lambda a, x: F.when(a["done"], a).otherwise(step(a, x)))
 
 
-def _verb_scan(steps: Column) -> Column:
-    """struct(verb, prep, prep2, done) of the nearest governing verb."""
+def governing_verbs(toks: Column) -> Column:
+    """array<string>: at each index the governing verb, with up to two prepositions, of a chunk that begins there.
+
+    The scan from a chunk to the left takes the first verb that no rule blocks; nouns end it, and adjectives and commas do once it
+    holds a preposition. Here one fold from left to right has the answer for every index: a verb sets it, a noun clears it, a preposition joins
+    it, and clears it where an adjective or comma stands since the verb. Token 0 is never looked at, but it may block token 1.
+    """
+    kind = F.transform(
+        toks,
+        lambda t, i: F.struct(
+            t["lc"].alias("lc"),
+            F.when(i == 0, 0)
+            .when(t["tag"].isin("VBG", "VBP", "VBZ", "VB"), 1)
+            .when(t["tag"].isin("VBD", "VBN"), F.when(_blocks(_at(toks, i - 1)), 0).otherwise(1))
+            .when(t["tag"].startswith("N"), 2)
+            .when(t["tag"].startswith("J"), 3)
+            .when(t["tag"].isin("RP", "IN", "TO"), 4)
+            .when(t["lc"] == ",", 3)
+            .otherwise(0)
+            .alias("k"),
+        ),
+    )
+    none = F.lit(None).cast("string")
+    state = lambda v, n, weak, out: F.struct(v.alias("v"), n.alias("n"), weak.alias("weak"), out.alias("out"))
+
+    def step(a: Column, t: Column) -> Column:
+        k, v, n = t["k"], a["v"], a["n"]
+        joined = F.when(v.isNull() | a["weak"], none).when(n < 2, F.concat_ws("_", v, t["lc"])).otherwise(v)
+        return state(
+            F.when(k == 0, v).when(k == 1, t["lc"]).when(k == 2, none).when(k == 4, joined).otherwise(v),
+            F.when(k == 1, 0).when(k == 4, n + 1).otherwise(n),
+            F.when(k == 1, False).otherwise(a["weak"] | (k == 3)),
+            F.concat(a["out"], F.array(v)),
+        )
 
-    def to(a, done, **new):
-        return F.struct(*((new.get(k, a[k])).alias(k) for k in ("verb", "prep", "prep2")), F.lit(done).alias("done"))
+    empty = F.expr("cast(array() as array<string>)")
+    return F.aggregate(kind, state(none, F.lit(0), F.lit(False), empty), step, lambda a: a["out"])
 
-    def step(a, x):
-        tag, lc, before = x["t"]["tag"], x["t"]["lc"], x["p"]
-        active = tag.isin("VBG", "VBP", "VBZ", "VB")
-        passive = tag.isin("VBD", "VBN")
-        blocked = (before["tag"] == "DT") | (before["tag"].startswith("V") & ~before["lc"].isin(*AUXILIARY))
-        held = a["prep"] != ""
-        return (
-            F.when(active | (passive & ~blocked), to(a, True, verb=lc))
-            .when(passive, a)
-            .when(tag.startswith("N") | (tag.startswith("J") & held), to(a, True))
-            .when(tag.isin("RP", "IN", "TO"), to(a, False, prep2=a["prep"], prep=lc))
-            .when((lc == ",") & held, to(a, True))
-            .otherwise(a)
-        )
 
-    return _scan(steps, step, verb="", prep="", prep2="")
+def _blocks(before: Column) -> Column:
+    """Whether a token keeps a participle after it from being a verb of its own."""
+    return F.coalesce((before["tag"] == "DT") | (before["tag"].startswith("V") & ~before["lc"].isin(*AUXILIARY)), F.lit(False))
 
 
-def _verb_value(s: Column) -> Column:
-    parts = F.array(s["verb"], s["prep"], s["prep2"])
-    return F.when(s["verb"] != "", F.array_join(F.filter(parts, lambda p: p != ""), "_"))
+def _verb_at(toks: Column, at: Column, ctx) -> Column:
+    """The governing verb of a chunk that begins at ``at``: from the sentence's ``verbs`` where the context has them."""
+    verbs = ctx["verbs"] if "verbs" in ctx else governing_verbs(toks)
+    return F.get(verbs, at)
 
 
 @feature("prev_V", "en")
 def prev_verb(toks, cs, ce, ctx):
-    return _verb_value(_verb_scan(_left(toks, cs)))
+    return _verb_at(toks, cs, ctx)
 
 
 def _noun_scan(toks: Column, cs: Column) -> Column:
@@ -184,8 +210,7 @@ def prev_noun_prep(toks, cs, ce, ctx):
 @feature("prev_VNP", "en")
 def prev_verb_noun_prep(toks, cs, ce, ctx):
     s = _noun_scan(toks, cs)
-    at = F.coalesce(s["at"].try_cast("int"), F.lit(0))
-    verb = _verb_value(_verb_scan(_left(toks, at)))
+    verb = _verb_at(toks, F.coalesce(s["at"].try_cast("int"), F.lit(0)), ctx)
     return F.when((s["noun"] != "") & verb.isNotNull(), F.concat_ws("|", verb, s["noun"], s["prep"]))
 
 
@@ -213,8 +238,9 @@ def prev_adjective(toks, cs, ce, ctx):
 
 def _nearest(toks: Column, cs: Column, most: int | None, stop: Callable[[Column], Column], take: Callable[[Column], Column]) -> Column:
     """The nearest token left of the chunk at which ``stop`` holds, if ``take`` does too."""
-    first = F.get(F.filter(_left(toks, cs, most), lambda x: stop(x["t"])), F.lit(0))
-    return F.when(take(first["t"]), first["t"]["lc"])
+    left = _before(toks, cs) if most is None else F.slice(_before(toks, cs), 1, most)
+    first = F.get(F.filter(left, stop), F.lit(0))
+    return F.when(take(first), first["lc"])
 
 
 def _inside(toks: Column, cs: Column, ce: Column) -> Column:
@@ -284,8 +310,9 @@ feature("prev_J", "cn")(lambda toks, cs, ce, ctx: F.get(F.reverse(_adjectives(to
 
 @feature("prev_CD_M", "cn")
 def measure_word(toks, cs, ce, ctx):
-    first = F.get(F.filter(_left(toks, cs), lambda x: x["t"]["tag"] == "M"), F.lit(0))
-    return F.when(first["i"] > 1, F.concat_ws(" ", first["p"]["lc"], first["t"]["lc"])).otherwise(first["t"]["lc"])
+    at = cs - F.array_position(_before(toks, cs)["tag"], "M").cast("int")  # cs itself if there is none
+    word = F.when(at < cs, _at(toks, at)["lc"])
+    return F.when(at > 1, F.concat_ws(" ", F.when(at < cs, _at(toks, at - 1)["lc"]), word)).otherwise(word)
 
 
 @feature("prev_DT", "cn")
@@ -298,4 +325,4 @@ def render(language: str, toks: Column, cs: Column, ce: Column, ctx: dict[str, C
     """Sorted array of name=value, spaces in values as underscores; features without a value are left out."""
     chosen = {n: f for n, f in features_of(language).items() if names is None or n in names}
     made = [F.concat(F.lit(n + "="), F.replace(_some(f(toks, cs, ce, ctx)), F.lit(" "), F.lit("_"))) for n, f in chosen.items()]
-    return F.array_sort(F.array_compact(F.array(*made)))
+    return F.array_except(F.sort_array(F.array(*made)), F.array(F.lit(None).cast("string")))

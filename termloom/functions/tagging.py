@@ -12,6 +12,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termloom.functions import text
+
+#: Function words by tag, looked up in this order.
 LEXICON = {
     "DT": "a an the this that these those each every der die das ein eine les la le el los",
     "IN": "of in on at by for from with as into between through under over von mit de en por pour par dans sur",
@@ -27,8 +30,9 @@ LEXICON = {
     "WDT": "which",
     "RB": "not very also",
 }
+#: Endings by tag, tried in this order, and how many characters at least stand before them.
 SUFFIXES = [
-    ("VBG", ".{2,}ing"), ("VBN", ".{2,}ed"), ("RB", ".{2,}ly"), ("JJ", ".{2,}(ous|ful|ble|ive|ic|al)"), ("JJS", ".{3,}est"), ("NNS", ".{2,}[^s]s"),
+    ("VBG", ("ing",), 2), ("VBN", ("ed",), 2), ("RB", ("ly",), 2), ("JJ", ("ous", "ful", "ble", "ive", "ic", "al"), 2), ("JJS", ("est",), 3),
 ]
 
 
@@ -44,36 +48,47 @@ def tag_case(tok: str) -> str:
         quoted = ", ".join(f"'{w}'" for w in words.split())
         parts.append(f"WHEN {lc} IN ({quoted}) THEN '{tag}'")
     parts.append(f"WHEN MATCH({tok}, '[0-9][0-9.,]*') THEN 'CD'")
-    parts += [f"WHEN MATCH({lc}, '{pattern}') THEN '{tag}'" for tag, pattern in SUFFIXES]
+    parts += [f"WHEN MATCH({lc}, '.{{{least},}}({'|'.join(ends)})') THEN '{tag}'" for tag, ends, least in SUFFIXES]
+    parts.append(f"WHEN MATCH({lc}, '.{{2,}}[^s]s') THEN 'NNS'")
     parts.append(f"WHEN MATCH({tok}, '[A-Z].*') THEN 'NNP'")
     return f"CASE {' '.join(parts)} ELSE 'NN' END"
 
 
 def split_sentences(line: Column) -> Column:
     """Cut a line after end marks followed by white space."""
-    return F.filter(F.split(F.regexp_replace(line, r"([.!?])\s+", "$1\n"), "\n"), lambda s: s != "")
+    return F.array_remove(F.split(F.regexp_replace(line, r"([.!?])\s+", "$1\n"), "\n"), "")
 
 
 def split_tokens(sentence: Column) -> Column:
     """White-space tokens, a final punctuation mark on its own."""
     spaced = F.regexp_replace(sentence, r"([.,;:!?])(\s|$)", " $1$2")
-    return F.filter(F.split(spaced, r"\s+"), lambda t: t != "")
+    return F.array_remove(F.split(spaced, r"\s+"), "")
 
 
 def tagged(tokens: Column) -> Column:
-    """array<struct<tok, lc, tag>> by the rules."""
-    return F.transform(tokens, lambda t: F.struct(t.alias("tok"), F.lower(t).alias("lc"), _rule(t).alias("tag")))
-
-
-def _rule(t: Column) -> Column:
-    lc = F.lower(t)
-    out = F.when(t.isin(".", "!", "?"), ".").when(t == ",", ",").when(t.isin(";", ":"), ":")
-    for tag, words in LEXICON.items():
-        out = out.when(lc.isin(*words.split()), tag)
-    out = out.when(t.rlike("^[0-9][0-9.,]*$"), "CD")
-    for tag, pattern in SUFFIXES:
-        out = out.when(lc.rlike(f"^{pattern}$"), tag)
-    return out.when(t.rlike("^[A-Z].*$"), "NNP").otherwise("NN")
+    """array<struct<tok, lc, tag>> by the rules; the lower-cased token is made once."""
+    cased = F.transform(tokens, lambda t: F.struct(t.alias("tok"), F.lower(t).alias("lc")))
+    return F.transform(cased, lambda x: F.struct(x["tok"].alias("tok"), x["lc"].alias("lc"), tag_of(x["tok"], x["lc"]).alias("tag")))
+
+
+def tag_of(t: Column, lc: Column) -> Column:
+    """The tag of a token and its lower-cased form. Most tokens are no function words, which one look into a set tells; numbers
+    and names are told by their first character before any pattern is tried."""
+    listed = [(".", (".", "!", "?")), (",", (",",)), (":", (";", ":")), *((tag, words.split()) for tag, words in LEXICON.items())]
+    known = None
+    for tag, words in listed:
+        test = lc.isin(*words)
+        known = F.when(test, tag) if known is None else known.when(test, tag)
+    out = F.when(lc.isin(*(w for _, words in listed for w in words)), known)
+    out = out.when((t >= "0") & (t < ":") & t.rlike("^[0-9][0-9.,]*$"), "CD")
+    for tag, ends, least in SUFFIXES:
+        hit = None
+        for e in ends:
+            one = lc.endswith(e) & (F.length(lc) >= len(e) + least)
+            hit = one if hit is None else hit | one
+        out = out.when(hit, tag)
+    plural = lc.endswith("s") & ~lc.endswith("ss") & (F.length(lc) >= 4)
+    return out.when(plural, "NNS").when((t >= "A") & (t < "["), "NNP").otherwise("NN")
 
 
 def parse_tagged(line: Column) -> Column:
@@ -89,7 +104,8 @@ def parse_tagged(line: Column) -> Column:
 
 
 def external(fields: DataFrame, start: Callable[[], Callable[[list[str]], list[str]]]) -> DataFrame:
-    """Tag ``line`` by a user's tagger, started once a partition; a line it fails on gives a null and the message in ``error``."""
+    """Tag ``line`` by a user's tagger, started once a partition, into ``tagged``; header lines (FH_) pass as they are. A line it fails on
+    gives a null and the message in ``error``."""
     columns = fields.columns
     schema = ", ".join([*(f"`{c}` {t}" for c, t in fields.dtypes), "tagged string, error string"])
 
@@ -99,7 +115,7 @@ def external(fields: DataFrame, start: Callable[[], Callable[[list[str]], list[s
             done, errors = [], []
             for line in b["line"]:
                 try:
-                    done.append(tagger([line])[0])
+                    done.append(line if line.startswith("FH_") else tagger([line])[0])
                     errors.append(None)
                 except Exception as e:  # one bad line must not end the job
                     done.append(None)
@@ -109,6 +125,13 @@ def external(fields: DataFrame, start: Callable[[], Callable[[list[str]], list[s
     return fields.mapInPandas(run, schema)
 
 
+def tag_lines(fields: DataFrame, language: str, start: Callable[[], Callable[[list[str]], list[str]]]) -> DataFrame:
+    """``external`` for a language with a chunk schema; in Chinese text parentheses are punctuation, whatever the tagger said."""
+    chunker_for(language)
+    out = external(fields, start)
+    return out.withColumn("tagged", text.fix_paren_tag(F.col("tagged"))) if language == "cn" else out
+
+
 PROVIDERS = ("rules", "pretagged", "external")
 LANGUAGES = {"en": "en", "de": "de", "cn": "cn"}
 

@@ -1,6 +1,10 @@
-"""Modifiers that are too general to open or carry on a term, alphabetically."""
+"""Modifiers that are too general to open or carry on a term, alphabetically.
 
-GENERAL_MODIFIERS = frozenset(
+Fixed values: behaviour depends on them. Two entries beyond ASCII, a degree sign and a minus sign, are left out, as they never match a
+token there either.
+"""
+
+GENERAL_MODIFIERS = tuple(
     r"""
 % = above above-defined above-described above-mentioned acceptable according actual additional adjacent
 affecting aforementioned allowing alternative anda appropriate available average being best better bottom

@@ -73,10 +73,8 @@ def patent_sections(texts: DataFrame, tags: DataFrame, key: str = "doc_id") -> D
     named = placed.withColumn("name", F.when(heading, "heading").otherwise(F.col("name")))
     kinds = F.create_map(*(F.lit(x) for pair in S.TAG_TYPES.items() for x in pair))
     typed = named.withColumn("_own", kinds[F.col("name")])
-    outer = typed.where("_own IS NOT NULL").select(F.col(key).alias("_k"), F.col("ord").alias("_o"), F.col("start").alias("_s"), F.col("end").alias("_e"), F.col("_own").alias("_t"))
-    around = (F.col(key) == F.col("_k")) & (F.col("_o") < F.col("ord")) & (F.col("_s") <= F.col("start")) & (F.col("_e") >= F.col("end"))
-    above = typed.select(key, "ord", "start", "end").join(outer, around).groupBy(key, "ord").agg(F.array_sort(F.collect_list(F.struct("_o", "_t"))).alias("_a"))
-    inherited = F.transform(F.coalesce("_a", F.array().cast("array<struct<_o: int, _t: string>>")), lambda x: x["_t"])
+    above = S.enclosing(typed, F.col("_own"), key)
+    inherited = F.filter(F.col("around")["label"], lambda x: x.isNotNull())
     own = F.array_compact(F.array("_own"))
     nodes = (
         typed.join(above, [key, "ord"], "left")

@@ -34,6 +34,14 @@ def sections_of(lines: DataFrame, key: str = "doc_id") -> DataFrame:
     )
 
 
+def years_of(lines: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, year): the first four characters of the DATE field's first line with text, 9999 without one; over lines with sections."""
+    from termloom.operators import stats
+    from termloom.sources import manifests
+
+    return stats.first_in_section(lines, "DATE", key).select(key, manifests.year_of(F.trim("line")).alias("year"))
+
+
 def title_sections(lines: DataFrame) -> DataFrame:
     """Plain lines: the first is the TITLE, the others are the DESC section."""
     first = F.col("line_no") == 0
@@ -58,8 +66,8 @@ def sentences_of(lines: DataFrame, key: str = "doc_id", pretagged: bool = False)
     )
 
 
-def document_sentences(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame:
-    """What ``sentences_of(title_sections(lines_of(docs)))`` gives, made inside each row: one pass over the texts, no shuffle."""
+def document_tokens(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame:
+    """The sentences of ``document_sentences`` with ``tokens`` (array<string>) in place of tagged ones."""
 
     def of_line(line: Column, n: Column) -> Column:
         parts = F.filter(tagging.split_sentences(text.fix_line(line)), lambda s: s.rlike(r"\S"))
@@ -75,8 +83,14 @@ def document_sentences(docs: DataFrame, key: str = "doc_id", body: str = "text")
         "sent_id",
         F.when(title, "TITLE").otherwise("DESC").alias("section"),
         F.when(title, F.col("sent_id")).otherwise(F.col("sent_id") - F.col("_lead")).alias("sent_in_section"),
-        tagging.split_tokens(F.col("_x.s")).alias("_t"),
-    ).select(key, "sent_id", "section", "sent_in_section", tagging.tagged(F.col("_t")).alias("toks"))
+        tagging.split_tokens(F.col("_x.s")).alias("tokens"),
+    )
+
+
+def document_sentences(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame:
+    """What ``sentences_of(title_sections(lines_of(docs)))`` gives, made inside each row: one pass over the texts, no shuffle."""
+    rows = document_tokens(docs, key, body)
+    return rows.select(key, "sent_id", "section", "sent_in_section", tagging.tagged(F.col("tokens")).alias("toks"))
 
 
 def chunks_of(sentences: DataFrame, schema: str | chunking.Schema, key: str = "doc_id") -> DataFrame:
@@ -88,22 +102,30 @@ def chunks_of(sentences: DataFrame, schema: str | chunking.Schema, key: str = "d
         *sentences.columns,
         F.col("_c.cs").alias("cs"),
         F.col("_c.ce").alias("ce"),
-        F.array_join(F.transform(own, lambda t: t["tok"]), " ").alias("phrase"),
-        F.array_join(F.transform(own, lambda t: t["lc"]), " ").alias("term"),
-        F.array_join(F.transform(own, lambda t: t["tag"]), "_").alias("tag_sig"),
+        F.array_join(own["tok"], " ").alias("phrase"),
+        F.array_join(own["lc"], " ").alias("term"),
+        F.array_join(own["tag"], "_").alias("tag_sig"),
     )
 
 
+def with_verbs(sentences: DataFrame) -> DataFrame:
+    """Add ``verbs``, the governing verb at each place: once for a sentence instead of once for each of its chunks."""
+    return sentences.withColumn("verbs", features.governing_verbs(F.col("toks")))
+
+
 def title_nouns(sentences: DataFrame, key: str = "doc_id", lead: tuple[str, ...] = ("TITLE", "ABSTRACT")) -> DataFrame:
     """Sentences with ``lead_nouns``, the lower-cased nouns of title and abstract so far, this sentence's included."""
     nouns = F.transform(F.filter("toks", lambda t: t["tag"].startswith("N")), lambda t: t["lc"])
-    own = F.when(F.col("section").isin(*lead), nouns).otherwise(F.array().cast("array<string>"))
+    own = F.when(F.col("section").isin(*lead), nouns)  # others are null, which no list collects: it grows with title and abstract only
     so_far = Window.partitionBy(key).orderBy("sent_id").rowsBetween(Window.unboundedPreceding, 0)
     return sentences.withColumn("lead_nouns", F.array_distinct(F.flatten(F.collect_list(own).over(so_far))))
 
 
 def candidates(chunks: DataFrame, filtered: bool, key: str = "doc_id") -> DataFrame:
-    """Chunks with ``uid`` (counted before the filter); the filter keeps titles and chunks that share a word with ``lead_nouns``."""
+    """Chunks with ``uid`` (counted before the filter); the filter keeps titles and chunks that share a word with ``lead_nouns``.
+
+    Counting sorts each document's chunks: drop what is no longer needed first, ``toks`` above all.
+    """
     order = Window.partitionBy(key).orderBy("sent_id", "cs")
     numbered = chunks.withColumn("uid", F.concat_ws("_", F.col(key).cast("string"), (F.row_number().over(order) - 1).cast("string")))
     if not filtered:
@@ -113,7 +135,7 @@ def candidates(chunks: DataFrame, filtered: bool, key: str = "doc_id") -> DataFr
 
 def feature_rows(chunks: DataFrame, language: str = "en", names: list[str] | None = None) -> DataFrame:
     """Chunks with ``features``, the sorted name=value strings."""
-    context = {c: F.col(c) for c in ("sent_id", "section", "sent_in_section")}
+    context = {c: F.col(c) for c in ("sent_id", "section", "sent_in_section", "verbs") if c in chunks.columns}
     made = features.render(language, F.col("toks"), F.col("cs"), F.col("ce"), context, names)
     return chunks.withColumn("features", made)
 

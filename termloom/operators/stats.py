@@ -14,6 +14,38 @@ def type_token_counts(terms: DataFrame, *keys: str) -> DataFrame:
     return terms.groupBy(*keys).agg(F.countDistinct("term").alias("types"), F.count("*").alias("tokens"))
 
 
+def token_counts(docs: DataFrame, *keys: str, body: str = "text") -> DataFrame:
+    """Documents, lines and white-space tokens of texts, header lines included, by the given keys."""
+    tokens = F.regexp_count(F.col(body), F.lit(r"[^ \n\t\r\f]+")).cast("long")
+    return docs.groupBy(*keys).agg(F.count("*").alias("docs"), F.sum(F.size(F.split(F.col(body), "\n", -1))).alias("lines"), F.sum(tokens).alias("tokens"))
+
+
+def first_in_section(lines: DataFrame, section: str, key: str = "doc_id") -> DataFrame:
+    """(key, line): the first line with text of a section, over lines with ``section``, ``line_no`` and ``line``; null for documents without one."""
+    hit = F.when((F.col("section") == section) & (F.trim("line") != ""), F.struct("line_no", "line"))
+    return lines.groupBy(key).agg(F.min(hit).alias("_f")).select(key, F.col("_f.line").alias("line"))
+
+
+def subject_histogram(lines: DataFrame, key: str = "doc_id") -> DataFrame:
+    """How many documents have each first line of the subject field; null counts those without one."""
+    return first_in_section(lines, "SUBJECT", key).groupBy(F.col("line").alias("subject")).agg(F.count("*").alias("n"))
+
+
+def list_analysis(paths: DataFrame, path: str = "path") -> DataFrame:
+    """Of a list of files letter/journal_number/name: lines, distinct names, distinct short paths and journals, by the journal's letter.
+
+    A journal's name is its folder without digits, dashes and underscores at the end; the short path is letter, journal and name.
+    """
+    parts = F.split(F.col(path), "/")
+    name = F.element_at(parts, -1)
+    journal = F.rtrim(F.element_at(parts, -2), F.lit("_-1234567890"))
+    named = paths.select(F.left(journal, F.lit(1)).alias("letter"), journal.alias("journal"), name.alias("name"))
+    short = F.struct("letter", "journal", "name")
+    return named.groupBy("letter").agg(
+        F.count("*").alias("lines"), F.countDistinct("name").alias("names"), F.countDistinct(short).alias("short_paths"), F.countDistinct("journal").alias("journals")
+    )
+
+
 def common_types(sections: DataFrame, most: int = 100) -> DataFrame:
     """The most frequent section types; ties by name."""
     counted = sections.select(F.explode("types").alias("type")).groupBy("type").agg(F.count("*").alias("n"))
@@ -42,7 +74,7 @@ def set_overlap(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
 
 
 def domain_lookup(codes: DataFrame, domains: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Codes (key, major, minor) to the domain of the longer code, or else of the shorter; the first by name for each key."""
+    """Codes (key, major, minor) to the domain of the shorter code, or else of the longer; the first by name for each key."""
     long = domains.select(F.col("code").alias("_long"), F.col("domain").alias("_d1"))
     short = domains.select(F.col("code").alias("_short"), F.col("domain").alias("_d2"))
     met = codes.join(short, codes["major"] == F.col("_short"), "left").join(long, F.concat("major", "minor") == F.col("_long"), "left")

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: The type of a section by its tag's name.
 TAG_TYPES = {
     "abstract": "Abstract", "claim": "Claim", "claims": "Claims", "date": "Meta-Date", "description": "Description", "heading": "Header",
     "invention-title": "Meta-Title", "related-apps": "Related_Applications", "summary": "Summary",
 }
-#: A short paragraph with one of these is a heading.
+#: A short paragraph with one of these is a heading.
 HEADER_WORDS = ("background", "description of prior art", "description of related art", "field", "summary")
-#: Semantic header types: pieces that call for one, pieces that forbid it, in a header of lower-case letters only.
+#: Fixed values, semantic header types: pieces that call for one, pieces that forbid it, in a header of lower-case letters only.
 HEADER_TYPES: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
     "Abbreviations": (("abbreviat",), ()),
     "Abstract": (("abstract",), ("e", "ion")),
@@ -52,12 +53,42 @@ def in_order(tags: DataFrame, key: str = "doc_id") -> DataFrame:
     return tags.withColumn("ord", F.row_number().over(order).cast("int"))
 
 
+def enclosing(ordered: DataFrame, label: Column, key: str = "doc_id") -> DataFrame:
+    """(key, ord, around): of each tag the earlier ones that enclose it, outermost first, as structs of ``ord`` and the string ``label``.
+
+    One fold over a document's tags in order keeps those on a stack that may still enclose a later one, so n tags that nest take n
+    steps of their depth; tags that cross stay on it too, which makes it right for any.
+    """
+    tag = F.struct("ord", "start", "end", label.alias("label"))
+    each = ordered.groupBy(key).agg(F.array_sort(F.collect_list(tag)).alias("_t"))
+    return each.select(key, F.explode(_stacked(F.col("_t"))).alias("_f")).select(key, F.col("_f.ord").alias("ord"), F.col("_f.around").alias("around"))
+
+
+def _stacked(tags: Column) -> Column:
+    near = "array<struct<ord: int, label: string>>"
+    start = F.struct(
+        F.expr("cast(array() as array<struct<ord: int, s: int, e: int, label: string>>)").alias("open"),
+        F.expr(f"cast(array() as array<struct<ord: int, around: {near}>>)").alias("out"),
+    )
+
+    def step(a: Column, t: Column) -> Column:
+        # what ends before this one begins can enclose nothing later; an empty tag at that very place is still inside
+        still = F.filter(a["open"], lambda o: (o["e"] > t["start"]) | ((o["e"] == t["start"]) & (t["end"] == t["start"])) | (o["s"] == t["start"]))
+        own = F.struct(t["ord"].cast("int").alias("ord"), t["start"].cast("int").alias("s"), t["end"].cast("int").alias("e"), t["label"].alias("label"))
+        around = F.transform(
+            F.filter(still, lambda o: (o["s"] <= t["start"]) & (o["e"] >= t["end"])), lambda o: F.struct(o["ord"].alias("ord"), o["label"].alias("label"))
+        )
+        found = F.struct(t["ord"].cast("int").alias("ord"), around.alias("around"))
+        return F.struct(F.concat(still, F.array(own)).alias("open"), F.concat(a["out"], F.array(found)).alias("out"))
+
+    return F.aggregate(tags, start, step, lambda a: a["out"])
+
+
 def parents(ordered: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``parent``: the ``ord`` of the nearest earlier tag that encloses each, null at the top. Hash-partitioned by document."""
-    outer = ordered.select(F.col(key).alias("_k"), F.col("ord").alias("_o"), F.col("start").alias("_s"), F.col("end").alias("_e"))
-    inside = (F.col(key) == F.col("_k")) & (F.col("_o") < F.col("ord")) & (F.col("_s") <= F.col("start")) & (F.col("_e") >= F.col("end"))
-    nearest = ordered.select(key, "ord", "start", "end").join(outer, inside).groupBy(key, "ord").agg(F.max("_o").alias("parent"))
-    return ordered.join(nearest, [key, "ord"], "left")
+    """``parent``: the ``ord`` of the nearest earlier tag that encloses each, null at the top."""
+    around = F.col("around")
+    found = enclosing(ordered, F.lit(None).cast("string"), key).select(key, "ord", F.get(around, F.size(around) - 1)["ord"].alias("parent"))
+    return ordered.join(found, [key, "ord"], "left")
 
 
 def links(sections: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -136,11 +167,6 @@ def with_header_types(types: Column, more: Column) -> Column:
     return F.when(F.size(types) > 0, F.concat(types, F.filter(more, lambda x: ~x.eqNullSafe(last)))).otherwise(more)
 
 
-def description_rest(start: Column, end: Column, summary: Column, background: Column, field: Column) -> Column:
-    """struct(start, end): the description after the last of summary, background or field that the document has (their ends)."""
-    return F.struct(F.coalesce(summary, background, field, start).alias("start"), end.alias("end"))
-
-
 def section_line(s: dict[str, Column]) -> Column:
     """A section as text; fields without a value are left out."""
     quoted = lambda n, c: F.concat(F.lit(n + '="'), c, F.lit('"'))

@@ -38,6 +38,10 @@ def _sentences(spark, d):
     return S.document_sentences(table(spark, d, "documents").select("doc_id", "text"))
 
 
+def _chunks(spark, d, schema):
+    return S.chunks_of(_sentences(spark, d), schema)
+
+
 def _tokens(spark, d):
     return _sentences(spark, d).select("doc_id", "sent_id", F.posexplode("toks").alias("i", "t")).select("doc_id", "sent_id", "i", "t.*")
 
@@ -140,12 +144,14 @@ def segmenter_guards(spark, d):
 
 @query(f"{_BASE} SELECT tag, count(*) AS n FROM t GROUP BY tag")
 def pos_tags(spark, d):
-    return _tokens(spark, d).groupBy("tag").agg(F.count("*").alias("n"))
+    words = S.document_tokens(table(spark, d, "documents").select("doc_id", "text")).select(F.explode("tokens").alias("tok"))
+    return words.select(tagging.tag_of(F.col("tok"), F.lower("tok")).alias("tag")).groupBy("tag").agg(F.count("*").alias("n"))
 
 
 @query(f"{_BASE} SELECT doc_id, sent_id, section, sent_in_section, CAST(len(toks) AS INT) AS n_tokens FROM s")
 def sentence_table(spark, d):
-    return _sentences(spark, d).select("doc_id", "sent_id", "section", "sent_in_section", F.size("toks").alias("n_tokens"))
+    rows = S.document_tokens(table(spark, d, "documents").select("doc_id", "text"))  # a count needs no tags
+    return rows.select("doc_id", "sent_id", "section", "sent_in_section", F.size("tokens").alias("n_tokens"))
 
 
 def _chunk_query(name: str):
@@ -207,14 +213,14 @@ _VERB_SQL = f"""k AS (
 
 @query(f"{_BASE}, {_islands_sql('en')}, {_VERB_SQL} SELECT doc_id, sent_id, cs, array_to_string(list_concat([v], coalesce(preps, [])[1:2]), '_') AS prev_v FROM k3 WHERE v IS NOT NULL")
 def features_prev_v(spark, d):
-    rows = S.feature_rows(S.chunks_of(_sentences(spark, d), "en"), "en", ["prev_V"]).where(F.size("features") > 0)
+    rows = S.feature_rows(S.chunks_of(S.with_verbs(_sentences(spark, d)), "en"), "en", ["prev_V"]).where(F.size("features") > 0)
     return rows.select("doc_id", "sent_id", "cs", F.substring(F.element_at("features", 1), 8, 10_000).alias("prev_v"))
 
 
 @query()
 def features_english(spark, d):
     """All English features; the scans without SQL are tested against a plain transcription."""
-    rows = S.feature_rows(S.chunks_of(_sentences(spark, d), "en"), "en")
+    rows = S.feature_rows(S.chunks_of(S.with_verbs(_sentences(spark, d)), "en"), "en")
     return rows.select("doc_id", "sent_id", "cs", "term", F.array_join("features", "\t").alias("features"))
 
 
@@ -227,21 +233,22 @@ _TITLE_SQL = f"""n AS (
 
 @query(f"{_BASE}, {_islands_sql('en')}, {_TITLE_SQL} SELECT uid, term FROM u LEFT JOIN n USING (doc_id) WHERE section = 'TITLE' OR list_has_any(string_split(term, ' '), coalesce(nouns, []))")
 def title_noun_filter(spark, d):
-    chunks = S.chunks_of(S.title_nouns(_sentences(spark, d)), "en")
+    chunks = S.chunks_of(S.title_nouns(_sentences(spark, d)), "en").select("doc_id", "sent_id", "cs", "section", "term", "lead_nouns")
     return S.candidates(chunks, True).select("uid", "term")
 
 
 @query(f"{_BASE}, {_islands_sql('en')}, {_TITLE_SQL} SELECT uid || chr(9) || '2024' || chr(9) || term || chr(9) || 'plen=' || (ce - cs) || chr(9) || 'tag_sig=' || tag_sig AS line FROM u")
 def feature_lines(spark, d):
-    rows = S.feature_rows(S.candidates(S.chunks_of(_sentences(spark, d), "en"), False), "en", ["plen", "tag_sig"])
+    made = S.feature_rows(_chunks(spark, d, "en"), "en", ["plen", "tag_sig"]).select("doc_id", "sent_id", "cs", "term", "features")
+    rows = S.candidates(made, False)
     return rows.select(S.tsv_row(F.col("uid"), F.lit("2024"), F.col("term"), F.array_join("features", "\t")).alias("line"))
 
 
 @query()
 def highlighted_terms(spark, d):
     """uid, term and the sentence with the term marked; rendering is covered by unit tests."""
-    rows = S.candidates(S.chunks_of(_sentences(spark, d), "en"), False)
-    return rows.select("uid", "term", S.highlight(F.col("toks"), F.col("cs"), F.col("ce")).alias("sentence"))
+    marked = _chunks(spark, d, "en").withColumn("sentence", S.highlight(F.col("toks"), F.col("cs"), F.col("ce")))
+    return S.candidates(marked.select("doc_id", "sent_id", "cs", "term", "sentence"), False).select("uid", "term", "sentence")
 
 
 # --- counts ------------------------------------------------------------------------------------------------------------------
@@ -253,8 +260,9 @@ def term_counts(spark, d):
 
 @query(f"{_BASE}, {_islands_sql('en')} SELECT source, count(DISTINCT term) AS types, count(*) AS tokens FROM p JOIN documents USING (doc_id) GROUP BY source")
 def type_token_counts(spark, d):
-    chunks = S.chunks_of(_sentences(spark, d), "en").select("doc_id", "term")
-    return stats.type_token_counts(chunks.join(table(spark, d, "documents").select("doc_id", "source"), "doc_id"), "source")
+    texts = table(spark, d, "documents").select(F.struct("doc_id", "source").alias("doc"), "text")
+    chunks = S.chunks_of(S.document_sentences(texts, "doc"), "en").select("doc.source", "term")  # the source rides along: no join
+    return stats.type_token_counts(chunks, "source")
 
 
 @query("SELECT nullif(regexp_extract(url, '/(en|de|fr|es)/', 1), '') AS subject, count(*) AS n FROM pages GROUP BY ALL")

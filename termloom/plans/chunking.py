@@ -39,11 +39,12 @@ class Schema:
         return all(self.cont.get(t) in (r, ANY) for t, r in self.start.items())
 
 
-_NOISE = but(*sorted(GENERAL_MODIFIERS))
+# Words and tags by schema; behaviour depends on them.
+_NOISE = but(*GENERAL_MODIFIERS)
 _NOUNS = dict.fromkeys(("NN", "NNP", "NNPS", "NNS"), ANY)
-_ORDER_WORDS = but(*sorted("first second third fourth following preceding next further more such same respective predetermined therebetween".split()))
-_VERBS = sorted("using having according including containing consisting following resulting employing disclosing describing improving".split())
-_LATE_VERBS = sorted([*_VERBS, "being", "comprising", "corresponding", "pertaining"])
+_ORDER_WORDS = but(*"first second third fourth following preceding next further more such same respective predetermined therebetween".split())
+_VERBS = "using having according including containing consisting following resulting employing disclosing describing improving".split()
+_LATE_VERBS = [*_VERBS, "being", "comprising", "corresponding", "pertaining"]
 _CORE = {**_NOUNS, "POS": ANY, "JJR": but("more"), "FW": but("e.g.", "i.e")}
 _PLAIN = {**_CORE, "NN": but("fig", "figure"), "NNP": but("fig", "figure"), "JJ": _NOISE, "JJS": but("most")}
 _LISTS = {**_CORE, "JJ": _ORDER_WORDS, "JJS": but("most"), "VBG": but(*_VERBS)}
@@ -85,11 +86,14 @@ def parse_schema(lines: list[str]) -> Schema:
 def admits(rules: dict[str, Rule], tag: Column, lc: Column) -> Column:
     """Whether a token is admitted; never null."""
     free = [t for t, r in rules.items() if r[0] == "any"]
-    out = tag.isin(*free) if free else F.lit(False)
-    for t, (kind, words) in rules.items():
-        if kind != "any":
-            out = out | ((tag == t) & (lc.isin(*words) if kind == "in" else ~lc.isin(*words)))
-    return F.coalesce(out, F.lit(False))
+    out = F.when(tag.isin(*free), True) if free else F.when(F.lit(False), True)
+    by_rule: dict[Rule, list[str]] = {}
+    for t, rule in rules.items():
+        if rule[0] != "any":
+            by_rule.setdefault(rule, []).append(t)
+    for (kind, words), tags in by_rule.items():
+        out = out.when(tag.isin(*tags), lc.isin(*words) if kind == "in" else ~lc.isin(*words))
+    return F.coalesce(out.otherwise(False), F.lit(False))
 
 
 def rules_sql(rules: dict[str, Rule], tag: str = "tag", lc: str = "lc") -> str:
@@ -103,12 +107,15 @@ def rules_sql(rules: dict[str, Rule], tag: str = "tag", lc: str = "lc") -> str:
 
 def fold(toks: Column, schema: Schema) -> Column:
     """array<struct<cs, ce>>: half-open token spans of the chunks of a sentence."""
-    flags = F.transform(
-        toks,
-        lambda t, i: F.struct(
-            i.alias("i"), admits(schema.start, t["tag"], t["lc"]).alias("s"), admits(schema.cont, t["tag"], t["lc"]).alias("c"), admits(schema.end, t["tag"], t["lc"]).alias("e")
-        ),
-    )
+    alike = schema.start == schema.cont  # then one test does for both
+
+    def flag(t: Column, i: Column) -> Column:
+        begins = admits(schema.start, t["tag"], t["lc"]).alias("s")
+        goes_on = [] if alike else [admits(schema.cont, t["tag"], t["lc"]).alias("c")]
+        return F.struct(i.alias("i"), begins, *goes_on, admits(schema.end, t["tag"], t["lc"]).alias("e"))
+
+    flags = F.transform(toks, flag)
+    goes_on = "s" if alike else "c"
     none = F.lit(-1)
     span = lambda a, b: F.struct(a.cast("int").alias("cs"), b.cast("int").alias("ce"))
     empty = F.expr("cast(array() as array<struct<cs: int, ce: int>>)")
@@ -118,7 +125,7 @@ def fold(toks: Column, schema: Schema) -> Column:
         opened = state(t["i"], F.when(t["e"], t["i"]).otherwise(none), a["out"])
         longer = state(a["cs"], F.when(t["e"], t["i"]).otherwise(a["le"]), a["out"])
         closed = state(none, none, F.when(a["le"] >= 0, F.concat(a["out"], F.array(span(a["cs"], a["le"] + 1)))).otherwise(a["out"]))
-        return F.when(a["cs"] < 0, F.when(t["s"], opened).otherwise(a)).otherwise(F.when(t["c"], longer).otherwise(closed))
+        return F.when(a["cs"] < 0, F.when(t["s"], opened).otherwise(a)).otherwise(F.when(t[goes_on], longer).otherwise(closed))
 
     whole = lambda a: F.when(a["cs"] >= 0, F.concat(a["out"], F.array(span(a["cs"], F.size(toks))))).otherwise(a["out"])
     return F.aggregate(flags, state(none, none, empty), step, whole)

@@ -40,6 +40,13 @@ def unseen(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
     return new.join(old.select(key).distinct(), key, "left_anti").dropDuplicates([key])
 
 
+def add(old: DataFrame, new: DataFrame, key: str, at: str) -> tuple[DataFrame, DataFrame]:
+    """The manifest with the lines of ``new`` that it lacks after its own, and the log: those lines with the time ``at``. ``old`` stays
+    as it is, so the version before is its own backup."""
+    lines = unseen(new, old, key).select(*old.columns)
+    return old.unionByName(lines), lines.withColumn("added_at", F.lit(at))
+
+
 def from_directory(spark: SparkSession, path: str, seed: int | None = None) -> DataFrame:
     """Every file below ``path`` with year 0000, in path order or shuffled by the seed."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.col("path").alias("source"))
@@ -61,4 +68,4 @@ def populate(manifest: DataFrame, files: DataFrame) -> DataFrame:
 
 def year_of(date: Column) -> Column:
     """The first four characters, 9999 if there is no date."""
-    return F.when(F.length(date) >= 4, F.left(date, F.lit(4))).otherwise("9999")
+    return F.when(F.length(date) > 0, F.left(date, F.lit(4))).otherwise("9999")

@@ -1,7 +1,8 @@
 """Source formats to fielded text. Flat formats are column expressions; XML with mixed content is parsed in batches.
 
-``READERS`` maps a source key to a function of a frame (doc_id, path, content) giving (doc_id, field_ord, field, line_ord, line);
-a document that fails gives one row with the field ERROR and the message, never a failed job.
+``READERS`` maps a source key to a function of a frame (doc_id, path, content) giving (doc_id, field_ord, field, line_ord, line, error);
+a document that fails gives one row without field and line, the message in ``error``, and never a failed job: downstream it is
+an empty document.
 """
 
 from __future__ import annotations
@@ -13,10 +14,10 @@ from collections.abc import Callable, Iterator
 from io import StringIO
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-OUT = "doc_id string, field_ord int, field string, line_ord int, line string"
+OUT = "doc_id string, field_ord int, field string, line_ord int, line string, error string"
 
 
 def between(body: Column, opened: str, closed: str) -> Column:
@@ -35,7 +36,8 @@ def _fields(docs: DataFrame, *fields: tuple[str, Column]) -> DataFrame:
     """Fields in order, their text cut into lines; null ones are left out."""
     array = F.array(*(F.struct(F.lit(k).alias("field_ord"), F.lit(f"FH_{n}").alias("field"), c.alias("body")) for k, (n, c) in enumerate(fields)))
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.explode(array).alias("f")).select("doc_id", "f.*").where("body IS NOT NULL")
-    return rows.select("doc_id", "field_ord", "field", F.posexplode(F.split("body", "\n", -1)).alias("line_ord", "line"))
+    lines = rows.select("doc_id", "field_ord", "field", F.posexplode(F.split("body", "\n", -1)).alias("line_ord", "line"))
+    return lines.withColumn("error", F.lit(None).cast("string"))
 
 
 def journal_markup(docs: DataFrame) -> DataFrame:
@@ -63,15 +65,14 @@ def abstract_lines(docs: DataFrame) -> DataFrame:
 
 def clinical_notes(docs: DataFrame) -> DataFrame:
     """Notes with [start section ...] marks; meta lines, end marks and blank lines go."""
-    from pyspark.sql import Window
-
     lines = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.posexplode(F.split("content", "\n")).alias("n", "line"))
     kept = lines.where(~F.col("line").startswith("[meta rev") & ~F.col("line").startswith("[end section") & (F.trim("line") != ""))
     mark = F.col("line").startswith("[start section").cast("int")
     order = Window.partitionBy("doc_id").orderBy("n")
     numbered = kept.withColumn("field_ord", F.sum(mark).over(order).cast("int")).where(mark == 0)
     inside = Window.partitionBy("doc_id", "field_ord").orderBy("n")
-    return numbered.select("doc_id", "field_ord", F.lit("FH_SECTION").alias("field"), (F.row_number().over(inside) - 1).cast("int").alias("line_ord"), "line")
+    line_ord = (F.row_number().over(inside) - 1).cast("int").alias("line_ord")
+    return numbered.select("doc_id", "field_ord", F.lit("FH_SECTION").alias("field"), line_ord, "line", F.lit(None).cast("string").alias("error"))
 
 
 def parsed_science(docs: DataFrame) -> DataFrame:
@@ -169,19 +170,20 @@ def parse_fact(line: Column) -> Column:
     return F.struct(F.regexp_extract(line, r"^\s*(\S+)", 1).alias("name"), attrs.alias("attrs"), start.alias("start"), end.alias("end"))
 
 
-def _xml_fields(pick: Callable[[str, list[dict], str], list[tuple[str, str]]]):
-    def read(docs: DataFrame) -> DataFrame:
+def _xml_fields(pick: Callable[..., list[tuple[str, str]]]):
+    def read(docs: DataFrame, **options) -> DataFrame:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
-                out = []
+                out: list[tuple] = []
                 for key, path, content in zip(b["doc_id"], b["path"], b["content"], strict=True):
                     try:
-                        fields = pick(*standoff(content), path or "")
-                    except Exception as e:  # as above
-                        fields = [("ERROR", repr(e))]
+                        fields = pick(*standoff(content), path or "", **options)
+                    except Exception as e:  # one broken document must not end the job
+                        out.append((key, 0, None, 0, None, repr(e)))
+                        continue
                     for k, (name, body) in enumerate(fields):
-                        out += [(key, k, f"FH_{name}", n, line) for n, line in enumerate(body.split("\n"))]
-                yield pd.DataFrame(out, columns=["doc_id", "field_ord", "field", "line_ord", "line"])
+                        out += [(key, k, f"FH_{name}", n, line, None) for n, line in enumerate(body.split("\n"))]
+                yield pd.DataFrame(out, columns=["doc_id", "field_ord", "field", "line_ord", "line", "error"])
 
         return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "path", F.col("content").cast("string").alias("content")).mapInPandas(run, OUT)
 
@@ -245,46 +247,63 @@ def _application(text: str, tags: list[dict], path: str) -> list[tuple[str, str]
     return [*out, *(("CLAIM", body(t)) for t in _named(tags, "claim"))]
 
 
-def _granted(text: str, tags: list[dict], path: str, match: str = "exact") -> list[tuple[str, str]]:
-    """Patents: title, date, abstract, summary, rest of the description, first and other claims.
+#: A patent's fields in order of output by the type of section that they take, the description's rest and claims apart.
+PATENT_FIELDS = {
+    "TITLE": "Meta-Title", "DATE": "Meta-Date", "ABSTRACT": "Abstract", "SUMMARY": "Summary", "TECHNICAL_FIELD": "Technical_Field", "BACKGROUND_ART": "Background_Art",
+}
+#: Types that only ``match="last"`` knows.
+MORE_TYPES = {"technical-field": "Technical_Field", "background-art": "Background_Art"}
 
-    With ``exact`` a section counts only if its whole type string is the field's, so nested summaries and claims don't; ``last``
-    goes by the innermost type.
-    """
-    from termloom.operators.structure import TAG_TYPES
 
-    by_id = {t["tag_id"]: t for t in tags}
+def _proper(title: str) -> str:
+    """An all-capital title with initial capitals."""
+    return title.lower().title() if title.isupper() else title
 
-    def types(t):
-        up = types(by_id[t["parent"]]) if t["parent"] is not None else []
-        own = TAG_TYPES.get(t["name"])
-        return [*up, own] if own else up
 
-    found: dict[str, list[dict]] = {}
-    for t in tags:
-        if t["name"] in TAG_TYPES:
-            full = types(t)
-            found.setdefault("|".join(full) if match == "exact" else full[-1], []).append(t)
-    body = lambda t: text[t["start"] : t["end"]].strip()
-    english = lambda ts: [t for t in ts if t["attrs"].get("lang") not in ("chi", "ger", "deu")]
+def _granted(text: str, tags: list[dict], path: str, language: str = "en", match: str = "exact") -> list[tuple[str, str]]:
+    """Patents: title, date, abstract, summary, technical field, background art, rest of the description, first and other claims.
+
+    ``exact``: a section counts only if its whole type string, ancestors' types included, is the field's; so nested summaries
+    and claims don't, and the rest is the whole description. ``last``: the innermost type counts, technical fields and background art
+    have types, and the rest of the description begins after its summary, or else its background art, or else its technical field.
+    Of each field but other claims the first section is kept. In runs of another language than English, titles and abstracts
+    marked as English are left out; German titles in capitals get initial capitals. A date counts inside a publication reference.
+    """
+    from termloom.operators.structure import TAG_TYPES
+
+    if match not in ("exact", "last"):
+        raise ValueError(f"unknown match {match!r}")
+    known = TAG_TYPES | MORE_TYPES if match == "last" else TAG_TYPES
+    above: list[list[str]] = []
+    dated: list[bool] = []
+    found: dict[str, list[tuple[int, int]]] = {}
+    for t in tags:  # parents come before their children
+        up = t["parent"]
+        own = known.get(t["name"])
+        dated.append(t["name"] == "publication-reference" or (up is not None and dated[up]))
+        above.append([*(above[up] if up is not None else []), *([own] if own else [])])
+        if own is None or (own == "Meta-Date" and not dated[-1]):
+            continue
+        if language != "en" and own in ("Meta-Title", "Abstract") and t["attrs"].get("lang") == "eng":
+            continue
+        found.setdefault("|".join(above[-1]) if match == "exact" else own, []).append((t["start"], t["end"]))
+    body = lambda span: text[span[0] : span[1]].strip()
     out = []
-    for field, kind in (("TITLE", "Meta-Title"), ("DATE", "Meta-Date"), ("ABSTRACT", "Abstract"), ("SUMMARY", "Summary")):
-        ts = english(found.get(kind, []))
-        if ts:
-            out.append((field, body(ts[0])))
-    for t in found.get("Description", [])[:1]:
-        summary = found.get("Summary", [])
-        start = max((s["end"] for s in summary if t["start"] <= s["start"] and s["end"] <= t["end"]), default=t["start"])
-        out.append(("DESC_REST", text[start : t["end"]].strip()))
+    for field, kind in PATENT_FIELDS.items():
+        for span in found.get(kind, [])[:1]:
+            out.append((field, _proper(body(span)) if field == "TITLE" and language == "de" else body(span)))
+    for start, end in found.get("Description", [])[:1]:
+        lead = next((found[k][0][1] for k in ("Summary", "Background_Art", "Technical_Field") if k in found), start)
+        out.append(("DESC_REST", text[lead:end].strip()))
     claims = found.get("Claim", [])
     if claims:
         out.append(("FIRST_CLAIM", body(claims[0])))
         if claims[1:]:
             out.append(("OTHER_CLAIMS", "\n".join(body(c) for c in claims[1:])))
-    return out
+    return [(field, b) for field, b in out if b]
 
 
-READERS: dict[str, Callable[[DataFrame], DataFrame]] = {
+READERS: dict[str, Callable[..., DataFrame]] = {
     "ln": _xml_fields(_granted),
     "cnki": journal_markup,
     "pm": _xml_fields(_pubmed),
@@ -295,16 +314,24 @@ READERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def read(source: str, docs: DataFrame) -> DataFrame:
-    """Fielded text of documents (doc_id, path, content) of one source."""
+def read(source: str, docs: DataFrame, **options) -> DataFrame:
+    """Fielded text of documents (doc_id, path, content) of one source. ``ln`` takes ``language`` (en, de, cn) and ``match`` (exact, last)."""
     if source not in READERS:
         raise ValueError(f"unknown data source {source!r}; known: {sorted(READERS)}")
-    return READERS[source](docs)
+    return READERS[source](docs, **options)
 
 
 def render_fielded(fields: DataFrame) -> DataFrame:
-    """(doc_id, text): FH_ headers, lines, END."""
-    one = fields.groupBy("doc_id", "field_ord", "field").agg(F.array_sort(F.collect_list(F.struct("line_ord", "line"))).alias("ls"))
-    block = F.concat(F.col("field"), F.lit(":\n"), F.array_join(F.transform("ls", lambda x: x["line"]), "\n"))
+    """(doc_id, text): FH_ headers, lines, END; documents that failed have no fields."""
+    one = fields.where("field IS NOT NULL").groupBy("doc_id", "field_ord", "field").agg(F.array_sort(F.collect_list(F.struct("line_ord", "line"))).alias("ls"))
+    block = F.concat(F.col("field"), F.lit(":\n"), F.array_join(F.col("ls.line"), "\n"))
     whole = one.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("field_ord", block.alias("b")))).alias("bs"))
-    return whole.select("doc_id", F.concat(F.array_join(F.transform("bs", lambda x: x["b"]), "\n"), F.lit("\nEND\n")).alias("text"))
+    return whole.select("doc_id", F.concat(F.array_join(F.col("bs.b"), "\n"), F.lit("\nEND\n")).alias("text"))
+
+
+def fielded_lines(fields: DataFrame) -> DataFrame:
+    """(doc_id, line_no, line): fielded text as the lines that tagging reads, a header line before each field."""
+    order = F.struct("field_ord", F.col("line_ord") + 1)
+    heads = fields.where("field IS NOT NULL AND line_ord = 0").select("doc_id", F.struct("field_ord", F.lit(0)).alias("at"), F.concat("field", F.lit(":")).alias("line"))
+    rows = heads.union(fields.where("field IS NOT NULL").select("doc_id", order, "line"))
+    return rows.select("doc_id", (F.row_number().over(Window.partitionBy("doc_id").orderBy("at")) - 1).cast("int").alias("line_no"), "line")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -9,10 +11,13 @@ from hypothesis import strategies as st
 from termloom.sources import manifests, readers
 
 
-def fields(spark, source, content, path="/a/journal/GLDZ2011041.xml"):
+def fields(spark, source, content, path="/a/journal/GLDZ2011041.xml", **options):
     frame = spark.createDataFrame([("d", path, content)], "doc_id string, path string, content string")
     out: dict = {}
-    for r in readers.read(source, frame).orderBy("field_ord", "line_ord").collect():
+    for r in readers.read(source, frame, **options).orderBy("field_ord", "line_ord").collect():
+        if r["error"]:
+            assert r["field"] is None and r["line"] is None
+            return "error"
         out.setdefault(r["field"].removeprefix("FH_") + str(r["field_ord"]), []).append(r["line"])
     return out
 
@@ -55,8 +60,58 @@ def test_granted(spark):
     assert got["TITLE0"] == ["T"] and got["ABSTRACT1"] == ["A"] and ["Srest"] in got.values()
 
 
+PATENT = "<p-doc><invention-title lang='{lang}'>A GLASS HOUSE</invention-title><publication-reference><date>20010203</date></publication-reference><date>1999</date><abstract lang='eng'>Abs</abstract><description>{parts}rest</description><claims><claim>c1</claim><claim>c2</claim><claim>c3</claim></claims></p-doc>"
+
+
+def named(got: dict) -> dict:
+    return {re.sub(r"\d+$", "", k): v for k, v in got.items()}
+
+
+def test_language_guard(spark):
+    """Other languages' runs lose what is marked as English, an English run loses nothing."""
+    for lang in ("eng", "chi", "ger"):
+        got = named(fields(spark, "ln", PATENT.format(lang=lang, parts="")))
+        assert got["TITLE"] == ["A GLASS HOUSE"] and got["ABSTRACT"] == ["Abs"]
+    chinese = named(fields(spark, "ln", PATENT.format(lang="chi", parts=""), language="cn"))
+    assert chinese["TITLE"] == ["A GLASS HOUSE"] and "ABSTRACT" not in chinese
+    assert "TITLE" not in named(fields(spark, "ln", PATENT.format(lang="eng", parts=""), language="cn"))
+    assert named(fields(spark, "ln", PATENT.format(lang="ger", parts=""), language="de"))["TITLE"] == ["A Glass House"]
+
+
+RESTS = {
+    "": "rest",
+    "<summary>S</summary>": "rest",
+    "<technical-field>F</technical-field>": "rest",
+    "<background-art>B</background-art>": "rest",
+    "<technical-field>F</technical-field><background-art>B</background-art>": "rest",
+    "<background-art>B</background-art>more<summary>S</summary>": "rest",
+    "<background-art>B</background-art><technical-field>F</technical-field>": "Frest",
+}
+
+
+@pytest.mark.parametrize("parts", RESTS)
+def test_innermost_types(spark, parts):
+    """Nine fields; the rest of the description follows the summary, or the background art, or the technical field, or is all of it."""
+    got = fields(spark, "ln", PATENT.format(lang="eng", parts=parts), match="last")
+    want = {"TITLE": "A GLASS HOUSE", "DATE": "20010203", "ABSTRACT": "Abs"}
+    for tag, field, body in (("summary", "SUMMARY", "S"), ("technical-field", "TECHNICAL_FIELD", "F"), ("background-art", "BACKGROUND_ART", "B")):
+        if tag in parts:
+            want[field] = body
+    want |= {"DESC_REST": RESTS[parts], "FIRST_CLAIM": "c1", "OTHER_CLAIMS": "c2"}
+    assert {k: v[0] for k, v in named(got).items()} == want and [re.sub(r"\d+$", "", k) for k in got] == list(want)
+    assert named(got)["OTHER_CLAIMS"] == ["c2", "c3"]
+
+
+def test_whole_type_strings(spark):
+    """Nested summaries and claims have longer type strings than the fields', so the rest is the whole description."""
+    got = named(fields(spark, "ln", PATENT.format(lang="eng", parts="<summary>S</summary>")))
+    assert got == {"TITLE": ["A GLASS HOUSE"], "DATE": ["20010203"], "ABSTRACT": ["Abs"], "DESC_REST": ["Srest"]}
+
+
 def test_broken_and_unknown(spark):
-    assert list(fields(spark, "pm", "<a><b></a>")) == ["ERROR0"]
+    assert fields(spark, "pm", "<a><b></a>") == "error"
+    broken = spark.createDataFrame([("a", "", "<a><b></a>")], "doc_id string, path string, content string")
+    assert readers.render_fielded(readers.read("pm", broken)).count() == 0
     with pytest.raises(ValueError):
         readers.read("wos", None)
     frame = spark.createDataFrame([("a", "<x>1<y>2</y></x>"), ("b", "<x>")], "doc_id string, content string")
