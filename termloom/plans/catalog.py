@@ -109,10 +109,7 @@ def doc_lines(spark, d):
 
 @query("SELECT lang, count(*) AS docs, CAST(sum(len(string_split(text, chr(10)))) AS BIGINT) AS lines, CAST(sum(len(regexp_extract_all(text, '[^ \\n\\t\\r\\f]+'))) AS BIGINT) AS tokens FROM documents GROUP BY lang")
 def token_counts_by_lang(spark, d):
-    docs = table(spark, d, "documents").select("lang", "text")
-    return docs.groupBy("lang").agg(
-        F.count("*").alias("docs"), F.sum(F.size(F.split("text", "\n", -1))).alias("lines"), F.sum(F.regexp_count("text", F.lit(r"[^ \n\t\r\f]+"))).cast("long").alias("tokens")
-    )
+    return stats.token_counts(table(spark, d, "documents"), "lang")
 
 
 @query(r"SELECT page_id, replace(regexp_replace(regexp_replace(html, '(</b>)([A-Za-z0-9])', '\1 \2', 'g'), '([^\s])(<b>)', '\1 \2', 'g'), '™', '') AS html FROM pages")
@@ -171,12 +168,6 @@ def chunks_by_islands(spark, d):
     return chunking.islands(_tokens(spark, d), chunking.SCHEMAS["en"], "doc_id", "sent_id")
 
 
-@query()
-def chunks_cn(spark, d):
-    """The schema whose adjectives may start but not continue: fold form only; tested against the automaton."""
-    return S.chunks_of(_sentences(spark, d), "cn").select("doc_id", "sent_id", "cs", "ce", "term", "tag_sig")
-
-
 _BASIC = ["doc_loc", "sent_loc", "section_loc", "prev_n3", "prev_n2", "next_n3", "next_n2", "next2_tags", "last_word", "suffix3", "suffix4", "suffix5", "first_word", "plen", "tag_sig"]
 _around = lambda lo, hi: f"array_to_string(list_transform(range({lo}, {hi}), lambda j: CASE WHEN j < 0 OR j >= len(lcs) THEN '^' ELSE lcs[j + 1] END), '_')"
 _BASIC_SQL = {
@@ -244,13 +235,6 @@ def feature_lines(spark, d):
     return rows.select(S.tsv_row(F.col("uid"), F.lit("2024"), F.col("term"), F.array_join("features", "\t")).alias("line"))
 
 
-@query()
-def highlighted_terms(spark, d):
-    """uid, term and the sentence with the term marked; rendering is covered by unit tests."""
-    marked = _chunks(spark, d, "en").withColumn("sentence", S.highlight(F.col("toks"), F.col("cs"), F.col("ce")))
-    return S.candidates(marked.select("doc_id", "sent_id", "cs", "term", "sentence"), False).select("uid", "term", "sentence")
-
-
 # --- counts ------------------------------------------------------------------------------------------------------------------
 
 @query(f"{_BASE}, {_islands_sql('en')} SELECT term, count(*) AS n FROM p GROUP BY term")
@@ -501,13 +485,6 @@ def first_per_short_path(spark, d):
     return stats.first_by(rows, ["short"], F.col("line_no")).select("short", "line_no")
 
 
-@query(r"""WITH p AS (SELECT regexp_extract(url, '//([^/]+)/', 1) AS journal FROM pages)
-SELECT left(journal, 1) AS letter, count(*) AS lines, count(DISTINCT journal) AS journals FROM p GROUP BY ALL""")
-def list_analysis(spark, d):
-    rows = table(spark, d, "pages").select(F.regexp_extract("url", "//([^/]+)/", 1).alias("journal"))
-    return rows.groupBy(F.left("journal", F.lit(1)).alias("letter")).agg(F.count("*").alias("lines"), F.countDistinct("journal").alias("journals"))
-
-
 # --- whole sections, segmenter input, index statistics -------------------------------------------------------------------------------
 
 def _as_patent(spark, d):
@@ -534,21 +511,6 @@ def patent_sections(spark, d):
     return made.where(F.col("struct").isin("p", "heading") & (F.col("end") > F.col("start"))).select("doc_id", "start", "end", F.array_join("types", "|").alias("types"))
 
 
-@query()
-def article_sections(spark, d):
-    """Pages' first lines as titles over the rest; assembled sections are tested by hand-made articles."""
-    from termloom.operators import sections
-
-    spans = _spans(spark, d)
-    title = F.col("tag_id") == 1
-    tags = spans.where("tag_id <= 2").select(
-        "doc_id", "tag_id", F.when(title, "title").otherwise("sec").alias("name"), F.map_from_arrays(F.array(F.lit("TYPE")), F.array(F.lit("TEXT"))).alias("attrs"),
-        F.lit(0).alias("start"), F.when(title, F.col("end")).otherwise(F.col("length")).alias("end"),
-    )
-    made = sections.article_sections(table(spark, d, "documents").select("doc_id", "text"), tags)
-    return sections.section_lines(made).select("doc_id", "section_id", "line")
-
-
 @query(f"""WITH {_NESTED}, i AS (
   SELECT a.doc_id, a.tag_id, max(CASE WHEN b.tag_id = -1000000 THEN 1 ELSE 2 END) AS deep, max(CASE WHEN b.tag_id < 0 AND b.tag_id > -1000000 THEN 1 ELSE 0 END) AS inside
   FROM z a JOIN z b ON a.doc_id = b.doc_id AND b.start <= a.start AND b."end" >= a."end" AND b."end" - b.start > a."end" - a.start GROUP BY ALL)
@@ -695,17 +657,3 @@ def features_prev_npr(spark, d):
 def features_prev_jpr(spark, d):
     rows = S.feature_rows(S.chunks_of(_sentences(spark, d), "en"), "en", ["prev_Jpr"]).where(F.size("features") > 0)
     return rows.select("doc_id", "sent_id", "cs", F.substring(F.element_at("features", 1), 10, 10_000).alias("prev_jpr"))
-
-
-def _language_features(language: str):
-    def run(spark, d):
-        rows = S.feature_rows(S.chunks_of(_sentences(spark, d), language), language)
-        return rows.select("doc_id", "sent_id", "cs", "term", F.array_join("features", "\t").alias("features"))
-
-    run.__name__ = f"features_{language}"
-    run.__doc__ = "All features of the language over rule tags; hand-made sentences test them."
-    query()(run)
-
-
-for _name in ("de", "cn"):
-    _language_features(_name)
