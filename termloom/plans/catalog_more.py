@@ -509,3 +509,21 @@ def files_by_domain(spark, d):
 def tagged_text(spark, d):
     """Sentences as token_TAG lines."""
     return sinks.tagged_lines(S.document_sentences(_docs(spark, d, "text"))).select("doc_id", "sent_id", "line")
+
+
+_RUN_BASE = f"""WITH l0 AS (SELECT doc_id, ['1999', 'Red glass of ' || source || ', a new method', lang || ' houses are built in ' || source || '. Old stones fall'] AS ls FROM documents
+), l AS (SELECT doc_id, unnest(ls) AS line, unnest([0, 1, 2]) AS line_no FROM l0), {_BASE[_BASE.index("s0 AS ("):]}"""
+
+
+@query(f"""{_RUN_BASE}, {_islands_sql('en')} SELECT doc_id AS line_no, doc_id || '_' || (row_number() OVER (PARTITION BY doc_id ORDER BY sent_id, cs) - 1) AS uid, '1999' AS year, term, tag_sig FROM p""")
+def stage_runner(spark, d):
+    """A corpus through populate, text, tags and features, a third of it first and then the rest."""
+    docs = _docs(spark, d, "source", "lang")
+    path = F.concat(F.lit("/in/"), _ID.cast("string"))
+    manifest = docs.select(_ID.alias("line_no"), F.lit("1999").alias("year"), path.alias("source"), _ID.cast("string").alias("target"))
+    content = _text("<year>1999</year>\n<title>Red glass of ", "$source", ", a new method</title>\n<abstract>", "$lang", " houses are built in ", "$source", ". Old stones fall</abstract>")
+    made = corpus.Corpus(spark, scratch_path(spark, "corpus"), manifest, docs.select(path.alias("path"), content.alias("content")), source="signal-processing")
+    made.run(limit=50)
+    rows = made.run()
+    tags = F.regexp_extract(F.array_join("features", "\t"), r"tag_sig=(\S+)", 1)
+    return rows.select("line_no", "uid", "year", "term", tags.alias("tag_sig"))

@@ -1,6 +1,8 @@
 """Documents that arrive over time: each micro-batch goes through the per-document operators and is appended once.
 
-What the corpus already has, by key, is not processed again, so a replayed batch after a failure changes nothing.
+Beside the table stands one of the keys that have been processed, with output or without, in folders by the key's hash: a batch reads
+the folders of its own keys only. A batch writes a folder of its own in either table, output first and keys last, so one that is
+replayed after a failure writes its folders anew and changes nothing else.
 """
 
 from __future__ import annotations
@@ -8,28 +10,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from termloom.operators import corpus
-from termloom.runtime import scratch_path
+from termloom.runtime import exists, scratch_path
 
+#: Folders of processed keys.
+BUCKETS = 256
 
-def _exists(spark, path: str) -> bool:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
-
-def grow(batch: DataFrame, path: str, stage: Callable[[DataFrame], DataFrame], key: str = "doc_id") -> None:
-    """Append ``stage`` of the batch's new documents to the table at ``path``. A document without output is met again next time."""
-    spark = batch.sparkSession
-    new = batch.dropDuplicates([key])
-    if _exists(spark, path):
-        new = corpus.pending(new, spark.read.parquet(path).select(key).distinct(), key)
-    stage(new).write.mode("append").parquet(path)
+def grow(batch: DataFrame, path: str, stage: Callable[[DataFrame], DataFrame], key: str = "doc_id", batch_id: int = 0) -> None:
+    """Add ``stage`` of the batch's new documents to the table at ``path``, as its folder ``batch=<batch_id>``."""
+    spark, keys = batch.sparkSession, f"{path}-keys"
+    new = batch.dropDuplicates([key]).withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int"))
+    if exists(spark, keys):
+        met = [r["_bucket"] for r in new.select("_bucket").distinct().collect()]  # BUCKETS at most
+        seen = spark.read.parquet(keys).where(F.col("_bucket").isin(met) & (F.col("batch") != batch_id))
+        new = corpus.pending(new, seen, key)
+    stage(new.drop("_bucket")).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    new.select(key, "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{keys}/batch={batch_id}")
 
 
 def follow(stream: DataFrame, path: str, stage: Callable[[DataFrame], DataFrame], key: str = "doc_id", checkpoint: str | None = None, once: bool = True) -> StreamingQuery:
     """Run ``grow`` on every micro-batch of a streaming frame; ``once`` stops when all that is there has been read."""
     at = checkpoint or scratch_path(stream.sparkSession, "stream")
-    writer = stream.writeStream.foreachBatch(lambda batch, _: grow(batch, path, stage, key)).option("checkpointLocation", at)
+    writer = stream.writeStream.foreachBatch(lambda batch, n: grow(batch, path, stage, key, n)).option("checkpointLocation", at)
     return (writer.trigger(availableNow=True) if once else writer).start()

@@ -79,3 +79,65 @@ def test_documents_over_time(spark, tmp_path):
         stream = spark.readStream.schema("doc_id int, text string").parquet(source)
         ingest.follow(stream, out, stage).awaitTermination()
     assert sorted(r["doc_id"] for r in spark.read.parquet(out).collect()) == [1, 2]
+
+
+def _corpus(spark, path, **more):
+    docs = spark.createDataFrame([(i, f"<year>{1990 + i}</year>\n<title>Glass house {i}</title>\n<abstract>The red stones fall slowly</abstract>") for i in range(6)], "line_no long, content string")
+    manifest = docs.selectExpr("line_no", "'1999' AS year", "concat('/f/', line_no) AS source", "cast(line_no AS string) AS target")
+    files = docs.where("line_no <> 5").selectExpr("concat('/f/', line_no) AS path", "content")
+    return corpus.Corpus(spark, path, manifest, files, source="signal-processing", **more)
+
+
+def test_a_killed_run_is_continued(spark, tmp_path):
+    whole = _corpus(spark, f"{tmp_path}/a")
+    want = sorted((r["uid"], r["year"], r["term"]) for r in whole.run().collect())
+    assert {u.split("_")[0] for u, _, _ in want} == set("01234") and ("2_0", "1992", "glass house") in want
+    cut = _corpus(spark, f"{tmp_path}/b")
+    cut.run(limit=2)
+    cut.run_stage("populate")
+    cut.run_stage("xml2txt", 1)
+
+    def dies():
+        raise RuntimeError("killed")
+
+    again = _corpus(spark, f"{tmp_path}/b", tagger=dies)
+    with pytest.raises(Exception, match="killed"):
+        again.run_stage("txt2tag")
+    assert cut.table("txt2tag").count() == 2  # the stage that died left nothing
+    assert sorted((r["uid"], r["year"], r["term"]) for r in _corpus(spark, f"{tmp_path}/b").run().collect()) == want
+    assert cut.run_stage("tag2chk") == 0  # nothing is done twice
+    runs = {(r["stage"], r["limit"]) for r in cut.runs().collect()}
+    assert {("populate", 2), ("populate", 4), ("xml2txt", 1), ("txt2tag", 4), ("tag2chk", 0)} <= runs
+    assert all(r["engine"] and r["seconds"] >= 0 for r in cut.runs().collect())
+    with pytest.raises(ValueError):
+        cut.run_stage("xml2txt", 1)  # no more input
+
+
+def test_options_make_versions(spark, tmp_path):
+    steps = corpus.parse_pipeline(["populate", "xml2txt", "txt2tag", "tag2chk --candidate-filter=on --chunker-rules=en_w_of"])
+    kept = _corpus(spark, f"{tmp_path}/a", pipeline=steps)
+    plain = _corpus(spark, f"{tmp_path}/a")
+    assert kept.version("txt2tag") == plain.version("txt2tag") and kept.version("tag2chk") != plain.version("tag2chk")
+    assert {r["term"] for r in kept.run(limit=1).collect()} == {"glass house", "red stones fall"}
+    assert plain.table("tag2chk") is None and plain.run_stage("tag2chk", 1) == 1
+
+
+def test_chinese_run(spark, tmp_path):
+    from termloom.functions import tagging
+    from termloom.operators import segmenting
+
+    docs = spark.createDataFrame([(0, "/f", "<year>1999</year>\n<title>玻璃(文)</title>\n<abstract>系统。房子</abstract>")], "line_no long, source string, content string")
+    manifest = docs.selectExpr("line_no", "'1999' AS year", "source", "'a' AS target")
+    made = corpus.Corpus(spark, f"{tmp_path}/cn", manifest, docs.selectExpr("source AS path", "content"), source="signal-processing", language="cn", segmenter=segmenting.by_character, tagger=tagging.number_tagger)
+    assert {r["term"] for r in made.run().collect()} >= {"玻 璃", "系 统", "房 子"}
+    assert [r["stage"] for r in made.runs().orderBy("at").collect()] == list(corpus.STAGES["cn"])
+
+
+def test_new_repository(spark, tmp_path):
+    corpus.create_repository(spark, f"{tmp_path}/r", "patents")
+    tables = corpus.open_repository(spark, f"{tmp_path}/r", "patents")
+    assert set(tables) == {"ids", "files", "dates"} and all(t.count() == 0 for t in tables.values())
+    with pytest.raises(Exception, match="exists"):
+        corpus.create_repository(spark, f"{tmp_path}/r", "patents")
+    with pytest.raises(ValueError):
+        corpus.create_repository(spark, f"{tmp_path}/s", "maps")
