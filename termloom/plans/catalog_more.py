@@ -527,3 +527,16 @@ def stage_runner(spark, d):
     rows = made.run()
     tags = F.regexp_extract(F.array_join("features", "\t"), r"tag_sig=(\S+)", 1)
     return rows.select("line_no", "uid", "year", "term", tags.alias("tag_sig"))
+
+
+@query(r"""SELECT doc_id, '<div class="doc">a &amp; <div class="n"><div class="s">' || source || '</div>!</div></div><div class="t">&lt;' || lang || '</div>.' AS html FROM documents""")
+def html_view(spark, d):
+    """Texts with nested tags as nested divs."""
+    from termloom.operators.htmlview import html_view as view
+
+    n, m = F.length("source"), F.length("lang")
+    docs = _docs(spark, d, "source", "lang")
+    spans = [("doc", F.lit(0), n + 5), ("n", F.lit(4), n + 5), ("s", F.lit(4), n + 4), ("t", n + 5, n + m + 6), ("empty", F.lit(2), F.lit(2)), ("beyond", F.lit(0), n + 99)]
+    each = F.array(*(F.struct(F.lit(k).alias("tag_id"), F.lit(name).alias("name"), a.cast("int").alias("start"), b.cast("int").alias("end")) for k, (name, a, b) in enumerate(spans)))
+    tags = docs.select("doc_id", F.explode(each).alias("t")).select("doc_id", "t.*")
+    return view(docs.select("doc_id", _text("a & ", "$source", "!<", "$lang", ".").alias("text")), tags)
