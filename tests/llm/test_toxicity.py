@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import random
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -63,6 +65,53 @@ def test_training_reads_no_held_out_label(spark, docs):
     assert (a.index == b.index).all() and np.allclose(a.weight, b.weight) and np.isclose(a.bias, b.bias)
 
 
+def plain_hash(gram: str) -> int:
+    """An n-gram's place, one character at a time in whole numbers."""
+    h = len(gram) * 0x2545F491 & 0xFFFFFFFF
+    for c, m in zip(gram, toxicity._MULTIPLIERS, strict=False):
+        h = (h ^ ord(c)) * m & 0xFFFFFFFF
+        h ^= h >> 15
+    return h >> (32 - toxicity.BITS)
+
+
+def plain_features(text: str) -> set[int]:
+    line = "".join(" " if ord(c) <= 32 else c for c in f" {text.lower()} ")
+    return {plain_hash(line[i : i + n]) for n in toxicity.GRAMS for i in range(len(line) - n + 1)}
+
+
+def test_training_by_plain_counts(spark, docs):
+    """Features, their counts, evidence and ratios, and the minimum of the loss, against a plain version on few texts."""
+    r = random.Random(5)
+    words = "red green blue grey stone glass house river".split()
+    rows = [(i, " ".join(r.choices(words, k=12) + (["vile"] * r.randint(1, 2) if i % 3 == 0 else [])) + ("\tÉnd" if i % 2 else "")) for i in range(240)]
+    model = toxicity.train(docs(rows), spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int"))
+    train = [(int(i % 3 == 0), plain_features(t)) for i, t in rows if toxicity.crc32_of(i) % 4 != 2]
+    n, pos = len(train), sum(y for y, _ in train)
+    df, a = Counter(), Counter()
+    for y, f in train:
+        df.update(f)
+        a.update(f if y else ())
+
+    def g(k):
+        cells = [(a[k], df[k] * pos / n), (df[k] - a[k], df[k] * (n - pos) / n), (pos - a[k], (n - df[k]) * pos / n), (n - pos - df[k] + a[k], (n - df[k]) * (n - pos) / n)]
+        return sum(2 * o * math.log(o / e) for o, e in cells if o > 0)
+
+    told = sorted(k for k in df if df[k] >= toxicity.MIN_TEXTS and g(k) >= toxicity.MIN_EVIDENCE)
+    assert model.index.tolist() == told and told
+    ratio = np.array([math.log((a[k] + 0.5) / (pos + 1)) - math.log((df[k] - a[k] + 0.5) / (n - pos + 1)) for k in told])
+    x = np.array([[k in f for k in told] for _, f in train]) * ratio
+    y = np.array([t for t, _ in train])
+
+    def loss(u, b):  # rows are weighted to one in all; the sample is all there is, so its shares are the true ones
+        z = x @ u + b
+        return (np.logaddexp(0, z) - y * z).mean() + toxicity.DECAY / 2 * u @ u
+
+    u, best = model.weight / ratio, loss(model.weight / ratio, model.bias)
+    for _ in range(40):  # nothing near does noticeably better
+        assert loss(u + 0.02 * np.random.default_rng(1).normal(size=len(u)), model.bias) > best - 2e-3
+    assert best < 0.05 and (model.scores([t for i, t in rows if i % 3 == 0]) > 0.5).mean() > 0.95
+
+
 def test_all_telling_features_are_kept(spark, docs):
     """Toxic texts share a passage of more than 20,000 telling n-grams; none is left out for their number."""
     r = random.Random(11)
