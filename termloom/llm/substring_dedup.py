@@ -4,7 +4,7 @@ A text is cut into sentences after words with an end mark and at line ends. A lo
 without an end mark, is cut further after words whose hash is divisible by ``CUT``, but for the ``GAP`` words next to either end; so
 a passage is cut alike wherever it stands, save for a few words at its edges. Every run of ``SPAN`` consecutive sentences, or of
 as many more as make ``LEAST`` words, is hashed (lower-cased A-Z, white space made one space); a run's first place is the one in the
-row of least id, earliest in the text. Sentences covered by any other place of a run are removed. Each removed sentence has
+row of least id, earliest in the text. Runs are the same if 96 bits of hash are: of 10^12 runs some 10^-5 pairs agree by chance. Sentences covered by any other place of a run are removed. Each removed sentence has
 an equal one at an earlier place, so some copy always stays.
 
 Of each run a task hands on its first place among some thousand rows; its other places there are removed whatever comes from
@@ -39,7 +39,7 @@ BUCKETS = 1024
 REMEMBERED = 500_000
 _MARKS = (b".", b"!", b"?", "。".encode())
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+_MIX, _MIX_MORE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 class _Kinds(dict):
@@ -77,31 +77,35 @@ def sentences(text: bytes) -> tuple[list[bytes], np.ndarray]:
     return words, np.concatenate(([0], np.flatnonzero(cuts) + 1))
 
 
-def runs(words: list[bytes], starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, first sentence and number of sentences of each run."""
+def runs(words: list[bytes], starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, 32 more bits of hash, first sentence and number of sentences of each run."""
     m = len(starts) - 1
     empty = np.empty(0, dtype=np.int64)
     if m < SPAN:
-        return empty, empty, empty
+        return empty, empty.astype(np.uint32), empty, empty
     cuts = starts.tolist()
     digest = xxhash.xxh64_intdigest
     own = np.fromiter((digest(b" ".join(words[a:b])) for a, b in zip(cuts[:-1], cuts[1:], strict=True)), dtype=np.uint64, count=m)
     first = np.arange(m - SPAN + 1)
-    h = np.zeros(len(first), dtype=np.uint64)
+    h, more = np.zeros(len(first), dtype=np.uint64), np.zeros(len(first), dtype=np.uint64)
+
+    def add(at: np.ndarray | slice, sentence: np.ndarray) -> None:
+        for mixed, by in ((h, _MIX), (more, _MIX_MORE)):
+            x = (mixed[at] ^ own[sentence]) * by
+            mixed[at] = x ^ (x >> np.uint64(29))
+
     for k in range(SPAN):
-        h = (h ^ own[first + k]) * _MIX
-        h ^= h >> np.uint64(29)
+        add(slice(None), first + k)
     size = np.full(len(first), SPAN)
     while True:
         short = np.flatnonzero((starts[np.minimum(first + size, m)] - starts[first] < LEAST) & (first + size <= m))
         if not len(short):
             break
-        more = short[first[short] + size[short] < m]
-        h[more] = (h[more] ^ own[first[more] + size[more]]) * _MIX
-        h[more] ^= h[more] >> np.uint64(29)
+        longer = short[first[short] + size[short] < m]
+        add(longer, first[longer] + size[longer])
         size[short] += 1  # beyond the text's end: no run
     whole = first + size <= m
-    return h[whole].view(np.int64), first[whole], size[whole]
+    return h[whole].view(np.int64), (more[whole] >> np.uint64(32)).astype(np.uint32), first[whole], size[whole]
 
 
 _PLACES = pa.struct([("i", pa.int32()), ("n", pa.int32())])
@@ -113,15 +117,15 @@ _LATER = pa.schema([("rid", pa.int64()), ("i", pa.int32()), ("n", pa.int32())])
 
 
 def pack(h: np.ndarray, ids: np.ndarray, *rest: np.ndarray) -> bytes:
-    """Ascending hashes, another column of 64 bits and three of 32: differences, bytes of equal weight side by side, zstd."""
+    """Ascending hashes, another column of 64 bits and four of 32: differences, bytes of equal weight side by side, zstd."""
     columns = (np.diff(h, prepend=np.uint64(0)), ids.astype(np.int64), *(x.astype(np.uint32) for x in rest))
     return pa.compress(b"".join(x.view(np.uint8).reshape(len(x), -1).T.tobytes() for x in columns), codec="zstd", asbytes=True)
 
 
 def unpack(packed: bytes, size: int) -> list[np.ndarray]:
-    raw = np.frombuffer(pa.decompress(packed, decompressed_size=28 * size, codec="zstd", asbytes=True), dtype=np.uint8)
+    raw = np.frombuffer(pa.decompress(packed, decompressed_size=32 * size, codec="zstd", asbytes=True), dtype=np.uint8)
     h, ids = (np.ascontiguousarray(x.T).view(np.uint64).ravel() for x in raw[: 16 * size].reshape(2, 8, size))
-    rest = (np.ascontiguousarray(x.T).view(np.uint32).ravel() for x in raw[16 * size :].reshape(3, 4, size))
+    rest = (np.ascontiguousarray(x.T).view(np.uint32).ravel() for x in raw[16 * size :].reshape(4, 4, size))
     return [np.cumsum(h, dtype=np.uint64), ids.view(np.int64), *rest]
 
 
@@ -131,12 +135,12 @@ def _combined(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
     rid, doc_id = np.array(rid, dtype=np.int64), np.array([x or 0 for x in ids], dtype=np.int64)
     last = np.array([x is None for x in ids])
     order = np.lexsort((rid, doc_id, last))
-    h, i, n = (np.concatenate([found[k][c] for k in order]) for c in range(3))
+    h, more, i, n = (np.concatenate([found[k][c] for k in order]) for c in range(4))
     row = np.repeat(order, [len(found[k][0]) for k in order])
     by = np.argsort(h.view(np.uint64), kind="stable")
-    h, row, i, n = h.view(np.uint64)[by], row[by], i[by], n[by]
+    h, more, row, i, n = h.view(np.uint64)[by], more[by], row[by], i[by], n[by]
     new = np.ones(len(h), dtype=bool)
-    new[1:] = h[1:] != h[:-1]
+    new[1:] = (h[1:] != h[:-1]) | (more[1:] != more[:-1])  # equal runs that others part here meet in their bucket
     again = np.flatnonzero(~new)
     again = again[np.argsort(row[again], kind="stable")]
     offsets = np.concatenate(([0], np.cumsum(np.bincount(row[again], minlength=len(rid))))).astype(np.int32)
@@ -146,7 +150,7 @@ def _combined(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
     if not len(h):
         return
     base = int(rid.min())
-    h, row, i, n = h[new], row[new], i[new], n[new]
+    h, more, row, i, n = h[new], more[new], row[new], i[new], n[new]
     at = rid[row] - base
     ids, at = doc_id[row] - at, 2 * at + last[row]  # ids in the order of rows become one value; a row without id is odd
     bucket = (h // np.uint64((1 << 64) // BUCKETS)).astype(np.int32)
@@ -156,7 +160,7 @@ def _combined(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         pa.array(bucket[edges[:-1]]),
         pa.array([base] * len(spans), pa.int64()),
         pa.array([x.stop - x.start for x in spans], pa.int32()),
-        pa.array([pack(h[x], ids[x], at[x], i[x], n[x]) for x in spans], pa.binary()),
+        pa.array([pack(h[x], ids[x], at[x], i[x], n[x], more[x]) for x in spans], pa.binary()),
     ]
     yield pa.RecordBatch.from_arrays([*(pa.nulls(len(spans), f.type) for f in list(_MARKED)[:4]), *packed], schema=_MARKED)
 
@@ -180,15 +184,15 @@ def _meet(bucket: pa.Table) -> pa.Table:
     """The places of a bucket whose hash has an earlier one in it."""
     parts = []
     for base, size, packed in zip(*(bucket.column(c).to_pylist() for c in ("base", "size", "packed")), strict=True):
-        h, ids, at, i, n = unpack(packed, size)
+        h, ids, at, i, n, more = unpack(packed, size)
         row = (at >> 1).astype(np.int64)
-        parts.append((h, (at & 1).astype(bool), ids + row, row + base, i, n))
-    h, last, ids, rid, i, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        parts.append((h, (at & 1).astype(bool), ids + row, row + base, i, n, more))
+    h, last, ids, rid, i, n, more = (np.concatenate(x) for x in zip(*parts, strict=True))
     by = np.argsort(h, kind="stable")
     same = h[by][1:] == h[by][:-1]
     by = by[np.concatenate((same, [False])) | np.concatenate(([False], same))]
-    by = by[np.lexsort((rid[by], ids[by], last[by], h[by]))]
-    later = by[1:][h[by][1:] == h[by][:-1]]
+    by = by[np.lexsort((rid[by], ids[by], last[by], more[by], h[by]))]
+    later = by[1:][(h[by][1:] == h[by][:-1]) & (more[by][1:] == more[by][:-1])]
     return pa.table([rid[later], i[later].astype(np.int32), n[later].astype(np.int32)], schema=_LATER)
 
 
@@ -200,7 +204,7 @@ def cut(text: bytes, places: list[dict] | None) -> tuple[bytes, int, int, int, i
     words, starts = sentences(text)
     gone = np.zeros(len(starts) - 1, dtype=bool)
     if places is None:
-        _, first, size = runs(words, starts)
+        _, _, first, size = runs(words, starts)
         places = [{"i": i, "n": n} for i, n in zip(first.tolist(), size.tolist(), strict=True)]
     for p in places:
         gone[p["i"] : p["i"] + p["n"]] = True
@@ -229,8 +233,10 @@ MADE = ("text", "n_sentences", "n_removed", "n_words", "n_words_removed")
 
 def removals(docs: DataFrame) -> DataFrame:
     """(_k, _places): for each row key the places of its runs that have an earlier one."""
+    if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        raise TypeError(f"doc_id must be a whole number, not {docs.schema['doc_id'].dataType.simpleString()}")
     source = docs.select(
-        F.monotonically_increasing_id().alias("rid"), F.col("doc_id"), "_k", F.col("text").cast("binary").alias("_bytes")
+        F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "_k", F.col("text").cast("binary").alias("_bytes")
     )
     schema = "rid long, doc_id long, _k string, again array<struct<i: int, n: int>>, bucket int, base long, size int, packed binary"
     marked = settle(source.mapInArrow(_mark, schema), "runs")
@@ -248,7 +254,7 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     """Every row with ``text`` without its repeated sentences, and ``n_sentences``, ``n_removed``, ``n_words``,
     ``n_words_removed``.
 
-    Null text comes back empty, with no sentences; rows without ids come after all others in the order of first places. Of rows
+    ``doc_id`` is a whole number of any width; another type is refused. Null text comes back empty, with no sentences; rows without ids come after all others in the order of first places. Of rows
     equal in id and text one counts as first, the others lose every sentence of a run. Texts of fewer than ``SPAN``
     sentences have no runs and stay. Empty tables give empty tables; extra columns pass through, those with a result's name
     give way to it.

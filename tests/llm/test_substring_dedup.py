@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from termloom.llm import substring_dedup as S
 from termloom.runtime import table
@@ -139,6 +140,24 @@ def test_packed_places_come_back():
     """Packed places come back as they were."""
     g = np.random.default_rng(4)
     h = np.sort(g.integers(0, 1 << 63, 999, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
-    rest = [g.integers(-(1 << 63), 1 << 63, 999), *(g.integers(0, 1 << 32, 999, dtype=np.uint32) for _ in range(3))]
+    rest = [g.integers(-(1 << 63), 1 << 63, 999), *(g.integers(0, 1 << 32, 999, dtype=np.uint32) for _ in range(4))]
     for want, got in zip((h, *rest), S.unpack(S.pack(h, *rest), 999), strict=True):
         assert (want == got).all()
+
+
+def test_runs_of_one_hash_and_unlike_bits_are_unlike():
+    """Two runs agree in 64 bits and differ in the other 32; the third is the first's copy."""
+    h = np.array([7, 7, 7, 9], dtype=np.uint64)
+    n, at = np.full(4, 4), np.arange(4) * 2
+    packed = S.pack(h, np.array([10, 20, 30, 40]) - np.arange(4), at, np.zeros(4), n, np.array([1, 2, 1, 1]))
+    bucket = S.pa.table({"bucket": [0], "base": [100], "size": [4], "packed": [packed]})
+    assert S._meet(bucket).to_pylist() == [{"rid": 102, "i": 0, "n": 4}]
+
+
+def test_other_ids(spark, docs):
+    text = "one two three four five. six seven eight nine ten. eleven twelve thirteen. fourteen fifteen sixteen."
+    short = docs([(1, text), (2, text)], "doc_id int, text string")
+    first, second = sorted(S.dedup_substrings(short).collect(), key=lambda r: r["doc_id"])
+    assert first["n_removed"] == 0 and second["n_removed"] == second["n_sentences"] > 3 and second["text"] == ""
+    with pytest.raises(TypeError):
+        S.dedup_substrings(docs([("a", text)], "doc_id string, text string"))
