@@ -32,7 +32,8 @@ def _text(*parts):
     return F.concat(*(F.col(p[1:]).cast("string") if p.startswith("$") else F.lit(p) for p in parts))
 
 
-_ID = F.col("doc_id")
+def _id():
+    return F.col("doc_id")
 
 
 def _if(test: str, *parts):
@@ -50,7 +51,7 @@ SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(k AS INT) AS field_ord, field, li
 def cnki_reader(spark, d):
     title = F.concat(_if("doc_id % 3 <> 0", '<fs:ArticleTitle lang="zh">a<b>', "$source", "</b></fs:ArticleTitle>"), F.lit('<fs:ArticleTitle lang="en">E</fs:ArticleTitle>'))
     rest = _text('<fs:AbstractBlock lang="zh">', "$lang", "</fs:AbstractBlock>", "<fs:Body>x", "$doc_id", "\ny</fs:Body><fs:Stuff></fs:Stuff>")
-    path = F.concat(F.lit("/c/GLDZ"), (_ID + 20110).cast("string"), F.lit(".xml"))
+    path = F.concat(F.lit("/c/GLDZ"), (_id() + 20110).cast("string"), F.lit(".xml"))
     return readers.read("cnki", _source(spark, d, F.concat(title, rest), path)).select("doc_id", "field_ord", "field", "line")
 
 
@@ -64,11 +65,11 @@ def pubmed_reader(spark, d):
         F.lit("<article><front>"),
         _if("doc_id % 2 = 0", "<title-group><article-title>old</article-title><article-title>new <i>", "$source", "</i></article-title></title-group><x><article-title>no</article-title></x>"),
         _text("<subj-group><subject>early</subject><subject>late</subject></subj-group><pub-date><year>2000</year></pub-date><pub-date><year>"),
-        (F.lit(1990) + _ID % 20).cast("string"),
+        (F.lit(1990) + _id() % 20).cast("string"),
         _text("</year></pub-date><abstract><sec><p>in <b>", "$doc_id", "</b>!</p></sec><p>loose</p></abstract></front><body>"),
         _if("doc_id % 5 <> 0", "<sec><p>one</p><p>two ", "$source", "</p><sec><p>deep</p></sec></sec>"),
         F.lit("</body>"),
-        F.when(_ID % 7 == 0, "<open>").otherwise(""),
+        F.when(_id() % 7 == 0, "<open>").otherwise(""),
         F.lit("</article>"),
     )
     rows = readers.read("pm", _source(spark, d, xml, F.concat(F.lit("/j/"), F.col("lang"), F.lit("/a.nxml"))))
@@ -84,7 +85,7 @@ def application_reader(spark, d):
         "<invention-title>T", "$doc_id", "</invention-title><publication-reference><doc><date>20070102</date></doc></publication-reference><date>1999</date><abstract><p>", "$lang", "</p><p>", "$source",
         "</p></abstract><description><heading level='2'>H</heading><p>x <i>", "$source", "</i></p><description-of-drawings><p>drawn</p></description-of-drawings></description><claims><claim>c1</claim><claim>c2 of <b>", "$lang", "</b></claim></claims>",
     )
-    root = F.when(_ID % 4 == 0, "us-patent-grant").otherwise("us-patent-application")
+    root = F.when(_id() % 4 == 0, "us-patent-grant").otherwise("us-patent-application")
     return readers.read("uspto", _source(spark, d, F.concat(F.lit("<"), root, F.lit(">"), body, F.lit("</"), root, F.lit(">")))).select("doc_id", "field_ord", "field", "line")
 
 
@@ -98,7 +99,7 @@ def _patents(spark, d):
     lead = F.concat(
         _if("doc_id % 2 = 0", "<background-art>B ", "$source", "</background-art>"), _if("doc_id % 3 = 0", "<technical-field>F</technical-field>"), _if("doc_id % 5 = 0", "<summary>S</summary>")
     )
-    docs = _docs(spark, d, "source").withColumn("lang3", F.when(_ID % 4 == 0, "eng").otherwise("chi")).withColumn("lead", lead).withColumn("more", F.when(_ID % 3 != 1, "<claim>c2</claim><claim>c3</claim>").otherwise(""))
+    docs = _docs(spark, d, "source").withColumn("lang3", F.when(_id() % 4 == 0, "eng").otherwise("chi")).withColumn("lead", lead).withColumn("more", F.when(_id() % 3 != 1, "<claim>c2</claim><claim>c3</claim>").otherwise(""))
     return docs.select("doc_id", F.lit("").alias("path"), _text(*_PATENT).alias("content"))
 
 
@@ -123,8 +124,8 @@ def patent_reader_innermost(spark, d):
 SELECT CAST(doc_id AS VARCHAR) AS doc_id, 'FH_' || split_part(x, '|', 1) AS field, split_part(x, '|', 2) AS line FROM f""")
 def science_reader(spark, d):
     parts = F.struct(
-        F.col("source").alias("title"), F.when(_ID % 2 == 0, 1999).alias("year"), F.col("lang").alias("abstractText"),
-        F.when(_ID % 3 != 0, F.array(F.struct(F.lit("a").alias("text")), F.struct(F.col("lang").alias("text")))).alias("sections"),
+        F.col("source").alias("title"), F.when(_id() % 2 == 0, 1999).alias("year"), F.col("lang").alias("abstractText"),
+        F.when(_id() % 3 != 0, F.array(F.struct(F.lit("a").alias("text")), F.struct(F.col("lang").alias("text")))).alias("sections"),
     )
     return readers.read("spv1", _source(spark, d, F.to_json(parts))).select("doc_id", "field", "line")
 
@@ -165,7 +166,7 @@ def _tags(spark, d, rows):
     """Tags (tag_id, name, TYPE, start, end) for every document, shifted by its id."""
     each = F.array(*(F.struct(F.lit(i).alias("tag_id"), F.lit(n).alias("name"), F.create_map(F.lit("TYPE"), F.lit(t)).alias("attrs"), F.lit(s).alias("s"), F.lit(e).alias("e")) for i, (n, t, s, e) in enumerate(rows)))
     made = _docs(spark, d).select("doc_id", F.explode(each).alias("t"))
-    at = (_ID % 5).cast("int")
+    at = (_id() % 5).cast("int")
     return made.select("doc_id", "t.tag_id", "t.name", "t.attrs", (F.col("t.s") + at).alias("start"), (F.col("t.e") + at).alias("end"))
 
 
@@ -238,11 +239,11 @@ def spaced_tags(spark, d):
 @query("""SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'Glass Of ' || upper(source[1]) || lower(source[2:]) ELSE 'Glass OF ' || source END AS title, doc_id % 3 = 0 AS han, '一(_PU x_NN )_PU' AS paren, 'a' || lang || 'b|c。|d' AS sentences FROM documents""")
 def chinese_and_german_text(spark, d):
     """Proper capitals, Han characters, parenthesis tags, glued sentences."""
-    title = F.when(_ID % 2 == 0, F.upper(_text("GLASS OF ", "$source"))).otherwise(_text("Glass OF ", "$source"))
+    title = F.when(_id() % 2 == 0, F.upper(_text("GLASS OF ", "$source"))).otherwise(_text("Glass OF ", "$source"))
     return table(spark, d, "documents").select(
         "doc_id",
         text.proper_case(title).alias("title"),
-        text.has_han(F.when(_ID % 3 == 0, "a文b").otherwise("é")).alias("han"),
+        text.has_han(F.when(_id() % 3 == 0, "a文b").otherwise("é")).alias("han"),
         text.fix_paren_tag(F.lit("一(_NN x_NN )_JJ")).alias("paren"),
         F.array_join(text.restore_sentences(_text("a\n", "$lang", "\nb\n\n\nc。d")), "|").alias("sentences"),
     )
@@ -254,7 +255,7 @@ def chinese_and_german_text(spark, d):
 SELECT doc_id, CAST(n AS INT) AS line_no, CASE WHEN n = 0 THEN line WHEN n = 1 THEN 'x_NN ' || doc_id || '_CD' WHEN doc_id % 9 <> 0 THEN '(_PU 7_CD )_PU' END AS tagged, n = 2 AND doc_id % 9 = 0 AS failed FROM l""")
 def tagged_lines(spark, d):
     """A user's tagger over Chinese text: headers pass, parentheses are punctuation, a line that fails has an error."""
-    third = F.when(_ID % 9 == 0, "boom").otherwise("( 7 )")
+    third = F.when(_id() % 9 == 0, "boom").otherwise("( 7 )")
     lines = _docs(spark, d).select("doc_id", F.posexplode(F.array(F.lit("FH_TITLE:"), _text("x ", "$doc_id"), third)).alias("line_no", "line"))
     return tagging.tag_lines(lines, "cn", tagging.number_tagger).select("doc_id", "line_no", "tagged", F.col("error").isNotNull().alias("failed"))
 
@@ -276,7 +277,7 @@ def pretagged_tokens(spark, d):
 
 def _fielded(spark, d):
     """Fields as lines: title, date (missing in every third document), summary, claim."""
-    date = F.when(_ID % 3 == 0, F.array(F.lit("FH_JOURNAL:"), F.lit("J"))).otherwise(F.array(F.lit("FH_DATE:"), F.lit(" "), F.concat(F.lit("1998"), _ID.cast("string"))))
+    date = F.when(_id() % 3 == 0, F.array(F.lit("FH_JOURNAL:"), F.lit("J"))).otherwise(F.array(F.lit("FH_DATE:"), F.lit(" "), F.concat(F.lit("1998"), _id().cast("string"))))
     rest = F.array(F.lit("FH_DESC_REST:"), F.lit("red glass ."), F.lit("more"), F.lit("FH_FIRST_CLAIM:"), F.lit("END"), F.lit("claim"), F.lit("FH_DESC_REST:"), F.lit("late"), F.lit("END"))
     lines = F.concat(F.array(F.lit("before"), F.lit("FH_TITLE:"), F.col("source")), date, rest)
     return _docs(spark, d, "source").select("doc_id", F.posexplode(lines).alias("line_no", "line"))
@@ -300,7 +301,7 @@ def document_years(spark, d):
 def document_subjects(spark, d):
     """Histogram of the first line of the subject field."""
     has = F.array(F.lit("FH_TITLE:"), F.lit("t"), F.lit("FH_SUBJECT:"), F.col("lang"), F.lit("other"))
-    lines = _docs(spark, d, "lang").select("doc_id", F.posexplode(F.when(_ID % 4 == 0, F.slice(has, 1, 2)).otherwise(has)).alias("line_no", "line"))
+    lines = _docs(spark, d, "lang").select("doc_id", F.posexplode(F.when(_id() % 4 == 0, F.slice(has, 1, 2)).otherwise(has)).alias("line_no", "line"))
     return stats.subject_histogram(S.sections_of(lines))
 
 
@@ -427,8 +428,8 @@ def list_analysis(spark, d):
 @query("SELECT doc_id, '/a/' || doc_id || CASE WHEN doc_id % 2 = 0 THEN '.xml.gz' ELSE '.xml' END AS path FROM documents")
 def compressed_first(spark, d):
     """Of a file and its .gz the latter."""
-    bare = F.concat(F.lit("/a/"), _ID.cast("string"), F.lit(".xml"))
-    both = F.when(_ID % 2 == 0, F.array(bare, F.concat(bare, F.lit(".gz")))).otherwise(F.array(bare))
+    bare = F.concat(F.lit("/a/"), _id().cast("string"), F.lit(".xml"))
+    both = F.when(_id() % 2 == 0, F.array(bare, F.concat(bare, F.lit(".gz")))).otherwise(F.array(bare))
     got = manifests.prefer_gz(_docs(spark, d).select(F.explode(both).alias("path")))
     return got.select(F.regexp_extract("path", r"(\d+)", 1).cast("long").alias("doc_id"), "path")
 
@@ -436,9 +437,9 @@ def compressed_first(spark, d):
 @query("SELECT d.doc_id AS line_no, '1999' AS year, l.quality AS content, l.doc_id IS NULL AS missing FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
 def populated(spark, d):
     """Manifest lines with their files' content, those without a file marked."""
-    line = F.concat_ws("\t", F.lit("1999"), F.concat(F.lit("/f/"), _ID.cast("string")))
-    listed = manifests.parse(_docs(spark, d).select(_ID.alias("line_no"), line.alias("value")))
-    files = table(spark, d, "labels").select(F.concat(F.lit("/f/"), _ID.cast("string")).alias("path"), F.col("quality").alias("content"))
+    line = F.concat_ws("\t", F.lit("1999"), F.concat(F.lit("/f/"), _id().cast("string")))
+    listed = manifests.parse(_docs(spark, d).select(_id().alias("line_no"), line.alias("value")))
+    files = table(spark, d, "labels").select(F.concat(F.lit("/f/"), _id().cast("string")).alias("path"), F.col("quality").alias("content"))
     return manifests.populate(listed, files).select("line_no", "year", "content", "missing")
 
 
@@ -455,8 +456,8 @@ def manifest_additions(spark, d):
 def domain_table(spark, d):
     """Codes below their domains' lines."""
     domain = F.concat(F.expr("char(65 + doc_id div 10 % 26)"), F.lit("4"), F.expr("doc_id div 10").cast("string"))
-    line = F.when(_ID % 10 == 0, F.concat(domain, F.lit(" - things"))).otherwise(F.concat(F.lit("   C"), _ID.cast("string"), F.lit(" words")))
-    return stats.domain_table(_docs(spark, d).select(_ID.alias("line_no"), line.alias("line")))
+    line = F.when(_id() % 10 == 0, F.concat(domain, F.lit(" - things"))).otherwise(F.concat(F.lit("   C"), _id().cast("string"), F.lit(" words")))
+    return stats.domain_table(_docs(spark, d).select(_id().alias("line_no"), line.alias("line")))
 
 
 @query("SELECT doc_id, quality FROM labels UNION ALL SELECT doc_id, -1 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -470,8 +471,8 @@ def repository_grown(spark, d):
 @query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 3 = 1 THEN '/p/' || doc_id END AS path FROM documents")
 def unique_paths(spark, d):
     """Ids with one path in the index; none or two give null."""
-    index = _docs(spark, d).where("doc_id % 3 <> 0").select(_ID.alias("short_id"), F.explode(F.when(_ID % 3 == 1, F.array(_text("/p/", "$doc_id"))).otherwise(F.array(F.lit("/a"), F.lit("/b")))).alias("path"))
-    return stats.unique_path(_docs(spark, d).select(_ID.alias("short_id")), index).select(F.col("short_id").alias("doc_id"), "path")
+    index = _docs(spark, d).where("doc_id % 3 <> 0").select(_id().alias("short_id"), F.explode(F.when(_id() % 3 == 1, F.array(_text("/p/", "$doc_id"))).otherwise(F.array(F.lit("/a"), F.lit("/b")))).alias("path"))
+    return stats.unique_path(_docs(spark, d).select(_id().alias("short_id")), index).select(F.col("short_id").alias("doc_id"), "path")
 
 
 @query("SELECT d.doc_id, l.quality AS path FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
@@ -491,7 +492,7 @@ def first_options(spark, d):
 def feature_files(spark, d):
     """Feature rows as compressed text files, read back."""
     path = scratch_path(spark, "feature-files")
-    rows = _docs(spark, d, "source", "lang").select(_ID.cast("string").alias("uid"), F.lit("1999").alias("year"), F.col("source").alias("term"), F.array(F.lit("a=1"), F.concat(F.lit("b="), "lang")).alias("features"))
+    rows = _docs(spark, d, "source", "lang").select(_id().cast("string").alias("uid"), F.lit("1999").alias("year"), F.col("source").alias("term"), F.array(F.lit("a=1"), F.concat(F.lit("b="), "lang")).alias("features"))
     sinks.feature_files(rows, path)
     return spark.read.text(path).select(F.split("value", "\t")[0].cast("long").alias("doc_id"), F.col("value").alias("line"))
 
@@ -500,7 +501,7 @@ def feature_files(spark, d):
 def files_by_domain(spark, d):
     """Ids in a folder for each wanted domain and year, read back."""
     path = scratch_path(spark, "by-domain")
-    index = _docs(spark, d).select(_ID.cast("string").alias("value"), F.concat(F.lit("A"), (F.lit(40) + _ID % 12).cast("string")).alias("domain"), (F.lit(1990) + _ID % 30).cast("string").alias("year"))
+    index = _docs(spark, d).select(_id().cast("string").alias("value"), F.concat(F.lit("A"), (F.lit(40) + _id() % 12).cast("string")).alias("domain"), (F.lit(1990) + _id() % 30).cast("string").alias("year"))
     sinks.by_domain_and_year(index, path, [f"A{k}" for k in range(41, 51)])
     return spark.read.text(path).select(F.col("value").cast("long").alias("doc_id"), "domain", "year")
 
@@ -519,8 +520,8 @@ _RUN_BASE = f"""WITH l0 AS (SELECT doc_id, ['1999', 'Red glass of ' || source ||
 def stage_runner(spark, d):
     """A corpus through populate, text, tags and features, a third of it first and then the rest."""
     docs = _docs(spark, d, "source", "lang")
-    path = F.concat(F.lit("/in/"), _ID.cast("string"))
-    manifest = docs.select(_ID.alias("line_no"), F.lit("1999").alias("year"), path.alias("source"), _ID.cast("string").alias("target"))
+    path = F.concat(F.lit("/in/"), _id().cast("string"))
+    manifest = docs.select(_id().alias("line_no"), F.lit("1999").alias("year"), path.alias("source"), _id().cast("string").alias("target"))
     content = _text("<year>1999</year>\n<title>Red glass of ", "$source", ", a new method</title>\n<abstract>", "$lang", " houses are built in ", "$source", ". Old stones fall</abstract>")
     made = corpus.Corpus(spark, scratch_path(spark, "corpus"), manifest, docs.select(path.alias("path"), content.alias("content")), source="signal-processing")
     made.run(limit=50)

@@ -30,6 +30,20 @@ def test_contract(spark):
     assert set(catalog.QUERIES) <= set(e.queries())
 
 
+def test_entry_is_imported_without_a_session():
+    """The driver, and Python workers, import modules before there is a session, or where there never is one."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(catalog.__file__).parents[2]
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    said = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert said.returncode == 0, said.stderr
+    queries, oracles = map(int, said.stdout.split()[-2:])
+    assert queries > 100 and oracles > 90
+
+
 def test_nothing_outside_the_subpackage_imports_it():
     from pathlib import Path
 
