@@ -142,7 +142,7 @@ def segmenter_guards(spark, d):
 @query(f"{_BASE} SELECT tag, count(*) AS n FROM t GROUP BY tag")
 def pos_tags(spark, d):
     words = S.document_tokens(table(spark, d, "documents").select("doc_id", "text")).select(F.explode("tokens").alias("tok"))
-    return words.select(tagging.tag_of(F.col("tok"), F.lower("tok")).alias("tag")).groupBy("tag").agg(F.count("*").alias("n"))
+    return words.withColumn("lc", F.lower("tok")).select(tagging.tag_of(F.col("tok"), F.col("lc")).alias("tag")).groupBy("tag").agg(F.count("*").alias("n"))
 
 
 @query(f"{_BASE} SELECT doc_id, sent_id, section, sent_in_section, CAST(len(toks) AS INT) AS n_tokens FROM s")

@@ -143,3 +143,14 @@ def test_manifests(spark):
     rows = [tuple(r) for r in manifests.parse(manifests.until_blank(lines)).orderBy("line_no").collect()]
     assert rows == [(0, "1999", "/a/b.xml", "a/b.xml"), (1, "2000", "/c.xml", "d.xml"), (2, None, None, "e.xml")]
     assert manifests.until_blank(lines.where("line_no < 3")).count() == 3
+
+
+def test_directories(spark, tmp_path):
+    """All files below a folder, in path order or shuffled by a seed, the same for the same seed."""
+    for k in range(30):
+        (tmp_path / f"d{k % 3}").mkdir(exist_ok=True)
+        (tmp_path / f"d{k % 3}" / f"{k:02d}.xml").write_text("x")
+    listed = [(r["year"], r["source"].rsplit("/", 1)[1]) for r in manifests.from_directory(spark, str(tmp_path)).collect()]
+    assert [n for _, n in listed] == [f"{k:02d}.xml" for d in range(3) for k in range(d, 30, 3)] and {y for y, _ in listed} == {"0000"}
+    one, again, other = ([r["source"] for r in manifests.from_directory(spark, str(tmp_path), seed).collect()] for seed in (1, 1, 2))
+    assert one == again != other and sorted(one) == sorted(other) and sorted(one) != one
