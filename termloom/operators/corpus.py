@@ -193,7 +193,7 @@ class Corpus:
     def _tag(self, todo: DataFrame, options: dict) -> DataFrame:
         lines = S.lines_of(todo.withColumnRenamed("line_no", "doc_id")) if self.language != "cn" else self._lines(todo)
         if self.tagger is not None:
-            tagged = tagging.tag_lines(lines, self.language, self.tagger).where("tagged IS NOT NULL")
+            tagged = tagging.tag_lines(lines.where("line <> 'END'"), self.language, self.tagger).where("tagged IS NOT NULL")
             return self._joined(todo, tagged, F.struct("line_no", F.lit(0)), "tagged")
         if self.language == "cn":
             raise ValueError("Chinese text needs a tagger")
