@@ -6,6 +6,8 @@ through ``catalog``'s chunks.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from termloom.functions import features, tagging, text
@@ -13,7 +15,7 @@ from termloom.operators import corpus, sections, segmenting, stats
 from termloom.operators import sentences as S
 from termloom.operators import structure as D
 from termloom.plans import chunking
-from termloom.plans.catalog import _BASE, _SPANS, _TITLE_SQL, _VERB_SQL, _chunks, _islands_sql, _scan_sql, _spans, query
+from termloom.plans.catalog import _BASE, _BASIC_SQL, _SPANS, _TITLE_SQL, _VERB_SQL, _chunks, _islands_sql, _scan_sql, _spans, query, ORACLES
 from termloom.runtime import scratch_path, table
 from termloom.sources import manifests, readers, sinks
 
@@ -541,3 +543,26 @@ def html_view(spark, d):
     each = F.array(*(F.struct(F.lit(k).alias("tag_id"), F.lit(name).alias("name"), a.cast("int").alias("start"), b.cast("int").alias("end")) for k, (name, a, b) in enumerate(spans)))
     tags = docs.select("doc_id", F.explode(each).alias("t")).select("doc_id", "t.*")
     return view(docs.select("doc_id", _text("a & ", "$source", "!<", "$lang", ".").alias("text")), tags)
+
+
+def _english_sql() -> str:
+    """All English features of a chunk: the basic ones, and each scan's SQL joined to it."""
+    adjective = re.sub(r"\b([ef])(\d)\b", r"\1j\2", _scan_sql("J", "regexp_matches({tag}, '^[JD]')"))
+    from_noun = re.sub(r"\bk(\d?)\b", r"kn\1", _VERB_SQL).replace("FROM c JOIN", "FROM c2 c JOIN")
+    verb = "array_to_string(list_concat([v], coalesce(preps, [])[1:2]), '_')"
+    scans = f"""{_VERB_SQL}, {_NOUN_SQL}, {adjective}, vn AS (
+  SELECT doc_id, sent_id, cs AS chunk, word, prep, list_filter(range(cs - 1, greatest(cs - 5, 0), -1), lambda j: tags[j + 1] LIKE 'N%')[1] AS noun FROM f4 WHERE word <> ''
+), c2 AS (SELECT DISTINCT doc_id, sent_id, CAST(noun AS INT) AS cs FROM vn), {from_noun}, s1 AS (
+  SELECT doc_id, sent_id, cs, {verb} AS prev_v FROM k3 WHERE v IS NOT NULL
+), s2_ AS (SELECT doc_id, sent_id, cs, word || '_' || prep AS prev_npr FROM f4 WHERE word <> ''
+), s3 AS (SELECT doc_id, sent_id, cs, word || '_' || prep AS prev_jpr FROM fj4 WHERE word <> ''
+), s4 AS (SELECT vn.doc_id, vn.sent_id, vn.chunk AS cs, {verb} || '|' || word || '|' || prep AS prev_vnp
+  FROM vn JOIN kn3 ON vn.doc_id = kn3.doc_id AND vn.sent_id = kn3.sent_id AND vn.noun = kn3.cs WHERE v IS NOT NULL)"""
+    values = {**_BASIC_SQL, "prev_V": "prev_v", "prev_Npr": "prev_npr", "prev_Jpr": "prev_jpr", "prev_VNP": "prev_vnp", "prev_J": "CASE WHEN cs > 0 AND tags[cs] LIKE 'J%' THEN lcs[cs] END"}
+    listed = ", ".join(f"'{k}=' || replace({v}, ' ', '_')" for k, v in values.items())
+    joined = " ".join(f"LEFT JOIN {s} USING (doc_id, sent_id, cs)" for s in ("s1_", "s2_", "s3", "s4"))
+    return f"""{_BASE}, {_islands_sql('en')}, {scans.replace('s1 AS (', 's1_ AS (')}
+SELECT doc_id, sent_id, cs, term, array_to_string(list_sort(list_filter([{listed}], lambda x: x IS NOT NULL)), chr(9)) AS features FROM p {joined}"""
+
+
+ORACLES["features_english"] = _english_sql()

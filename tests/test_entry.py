@@ -15,11 +15,8 @@ def test_query_equals_sql(spark, name):
     assert oracle.compare(spark, catalog.QUERIES[name], catalog.ORACLES[name], SMALL) > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLES)))
-def test_query_without_sql_runs(spark, name):
-    a, b = (catalog.QUERIES[name](spark, SMALL) for _ in range(2))
-    assert a.schema == b.schema
-    assert a.count() == b.count() > 0
+def test_every_query_has_sql():
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
 
 
 def test_contract(spark):
