@@ -57,10 +57,12 @@ def _body(start: Column, end: Column) -> Column:
 
 def _linked(sections: DataFrame, key: str) -> DataFrame:
     """Add ``parent_id``: of the longer sections around each the one that begins last, ties by id."""
-    outer = sections.select(F.col(key).alias("_k"), F.col("section_id").alias("_id"), F.col("start").alias("_s"))
-    pairs = S.links(sections, key).join(outer, (F.col(key) == F.col("_k")) & (F.col("subsumer_id") == F.col("_id")))
-    parent = pairs.groupBy(key, "section_id").agg(F.max(F.struct("_s", "_id")).alias("_p")).select(key, "section_id", F.col("_p._id").alias("parent_id"))
-    return sections.join(parent, [key, "section_id"], "left")
+    order = Window.partitionBy(key).orderBy("start", F.desc("end"), "section_id")
+    ordered = sections.withColumn("ord", F.row_number().over(order).cast("int"))
+    met = ordered.join(S.enclosing(ordered, F.col("section_id").cast("string"), key), [key, "ord"], "left")
+    longer = F.filter("around", lambda o: o["e"] - o["s"] > F.col("end") - F.col("start"))
+    nearest = F.array_max(F.transform(longer, lambda o: F.struct(o["s"].alias("s"), o["label"].cast("int").alias("id"))))
+    return met.withColumn("parent_id", nearest["id"]).drop("ord", "around")
 
 
 SECTION = ("section_id", "parent_id", "struct", "types", "language", "title", "start", "end", "claim_number", "parent_claims", "body")
@@ -81,7 +83,7 @@ def patent_sections(texts: DataFrame, tags: DataFrame, key: str = "doc_id") -> D
         .withColumn("_base", F.concat(inherited, own))
         .withColumn("is_header", F.col("name") == "heading")
         .withColumn("is_stop", F.col("name") == "claims")
-        .withColumn("types", S.header_types(F.col("body")))
+        .withColumn("types", F.when(F.col("name") == "heading", S.header_types(F.col("body"))))
     )
     spread = S.spread_headers(nodes, key).withColumn("types", F.when(F.col("header_types").isNull(), F.col("_base")).otherwise(S.with_header_types(F.col("_base"), F.col("header_types"))))
     claim = F.col("name") == "claim"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,7 +56,8 @@ def in_order(tags: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def enclosing(ordered: DataFrame, label: Column, key: str = "doc_id") -> DataFrame:
-    """(key, ord, around): of each tag the earlier ones that enclose it, outermost first, as structs of ``ord`` and the string ``label``.
+    """(key, ord, around): of each tag the earlier ones that enclose it, outermost first, as structs of ``ord``, the string ``label``, and
+    their span ``s`` to ``e``.
 
     One fold over a document's tags in order keeps those on a stack that may still enclose a later one, so n tags that nest take n
     steps of their depth; tags that cross stay on it too, which makes it right for any.
@@ -65,9 +68,9 @@ def enclosing(ordered: DataFrame, label: Column, key: str = "doc_id") -> DataFra
 
 
 def _stacked(tags: Column) -> Column:
-    near = "array<struct<ord: int, label: string>>"
+    near = "array<struct<ord: int, s: int, e: int, label: string>>"
     start = F.struct(
-        F.expr("cast(array() as array<struct<ord: int, s: int, e: int, label: string>>)").alias("open"),
+        F.expr(f"cast(array() as {near})").alias("open"),
         F.expr(f"cast(array() as array<struct<ord: int, around: {near}>>)").alias("out"),
     )
 
@@ -75,9 +78,7 @@ def _stacked(tags: Column) -> Column:
         # what ends before this one begins can enclose nothing later; an empty tag at that very place is still inside
         still = F.filter(a["open"], lambda o: (o["e"] > t["start"]) | ((o["e"] == t["start"]) & (t["end"] == t["start"])) | (o["s"] == t["start"]))
         own = F.struct(t["ord"].cast("int").alias("ord"), t["start"].cast("int").alias("s"), t["end"].cast("int").alias("e"), t["label"].alias("label"))
-        around = F.transform(
-            F.filter(still, lambda o: (o["s"] <= t["start"]) & (o["e"] >= t["end"])), lambda o: F.struct(o["ord"].alias("ord"), o["label"].alias("label"))
-        )
+        around = F.filter(still, lambda o: (o["s"] <= t["start"]) & (o["e"] >= t["end"]))
         found = F.struct(t["ord"].cast("int").alias("ord"), around.alias("around"))
         return F.struct(F.concat(still, F.array(own)).alias("open"), F.concat(a["out"], F.array(found)).alias("out"))
 
@@ -110,11 +111,20 @@ def gaps(sections: DataFrame, lengths: DataFrame, key: str = "doc_id") -> DataFr
 
 
 def is_header(body: Column, words: tuple[str, ...] = HEADER_WORDS, longest: int = 50) -> Column:
-    flat = F.trim(F.regexp_replace(F.lower(body), r"\s+", " "))
-    hit = F.lit(False)
-    for w in words:
-        hit = hit | flat.contains(w)
-    return (F.length(flat) < longest) & hit
+    """Whether a text is short, white space made one space, and has one of the words; null for null."""
+
+    def told(flat: Column) -> Column:
+        hit = F.lit(False)
+        for w in words:
+            hit = hit | flat.contains(w)
+        return (F.length(flat) < longest) & hit
+
+    return _let(F.trim(F.regexp_replace(F.lower(body), r"\s+", " ")), told)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once: the one element of an array is bound to a lambda's variable."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def norm_header(header: Column) -> Column:
@@ -124,16 +134,18 @@ def norm_header(header: Column) -> Column:
 
 def header_types(header: Column) -> Column:
     """Sorted semantic types of a header; Other if none."""
-    flat = norm_header(header)
 
-    def holds(pieces: tuple[str, ...]) -> Column:
+    def holds(flat: Column, pieces: tuple[str, ...]) -> Column:
         out = F.lit(False)
         for p in pieces:
             out = out | flat.contains(p)
         return out
 
-    found = F.array_compact(F.array(*(F.when(holds(yes) & ~holds(no), F.lit(t)) for t, (yes, no) in HEADER_TYPES.items())))
-    return F.when(F.size(found) > 0, F.array_sort(found)).otherwise(F.array(F.lit("Other")))
+    def found(flat: Column) -> Column:
+        return F.array_compact(F.array(*(F.when(holds(flat, yes) & ~holds(flat, no), F.lit(t)) for t, (yes, no) in HEADER_TYPES.items())))
+
+    types = _let(norm_header(header), found)
+    return F.when(F.size(types) > 0, F.array_sort(types)).otherwise(F.array(F.lit("Other")))
 
 
 def header_types_sql(flat: str) -> str:
