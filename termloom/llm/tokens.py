@@ -17,6 +17,7 @@ table; any other text, and any with a special token's string in it, goes to the
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -94,12 +95,19 @@ class Counter:
             return sum([known[p] for p in pieces])
 
 
+@functools.lru_cache(maxsize=1)
+def worker_counter(path: str, digest: str) -> Counter:
+    """One counter for all tasks of a worker process: the library gives back only part of a loaded tokenizer's memory, so that
+    a new one in each task would let a worker grow with the number of its tasks."""
+    return Counter(path)
+
+
 def _encode(path: str, digest: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        counter = Counter(path)
+        counter = worker_counter(path, digest)
         for b in batches:
             yield pd.DataFrame(
                 {"content_digest": b["content_digest"], "tokenizer_digest": digest, "n_tokens": [counter.count(t) for t in b["text"]]}
@@ -123,13 +131,15 @@ def cached(spark, cache: str, digest: str) -> DataFrame | None:
 
 def fill_cache(docs: DataFrame, cache: str, path: str) -> None:
     """Encode each distinct text of ``docs`` that the cache lacks and append its count. Copies are combined before anything is
-    shuffled, so a text that a third of the rows have is one row for each task."""
+    shuffled, so a text that a third of the rows have is one row for each task. The counts, short rows, are gathered into as many
+    files as there are cores before they are written, however many tasks encoded."""
     spark, digest = docs.sparkSession, tokenizer_digest(path)
     misses = _digests(docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text"))).dropDuplicates(["content_digest"])
     known = cached(spark, cache, digest)
     if known is not None:
         misses = misses.join(known.select("content_digest"), "content_digest", "left_anti")
-    misses.mapInPandas(_encode(path, digest), CACHE).write.mode("append").parquet(cache)
+    counts = misses.mapInPandas(_encode(path, digest), CACHE).repartition(spark.sparkContext.defaultParallelism)
+    counts.write.mode("append").parquet(cache)
 
 
 def count_tokens(docs: DataFrame, path: str, cache: str | None = None, over: int = OVER) -> DataFrame:

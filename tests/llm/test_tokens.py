@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -56,6 +57,38 @@ def test_the_query_encodes_nothing_twice(spark):
     assert tokens.fill_cache(table(spark, "/root/testdata/sf0.001", "documents"), cache, PATH) is None and spark.read.parquet(cache).count() == rows
 
 
+def test_tasks_of_a_worker_share_one_counter(monkeypatch):
+    """A worker loads the tokenizer once: its memory does not grow with its tasks."""
+    made = []
+
+    class Noted(tokens.Counter):
+        def __init__(self, path):
+            made.append(path)
+            super().__init__(path)
+
+    monkeypatch.setattr(tokens, "Counter", Noted)
+    for words in (["some text", "more"], ["some text", "other words"]):
+        batch = pd.DataFrame({"content_digest": words, "text": words})
+        (out,) = tokens._encode(PATH, "digest of this test")(iter([batch]))
+        assert out["n_tokens"].tolist() == [count(t) for t in words]
+    assert made == [PATH]
+
+
+def test_few_files_from_many_tasks(spark):
+    """One append of the cache writes a file a core at most, whatever the number of shuffle partitions."""
+    cache, cores = scratch_path(spark, "tokens-test"), spark.sparkContext.defaultParallelism
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", 4 * cores)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tokens.fill_cache(spark.range(400).selectExpr("concat('words of ', id) AS text"), cache, PATH)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    stored = spark.read.parquet(cache)
+    assert len(stored.inputFiles()) <= cores and stored.count() == 400
+
+
 def test_a_hot_text(spark):
     """A text that most rows have is dealt over tasks; every row gets its count."""
     docs = spark.range(3000).selectExpr("id AS doc_id", "if(id % 10 < 8, 'the same words', concat('words of ', id)) AS text")
