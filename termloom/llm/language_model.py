@@ -4,7 +4,10 @@ Classes: the ``WORDS`` most frequent training tokens, the text's end, and ``SHAP
 other tokens. The model has an embedding for each class as context and as target, a diagonal context matrix for each of the
 two places before the target, and a bias: s(w | u, v) = (c1 * Q[u] + c2 * Q[v]) . R[w] + b[w].
 
-Training: every task runs mini-batches over the texts it reads, real targets against noise drawn from the unigram,
+Texts are read once more after the tokens are counted: their classes, two bytes a token, are settled, and training and
+scoring take them from there.
+
+Training: every task runs mini-batches over the texts it has, real targets against noise drawn from the unigram,
 from one common start; the replicas' parameters are averaged by a distributed aggregate of bounded width and a second
 round starts from the mean. Every position of every training document is a target once, in one of the rounds.
 
@@ -23,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,8 +46,10 @@ STRIDE = ROUNDS
 BATCH = 2048
 NOISE = 96
 RATE = 0.1
-#: Texts scored at a time.
+#: Texts read at a time.
 SLICE = 500
+#: Classes as they are settled.
+SETTLED = np.dtype("<i2")
 #: Distinct tokens that a task counts before it hands them on.
 HELD = 400_000
 
@@ -144,44 +150,81 @@ def contexts(cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return one, two
 
 
+class Work:
+    """Room for the arrays of a step, kept from one to the next: giving them back and taking them anew costs as much as the step."""
+
+    def __init__(self):
+        self.n = 0
+
+    def fit(self, n: int) -> None:
+        if n > self.n:
+            self.n = n
+            self.u, self.v, self.h, self.real, self.dh, self.product = (np.empty((n, DIM), np.float32) for _ in range(6))
+            self.down = np.empty((n, NOISE), np.float32)
+            self.values, self.in_order = np.empty((3 * n, DIM), np.float32), np.empty((3 * n, DIM), np.float32)
+            size = 2 * CLASSES * DIM + 2 * DIM + CLASSES
+            self.g, self.square = np.empty(size, np.float32), np.empty(size, np.float32)
+
+
+_WORK = Work()
+
+
 def nce_step(p: Parameters, grad2: np.ndarray, one, two, target, noise, log_noise) -> None:
     """One mini-batch: logistic regression of each target against NOISE shared noise classes; AdaGrad."""
     n = len(target)
-    u, v = p.q[one], p.q[two]
-    h = u * p.c1 + v * p.c2
-    real = p.r[target]
-    up = 1 / (1 + np.exp(-np.clip((h * real).sum(1) + p.b[target] - log_noise[target], -30, 30))) - 1
+    _WORK.fit(n)
+    u, v, h, real, dh, product, down = (x[:n] for x in (_WORK.u, _WORK.v, _WORK.h, _WORK.real, _WORK.dh, _WORK.product, _WORK.down))
+    np.take(p.q, one, axis=0, out=u, mode="clip")  # the other modes copy
+    np.take(p.q, two, axis=0, out=v, mode="clip")
+    np.take(p.r, target, axis=0, out=real, mode="clip")
+    np.multiply(u, p.c1, out=h)
+    h += np.multiply(v, p.c2, out=product)
+    up = 1 / (1 + np.exp(-np.clip(np.einsum("ij,ij->i", h, real) + p.b[target] - log_noise[target], -30, 30))) - 1
     other = p.r[noise]
-    down = h @ other.T
-    down += p.b[noise] - log_noise[noise]
-    np.negative(np.clip(down, -30, 30, out=down), out=down)
+    np.matmul(h, -other.T, out=down)
+    down += log_noise[noise] - p.b[noise]
+    np.minimum(down, 30, out=down)
     np.exp(down, out=down)
     down += 1
     np.reciprocal(down, out=down)
-    dh = up[:, None] * real + down @ other
-    k = CLASSES * DIM
-    g = np.zeros_like(p.vector)
-    gq, gr, gb = g[:k].reshape(CLASSES, DIM), g[k : 2 * k].reshape(CLASSES, DIM), g[2 * k + 2 * DIM :]
-    _scatter(gq, np.concatenate((one, two)), np.concatenate((dh * p.c1, dh * p.c2)))
-    _scatter(gr, target, up[:, None] * h)
-    _scatter(gr, noise, down.T @ h)
-    g[2 * k : 2 * k + DIM], g[2 * k + DIM : 2 * k + 2 * DIM] = (dh * u).sum(0), (dh * v).sum(0)
-    gb += np.bincount(target, weights=up, minlength=CLASSES) + np.bincount(noise, weights=down.sum(0), minlength=CLASSES)
+    np.matmul(down, other, out=dh)
+    dh += np.multiply(real, up[:, None], out=product)
+    g, k = _WORK.g, CLASSES * DIM
+    g[:] = 0
+    both = g[: 2 * k].reshape(2 * CLASSES, DIM)
+    values, in_order = _WORK.values[: 3 * n], _WORK.in_order[: 3 * n]
+    np.multiply(dh, p.c1, out=values[:n])
+    np.multiply(dh, p.c2, out=values[n : 2 * n])
+    np.multiply(h, up[:, None], out=values[2 * n :])
+    rows = np.concatenate((one, two, target), dtype=np.int16, casting="unsafe")  # they fit, and 16 bits are sorted by radix
+    rows[2 * n :] += CLASSES
+    order = np.argsort(rows, kind="stable")
+    rows = rows[order]
+    at = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
+    both[rows[at]] = np.add.reduceat(np.take(values, order, axis=0, out=in_order, mode="clip"), at, axis=0)
+    np.add.at(both, noise + CLASSES, down.T @ h)
+    g[2 * k : 2 * k + DIM] = np.einsum("ij,ij->j", dh, u)
+    g[2 * k + DIM : 2 * k + 2 * DIM] = np.einsum("ij,ij->j", dh, v)
+    g[2 * k + 2 * DIM :] = np.bincount(target, weights=up, minlength=CLASSES) + np.bincount(noise, weights=down.sum(0), minlength=CLASSES)
     g /= n
-    grad2 += g * g
-    p.vector -= RATE * g / (np.sqrt(grad2) + 1e-6)
+    square = _WORK.square
+    grad2 += np.multiply(g, g, out=square)
+    np.sqrt(grad2, out=square)
+    square += 1e-6
+    g *= RATE
+    p.vector -= np.divide(g, square, out=g)
 
 
-def _scatter(into: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    order = np.argsort(rows.astype(np.int16), kind="stable")  # classes fit, and 16 bits are sorted by radix
-    sorted_rows = rows[order]
-    at = np.flatnonzero(np.concatenate(([True], sorted_rows[1:] != sorted_rows[:-1])))
-    into[sorted_rows[at]] += np.add.reduceat(values[order], at, axis=0)
+def _classes(vocabulary, batch: pd.DataFrame) -> Iterator[np.ndarray]:
+    """The classes of a batch's texts: as settled, or else read now."""
+    if "_classes" in batch:
+        return (np.frombuffer(c, SETTLED) for c in batch["_classes"])
+    return (vocabulary.value.read(tokens(t))[1] for t in batch["_bytes"])
 
 
 def _train(vocabulary, start: np.ndarray, unigram: np.ndarray, turn: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, p = vocabulary.value, Parameters(start.copy())
+        p = Parameters(start.copy())
         grad2 = np.full_like(p.vector, 1e-4)
         log_noise = np.log(NOISE * unigram).astype(np.float32)
         edges, g = np.cumsum(unigram), np.random.default_rng(turn)
@@ -194,8 +237,7 @@ def _train(vocabulary, start: np.ndarray, unigram: np.ndarray, turn: int):
             nce_step(p, grad2, one, two, target, noise, log_noise)
 
         for b in batches:
-            for t in b["_bytes"]:
-                _, cls = own.read(tokens(t))
+            for cls in _classes(vocabulary, b):
                 one, two = contexts(cls)
                 for lo in range(turn, len(cls), STRIDE * BATCH):
                     part = slice(lo, min(len(cls), lo + STRIDE * BATCH), STRIDE)
@@ -213,11 +255,11 @@ def _train(vocabulary, start: np.ndarray, unigram: np.ndarray, turn: int):
     return run
 
 
-def train(texts: DataFrame, vocabulary, unigram: np.ndarray) -> Parameters:
-    """``texts`` has the training documents as ``_bytes``."""
+def train(texts: DataFrame, unigram: np.ndarray) -> Parameters:
+    """``texts`` has the training documents' ``_classes``."""
     p = Parameters.start(unigram)
     for turn in range(ROUNDS):
-        replicas = texts.mapInPandas(_train(vocabulary, p.vector, unigram, turn), "at int, total double, weight double")
+        replicas = texts.mapInPandas(_train(None, p.vector, unigram, turn), "at int, total double, weight double")
         mean = replicas.groupBy("at").agg((F.sum("total") / F.sum("weight")).alias("value")).collect()  # one row a parameter
         if mean:
             v = p.vector.copy()
@@ -226,29 +268,49 @@ def train(texts: DataFrame, vocabulary, unigram: np.ndarray) -> Parameters:
     return p
 
 
-def _score(vocabulary, tables):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _read(vocabulary, cost: np.ndarray):
+    """What scoring takes from the texts themselves; ``cost``: of each class, the log10 of what its tokens share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = vocabulary.value
-        a1, a2, z = tables.value
-        for b in (b.iloc[lo : lo + SLICE] for b in batches for lo in range(0, len(b), SLICE)):
-            out: dict[str, list] = {c: [] for c in ("n_tokens", "n_frequent", "log_counts", "log_model", "shapes", "rare")}
-            for t in b["_bytes"]:
+        for b in (b.slice(lo, SLICE) for b in batches for lo in range(0, b.num_rows, SLICE)):
+            out: dict[str, list] = {c: [] for c in ("n_tokens", "n_frequent", "log_counts", "log_share", "_classes")}
+            rare, rare_times, ends = [], [], [0]
+            for t in b.column("_bytes").to_pylist():
                 words = tokens(t)
                 place, cls = own.read(words)
-                one, two = contexts(cls)
-                known = place >= 0
-                logs = own.log_count[place[known]]
+                known = place[place >= 0]
+                logs = own.log_count[known]
                 out["n_tokens"].append(len(cls))
-                out["n_frequent"].append(int(known.sum()))
+                out["n_frequent"].append(len(known))
                 out["log_counts"].append(float(logs.sum()))
-                as_shape = cls[:-1] > WORDS
-                model = float((a1[one, cls] + a2[two, cls] - z[one, two]).sum(dtype=np.float64)) / np.log(10)
-                out["log_model"].append(model + float(own.log_count[place[known & as_shape]].sum()))
-                out["shapes"].append(np.bincount(cls[:-1][as_shape] - 1 - WORDS, minlength=SHAPES).tolist() if as_shape.any() else [])
-                rare = Counter(words[i] for i in np.flatnonzero(~known).tolist())
-                out["rare"].append([{"token": w, "n": n} for w, n in rare.items()])
-            keep = {c: b[c].to_numpy() for c in b.columns if c != "_bytes"}
-            yield pd.DataFrame({**keep, **out})
+                out["log_share"].append(float(logs[known >= WORDS].sum() - cost[cls].sum()))
+                out["_classes"].append(cls.astype(SETTLED).tobytes())
+                if len(known) < len(place):
+                    times = Counter(words[i] for i in np.flatnonzero(place < 0).tolist())
+                    rare.extend(times.keys())
+                    rare_times.extend(times.values())
+                ends.append(len(rare))
+            pairs = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(rare_times, pa.int32())], ["token", "n"])
+            made = {c: pa.array(v, _READ[c]) for c, v in out.items()} | {"rare": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)}
+            keep = [c for c in b.schema.names if c != "_bytes"]
+            yield pa.RecordBatch.from_arrays([*map(b.column, keep), *made.values()], names=[*keep, *made])
+
+    return run
+
+
+_READ = {"n_tokens": pa.int64(), "n_frequent": pa.int64(), "log_counts": pa.float64(), "log_share": pa.float64(), "_classes": pa.binary()}
+
+
+def _score(tables):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        a1, a2, z = tables.value
+        for b in batches:
+            model = []
+            for cls in _classes(None, b):
+                one, two = contexts(cls)
+                model.append(float((a1[one, cls] + a2[two, cls] - z[one, two]).sum(dtype=np.float64)) / np.log(10))
+            yield pd.DataFrame({"_rid": b["_rid"].to_numpy(), "_model": model})
 
     return run
 
@@ -304,34 +366,36 @@ def score_documents(docs: DataFrame) -> DataFrame:
     share[1 + WORDS :] += [by_shape.get(s, (0, 0))[0] for s in range(SHAPES)]
     unigram = share / share.sum()
     vocabulary = spark.sparkContext.broadcast(own)
-    p = train(training, vocabulary, unigram)
-    tables = spark.sparkContext.broadcast(p.tables())
+    cost = np.zeros(CLASSES)
+    cost[1 + WORDS :] = [np.log10(sum(by_shape.get(s, (0, 0))) + 1) for s in range(SHAPES)]
     columns = (
-        "_rid long, doc_id string, held_out boolean, n_tokens long, n_frequent long, log_counts double, log_model double, "
-        "shapes array<int>, rare array<struct<token: binary, n: int>>"
+        "_rid long, doc_id string, held_out boolean, n_tokens long, n_frequent long, log_counts double, log_share double, "
+        "_classes binary, rare array<struct<token: binary, n: int>>"
     )
-    scored = settle(source.mapInPandas(_score(vocabulary, tables), columns), "scored")
-    rare = scored.select("_rid", F.explode("rare").alias("r")).select("_rid", F.col("r.token").alias("token"), F.col("r.n").alias("times"))
-    known = (
-        rare.join(counts.where(F.col("n") < least), "token")
-        .groupBy("_rid")
-        .agg(F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("_logs"), F.sum("times").alias("_known"))
+    read = settle(source.mapInArrow(_read(vocabulary, cost), columns), "read-texts")
+    p = train(read.where("NOT held_out").select("_classes"), unigram)
+    tables = spark.sparkContext.broadcast(p.tables())
+    model = read.select("_rid", "_classes").mapInPandas(_score(tables), "_rid long, _model double")
+    rare = read.select("_rid", F.explode("rare").alias("r")).select("_rid", F.col("r.token").alias("token"), F.col("r.n").alias("times"))
+    known = rare.join(counts.where(F.col("n") < least), "token").select(
+        "_rid", (F.col("times") * F.log10(F.col("n") + 1.0)).alias("_logs"), F.col("times").cast("long").alias("_known"), F.lit(0.0).alias("_model")
     )
-    spread = [float(np.log10(by_shape.get(s, (0, 0))[0] + by_shape.get(s, (0, 0))[1] + 1)) for s in range(SHAPES)]
-    logs, more = F.coalesce("_logs", F.lit(0.0)), F.coalesce("_known", F.lit(0))
-    lost = F.aggregate(
-        F.zip_with("shapes", F.lit(spread), lambda n, x: F.coalesce(n, F.lit(0)) * x), F.lit(0.0), lambda a, x: a + x
+    looked_up = (  # one row of the model for each text beside those of its rare tokens
+        known.unionByName(model.select("_rid", F.lit(0.0).alias("_logs"), F.lit(0).cast("long").alias("_known"), "_model"))
+        .groupBy("_rid")
+        .agg(*(F.sum(c).alias(c) for c in ("_logs", "_known", "_model")))
     )
     end_logs = float(np.log10(ends + 1))
-    base = F.col("log_counts") + logs + F.lit(end_logs) - F.col("n_tokens") * F.lit(float(np.log10(total + distinct + 1)))
-    return scored.join(known, "_rid", "left").select(
+    base = F.col("log_counts") + F.col("_logs") + F.lit(end_logs) - F.col("n_tokens") * F.lit(float(np.log10(total + distinct + 1)))
+    numbers = read.drop("_classes", "rare")
+    return numbers.join(looked_up, "_rid").select(
         F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"),
         "held_out",
         "n_tokens",
-        (F.col("n_frequent") + more + F.lit(int(ends > 0))).cast("long").alias("n_known"),
+        (F.col("n_frequent") + F.col("_known") + F.lit(int(ends > 0))).cast("long").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         base.alias("base_score"),
-        (F.col("log_model") + logs - lost).alias("score"),
+        (F.col("_model") + F.col("log_share") + F.col("_logs")).alias("score"),
     )
 
 

@@ -10,6 +10,7 @@ from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 from termloom.llm import language_model as L
 from termloom.runtime import table
@@ -104,3 +105,50 @@ def test_every_position_is_a_target_once(monkeypatch):
         run = L._train(SimpleNamespace(value=own), L.Parameters.start(unigram).vector, unigram, turn)
         list(run(iter([pd.DataFrame({"_bytes": texts})])))
     assert (seen == want).all()
+
+
+def test_training_on_settled_classes():
+    """Texts are read once: a replica from their settled classes is the one from the texts themselves."""
+    texts = [b" ".join(b"w%d" % (k * k % 11) for k in range(n)) for n in (0, 1, 5, 400, 2 * L.BATCH + 3)] + [" rare é 日本 12 ".encode()]
+    words = [b"w%d" % k for k in range(9)]
+    own = L.Vocabulary(words, [1] * 9, [L.shape(w) for w in words], len(texts))
+    unigram = np.full(L.CLASSES, 1 / L.CLASSES)
+    start = L.Parameters.start(unigram).vector
+    batch = pa.RecordBatch.from_pydict({"_rid": list(range(len(texts))), "_bytes": texts})
+    read = pa.Table.from_batches(L._read(SimpleNamespace(value=own), np.zeros(L.CLASSES))(iter([batch]))).to_pandas()
+    assert [list(np.frombuffer(c, L.SETTLED)) for c in read["_classes"]] == [list(own.read(L.tokens(t))[1]) for t in texts]
+    (direct,) = L._train(SimpleNamespace(value=own), start, unigram, 0)(iter([pd.DataFrame({"_bytes": texts})]))
+    (settled,) = L._train(None, start, unigram, 0)(iter([read]))
+    assert (direct["weight"] == settled["weight"]).all() and np.array_equal(direct["total"], settled["total"])
+
+
+def test_step_against_the_plain_formula():
+    """Steps of changing sizes give the parameters of a plain AdaGrad step in double precision."""
+    g = np.random.default_rng(4)
+    unigram = np.full(L.CLASSES, 1 / L.CLASSES)
+    p = L.Parameters.start(unigram)
+    q, r, c1, c2, b = (x.astype(np.float64) for x in (p.q, p.r, p.c1, p.c2, p.b))
+    grad2 = np.full_like(p.vector, 1e-4)
+    sums = [np.full_like(x, 1e-4) for x in (q, r, c1, c2, b)]
+    log_noise = np.log(L.NOISE * unigram).astype(np.float32)
+    for n in (700, 64, 900, 1):
+        one, two, target = g.integers(0, 40, (3, n))
+        noise = g.integers(0, 40, L.NOISE)  # some occur twice
+        h = q[one] * c1 + q[two] * c2
+        up = 1 / (1 + np.exp(-((h * r[target]).sum(1) + b[target] - log_noise[target]))) - 1
+        down = 1 / (1 + np.exp(-(h @ r[noise].T + b[noise] - log_noise[noise])))
+        dh = up[:, None] * r[target] + down @ r[noise]
+        grads = [np.zeros_like(x) for x in (q, r, c1, c2, b)]
+        np.add.at(grads[0], one, dh * c1)
+        np.add.at(grads[0], two, dh * c2)
+        np.add.at(grads[1], target, up[:, None] * h)
+        np.add.at(grads[1], noise, down.T @ h)
+        grads[2] += (dh * q[one]).sum(0)
+        grads[3] += (dh * q[two]).sum(0)
+        np.add.at(grads[4], target, up)
+        np.add.at(grads[4], noise, down.sum(0))
+        for x, gx, s in zip((q, r, c1, c2, b), grads, sums, strict=True):
+            s += (gx / n) ** 2
+            x -= L.RATE * (gx / n) / (np.sqrt(s) + 1e-6)
+        L.nce_step(p, grad2, one, two, target, noise, log_noise)
+        assert np.allclose(p.vector, np.concatenate([x.ravel() for x in (q, r, c1, c2, b)]), atol=1e-4)
