@@ -20,7 +20,7 @@ from termloom import __version__
 from termloom.functions import tagging
 from termloom.operators import segmenting
 from termloom.operators import sentences as S
-from termloom.runtime import exists
+from termloom.runtime import exists, sorted_side
 from termloom.sources import manifests, readers, sinks
 
 STAGES = {
@@ -178,7 +178,7 @@ class Corpus:
         text = readers.render_fielded(fields).select(F.col("doc_id").cast("long").alias("line_no"), "text")
         errors = fields.where("error IS NOT NULL").select(F.col("doc_id").cast("long").alias("line_no"), "error")
         # every document has a row, an empty one if it failed or its file is missing
-        return todo.select("line_no", "target").join(text, "line_no", "left").join(errors, "line_no", "left").withColumn("text", F.coalesce("text", F.lit("")))
+        return todo.select("line_no", "target").join(sorted_side(text), "line_no", "left").join(sorted_side(errors), "line_no", "left").withColumn("text", F.coalesce("text", F.lit("")))
 
     def _lines(self, todo: DataFrame) -> DataFrame:
         """The lines of texts that an earlier stage has cleaned."""
@@ -208,7 +208,7 @@ class Corpus:
         """Documents with their lines as one text."""
         listed = lines.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(order.alias("at"), F.col(line).alias("line")))).alias("l"))
         text = listed.select(F.col("doc_id").alias("line_no"), F.array_join(F.col("l.line"), "\n").alias("text"))
-        return todo.select("line_no", "target").join(text, "line_no", "left").withColumn("text", F.coalesce("text", F.lit("")))
+        return todo.select("line_no", "target").join(sorted_side(text), "line_no", "left").withColumn("text", F.coalesce("text", F.lit("")))
 
     def _tag2chk(self, todo: DataFrame, options: dict) -> DataFrame:
         sections = S.sections_of(self._lines(todo))
@@ -220,10 +220,10 @@ class Corpus:
         sents = S.title_nouns(sents) if wanted else sents
         rows = S.feature_rows(S.chunks_of(S.with_verbs(sents) if self.language == "en" else sents, schema), self.language)
         slim = rows.select("doc_id", "sent_id", "cs", "section", "term", "features", *(["lead_nouns"] if wanted else []))
-        terms = S.candidates(slim, wanted).join(years, "doc_id", "left")
+        terms = S.candidates(slim, wanted).join(sorted_side(years), "doc_id", "left")
         made = terms.select(F.col("doc_id").alias("line_no"), F.struct("uid", F.coalesce("year", F.lit("9999")).alias("year"), "term", "features").alias("t"))
         lists = made.groupBy("line_no").agg(F.collect_list("t").alias("terms"))
-        return todo.select("line_no", "target").join(lists, "line_no", "left").withColumn("terms", F.coalesce("terms", F.array().cast(lists.schema["terms"].dataType)))
+        return todo.select("line_no", "target").join(sorted_side(lists), "line_no", "left").withColumn("terms", F.coalesce("terms", F.array().cast(lists.schema["terms"].dataType)))
 
     STAGE = {"populate": "_populate", "xml2txt": "_xml2txt", "txt2tag": "_tag", "txt2seg": "_txt2seg", "seg2tag": "_tag", "tag2chk": "_tag2chk"}
 
@@ -265,7 +265,7 @@ class Corpus:
 
 def pending(inputs: DataFrame, done: DataFrame, key: str = "doc_id") -> DataFrame:
     """Inputs of a stage that its output lacks: reruns append what is missing, whatever was lost."""
-    return inputs.join(done.select(key), key, "left_anti")
+    return inputs.join(sorted_side(done.select(key)), key, "left_anti")
 
 
 def processing_time(runs: DataFrame) -> DataFrame:
@@ -285,7 +285,7 @@ def earliest_options(runs: DataFrame) -> DataFrame:
 
 def add_to_repository(repository: DataFrame, batch: DataFrame, key: str = "doc_id") -> DataFrame:
     """Rows of ``batch`` to append: unknown keys, the first of each."""
-    return batch.join(repository.select(key), key, "left_anti").dropDuplicates([key])
+    return batch.join(sorted_side(repository.select(key)), key, "left_anti").dropDuplicates([key])
 
 
 def repository_size(files: DataFrame) -> DataFrame:
@@ -294,7 +294,7 @@ def repository_size(files: DataFrame) -> DataFrame:
 
 def view(ids: DataFrame, repository: DataFrame, key: str = "doc_id") -> DataFrame:
     """Listed ids with their path, null where the repository has none."""
-    return ids.join(repository, key, "left")
+    return ids.join(sorted_side(repository), key, "left")
 
 
 def view_coverage(ids: DataFrame, present: DataFrame, key: str = "doc_id") -> DataFrame:

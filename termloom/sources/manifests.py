@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termloom.runtime import sorted_side
+
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """(line_no, value) of a manifest file; a manifest is one small file, so its lines keep the order of one partition."""
@@ -62,7 +64,7 @@ def prefer_gz(files: DataFrame, path: str = "path") -> DataFrame:
 
 def populate(manifest: DataFrame, files: DataFrame) -> DataFrame:
     """Manifest rows with their content; ``missing`` marks those without a file."""
-    met = manifest.join(files.select(F.col("path").alias("source"), "content"), "source", "left")
+    met = manifest.join(sorted_side(files.select(F.col("path").alias("source"), "content")), "source", "left")
     return met.withColumn("missing", F.col("content").isNull())
 
 

@@ -113,6 +113,18 @@ def test_a_killed_run_is_continued(spark, tmp_path):
         cut.run_stage("xml2txt", 1)  # no more input
 
 
+def test_no_stage_broadcasts_what_grows_with_the_corpus(spark, tmp_path):
+    made = _corpus(spark, f"{tmp_path}/a")
+    made.run(limit=2)
+    for before, step in zip([None, *made.pipeline], made.pipeline, strict=False):
+        inputs = made.manifest if before is None else made.table(before.stage)
+        for frame in (corpus.pending(inputs, made.table(step.stage), "line_no"), getattr(made, made.STAGE[step.stage])(inputs, {})):
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert "Join" in plan and "Broadcast" not in plan, (step, plan)
+    for frame in (corpus.view(made.manifest, made.table("populate"), "line_no"), corpus.add_to_repository(made.table("populate"), made.table("populate"), "line_no")):
+        assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
 def test_options_make_versions(spark, tmp_path):
     steps = corpus.parse_pipeline(["populate", "xml2txt", "txt2tag", "tag2chk --candidate-filter=on --chunker-rules=en_w_of"])
     kept = _corpus(spark, f"{tmp_path}/a", pipeline=steps)
