@@ -14,8 +14,9 @@ from termloom.functions import features, tagging, text
 from termloom.operators import corpus, sections, segmenting, stats
 from termloom.operators import sentences as S
 from termloom.operators import structure as D
+from termloom.operators.occurrences import chunk_rows
 from termloom.plans import chunking
-from termloom.plans.catalog import _BASE, _BASIC_SQL, _SPANS, _TITLE_SQL, _VERB_SQL, _chunks, _islands_sql, _scan_sql, _spans, query, ORACLES
+from termloom.plans.catalog import _BASE, _BASIC_SQL, _SPANS, _TITLE_SQL, _VERB_SQL, _chunks, _islands_sql, _scan_sql, _spans, _texts, _uid, query, ORACLES
 from termloom.runtime import scratch_path, table
 from termloom.sources import manifests, readers, sinks
 
