@@ -334,8 +334,7 @@ def chunks_of_a_schema_file(spark, d):
 SELECT uid, term, array_to_string(list_concat(list_concat(toks[1:cs], ['<np>' || array_to_string(toks[cs + 1:ce], ' ') || '</np>']), toks[ce + 1:]), ' ') AS sentence FROM u JOIN m USING (doc_id, sent_id)""")
 def highlighted_terms(spark, d):
     """uid, term and the sentence with the term marked, escaped."""
-    marked = _chunks(spark, d, "en").withColumn("sentence", S.highlight(F.col("toks"), F.col("cs"), F.col("ce")))
-    return S.candidates(marked.select("doc_id", "sent_id", "cs", "term", "sentence"), False).select("uid", "term", "sentence")
+    return chunk_rows(_texts(spark, d), "en", "ordinal", "term", "marked").select(_uid().alias("uid"), "term", F.col("marked").alias("sentence"))
 
 
 _NOUN_SQL = _scan_sql("N", "regexp_matches({tag}, '^[JD]') AND prep = ''")
