@@ -345,8 +345,7 @@ _NOUN_SQL = _scan_sql("N", "regexp_matches({tag}, '^[JD]') AND prep = ''")
 SELECT vn.doc_id, vn.sent_id, vn.chunk AS cs, array_to_string(list_concat([v], coalesce(preps, [])[1:2]), '_') || '|' || word || '|' || prep AS prev_vnp
 FROM vn JOIN k3 ON vn.doc_id = k3.doc_id AND vn.sent_id = k3.sent_id AND vn.noun = k3.cs WHERE v IS NOT NULL""")
 def features_prev_vnp(spark, d):
-    rows = S.feature_rows(S.chunks_of(S.with_verbs(S.document_sentences(_docs(spark, d, "text"))), "en"), "en", ["prev_VNP"]).where(F.size("features") > 0)
-    return rows.select("doc_id", "sent_id", "cs", F.substring(F.element_at("features", 1), 10, 10_000).alias("prev_vnp"))
+    return chunk_rows(_texts(spark, d), "en", "sent_id", "cs", "value", names=["prev_VNP"]).withColumnRenamed("value", "prev_vnp")
 
 
 def _near(test: str, most: str = "0") -> str:
