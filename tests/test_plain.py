@@ -93,7 +93,7 @@ def test_other_columns_and_large_documents(spark):
 
 
 @pytest.mark.parametrize("name", [
-    "features_english", "highlighted_terms", "features_prev_v", "features_prev_vnp",
+    "features_english", "highlighted_terms", "features_prev_v", "features_prev_vnp", "features_prev_npr",
 ])
 def test_no_expression_tree_is_walked_for_each_token(spark, name):
     """Before, these queries took most of their time in lambdas of columns, and some sorted every chunk to number it."""
