@@ -387,11 +387,7 @@ def _own_features(language: str, values: dict[str, str]) -> None:
     listed = ", ".join(f"'{k}=' || replace({v}, ' ', '_')" for k, v in values.items())
 
     def run(spark, d):
-        pairs = F.create_map(*(F.lit(x) for p in names.items() for x in p))
-        tag = lambda t: F.struct(t["tok"].alias("tok"), t["lc"].alias("lc"), F.coalesce(F.get(F.array(pairs[t["tag"]]), F.lit(0)), t["tag"]).alias("tag"))
-        sents = S.document_sentences(_docs(spark, d, "text")).withColumn("toks", F.transform("toks", tag))
-        rows = S.feature_rows(S.chunks_of(sents, language), language, list(values))
-        return rows.select("doc_id", "sent_id", "cs", F.array_join("features", "\t").alias("features"))
+        return chunk_rows(_texts(spark, d), language, "sent_id", "cs", "features", language=language, names=list(values), retag=names)
 
     run.__name__ = f"features_{language}"
     run.__doc__ = "The language's own features, over the rules tagger's tags under its tag set's names."
