@@ -314,7 +314,7 @@ def document_subjects(spark, d):
 def chunks_cn(spark, d):
     """These texts have none of the adjectives that may start but not continue a Chinese chunk, so windows give its chunks too; the
     automaton's test has them."""
-    return _chunks(spark, d, "cn").select("doc_id", "sent_id", "cs", "ce", "term", "tag_sig")
+    return chunk_rows(_texts(spark, d), "cn", "sent_id", "cs", "ce", "term", "tag_sig")
 
 
 _SCHEMA_LINES = ["start_pat\tNN", "start_pat\tNNS", "cont_pat\tNN", "cont_pat\tNNS", "cont_pat\tIN + of", "", "end_pat\tNN - that hewh", "end_pat\tNNS"]
