@@ -68,29 +68,16 @@ def sentences_of(lines: DataFrame, key: str = "doc_id", pretagged: bool = False)
 
 def document_tokens(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame:
     """The sentences of ``document_sentences`` with ``tokens`` (array<string>) in place of tagged ones."""
+    from termloom.operators import occurrences
 
-    def of_line(line: Column, n: Column) -> Column:
-        parts = F.filter(tagging.split_sentences(text.fix_line(line)), lambda s: s.rlike(r"\S"))
-        made = F.transform(parts, lambda s: F.struct((n == 0).alias("title"), s.alias("s")))
-        return F.when(text.keep_line(line), made).otherwise(F.slice(made, 1, 0))
-
-    cut = docs.select(key, F.flatten(F.transform(F.split(F.col(body), "\n", -1), of_line)).alias("_s"))
-    lead = F.size(F.filter("_s", lambda x: x["title"]))
-    rows = cut.select(key, lead.alias("_lead"), F.posexplode("_s").alias("sent_id", "_x"))
-    title = F.col("_x.title")
-    return rows.select(
-        key,
-        "sent_id",
-        F.when(title, "TITLE").otherwise("DESC").alias("section"),
-        F.when(title, F.col("sent_id")).otherwise(F.col("sent_id") - F.col("_lead")).alias("sent_in_section"),
-        tagging.split_tokens(F.col("_x.s")).alias("tokens"),
-    )
+    return occurrences.sentence_rows(docs.select(key, body), body, tags=False)
 
 
 def document_sentences(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame:
-    """What ``sentences_of(title_sections(lines_of(docs)))`` gives, made inside each row: one pass over the texts, no shuffle."""
-    rows = document_tokens(docs, key, body)
-    return rows.select(key, "sent_id", "section", "sent_in_section", tagging.tagged(F.col("tokens")).alias("toks"))
+    """What ``sentences_of(title_sections(lines_of(docs)))`` gives of documents whose key is theirs alone: one pass over the texts, no shuffle."""
+    from termloom.operators import occurrences
+
+    return occurrences.sentence_rows(docs.select(key, body), body)
 
 
 def chunks_of(sentences: DataFrame, schema: str | chunking.Schema, key: str = "doc_id") -> DataFrame:

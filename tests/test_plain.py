@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from termloom.functions import plain
 from termloom.operators import sentences as S
-from termloom.operators.occurrences import chunk_rows
+from termloom.operators.occurrences import chunk_rows, token_rows
 from termloom.plans import catalog, catalog_more, chunking
 
 WORDS = """the of in to on and is was had been be made using coated built up , . ; ? 3 3.5 1,000 x9 Red glass method Fig figure more most such said e.g. others glass dress uses
@@ -31,6 +31,10 @@ def docs(spark):
     return spark.createDataFrame(rows, "doc_id long, text string").repartition(3).cache()
 
 
+def columns_of(docs):
+    return S.sentences_of(S.title_sections(S.lines_of(docs)))
+
+
 def same(a, b, *columns):
     rows = lambda f: sorted(map(tuple, f.select(*columns).collect()), key=repr)
     one, two = rows(a), rows(b)
@@ -40,7 +44,7 @@ def same(a, b, *columns):
 
 
 def test_sentences_and_tags(docs):
-    want = {(r["doc_id"], r["sent_id"]): (r["section"], r["sent_in_section"], [tuple(t) for t in r["toks"]]) for r in S.document_sentences(docs).collect()}
+    want = {(r["doc_id"], r["sent_id"]): (r["section"], r["sent_in_section"], [tuple(t) for t in r["toks"]]) for r in columns_of(docs).collect()}
     lexer, got = plain.Lexer(), {}
     lexer.MOST = 50  # all is forgotten again and again
     for k, text in enumerate(odd_texts()):
@@ -49,16 +53,35 @@ def test_sentences_and_tags(docs):
     assert got == want and len(got) > 1000
 
 
+def test_sentences_and_tokens_in_batches(docs):
+    columns = "doc_id", "sent_id", "section", "sent_in_section"
+    same(S.document_sentences(docs), columns_of(docs), *columns, "toks")
+    same(S.document_tokens(docs).withColumnRenamed("tokens", "t"), columns_of(docs).withColumn("t", F.col("toks.tok")), *columns, "t")
+    exploded = columns_of(docs).select("doc_id", "sent_id", F.size("toks").alias("n"), F.posexplode("toks").alias("i", "t")).select("doc_id", "sent_id", "i", "n", "t.lc", "t.tag")
+    same(token_rows(docs), exploded, "doc_id", "sent_id", "i", "n", "lc", "tag")
+
+
+@pytest.mark.parametrize("name", sorted(n for n, s in chunking.SCHEMAS.items() if s.islands_ok()))
+def test_islands_of_counted_tokens(docs, name):
+    made = chunking.islands(token_rows(docs), chunking.SCHEMAS[name], "doc_id", "sent_id")
+    same(made, chunk_rows(docs, name, "sent_id", "cs", "ce"), "doc_id", "sent_id", "cs", "ce")
+
+
+def test_islands_shuffle_only_what_may_stand_in_a_chunk(docs):
+    plan = chunking.islands(token_rows(docs), chunking.SCHEMAS["en"], "doc_id", "sent_id")._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and plan.count("Exchange hash") == 1 and plan.index("Exchange hash") < plan.rindex("Filter") < plan.index("MapInArrow")
+
+
 @pytest.mark.parametrize("schema", sorted(chunking.SCHEMAS))
 def test_chunks(docs, schema):
     columns = "sent_id", "section", "sent_in_section", "cs", "ce", "phrase", "term", "tag_sig"
-    same(chunk_rows(docs, schema, *columns), S.chunks_of(S.document_sentences(docs), schema), "doc_id", *columns)
+    same(chunk_rows(docs, schema, *columns), S.chunks_of(columns_of(docs), schema), "doc_id", *columns)
 
 
 @pytest.mark.parametrize("language", ["en", "de", "cn"])
 def test_features(docs, language):
     names = RETAG.get(language, {})
-    sents = S.document_sentences(docs)
+    sents = columns_of(docs)
     if names:
         pairs = F.create_map(*(F.lit(x) for p in names.items() for x in p))
         tag = lambda t: F.struct(t["tok"].alias("tok"), t["lc"].alias("lc"), F.coalesce(F.get(F.array(pairs[t["tag"]]), F.lit(0)), t["tag"]).alias("tag"))
@@ -69,13 +92,13 @@ def test_features(docs, language):
 
 
 def test_one_feature(docs):
-    want = S.feature_rows(S.chunks_of(S.document_sentences(docs), "en"), "en", ["prev_Npr"]).where(F.size("features") > 0)
+    want = S.feature_rows(S.chunks_of(columns_of(docs), "en"), "en", ["prev_Npr"]).where(F.size("features") > 0)
     got = chunk_rows(docs, "en", "sent_id", "cs", "value", names=["prev_Npr"])
     same(got, want.withColumn("value", F.substring(F.element_at("features", 1), 10, 10_000)), "doc_id", "sent_id", "cs", "value")
 
 
 def test_candidates_and_marked_sentences(docs):
-    chunks = S.chunks_of(S.title_nouns(S.document_sentences(docs)), "en").withColumn("marked", S.highlight(F.col("toks"), F.col("cs"), F.col("ce")))
+    chunks = S.chunks_of(S.title_nouns(columns_of(docs)), "en").withColumn("marked", S.highlight(F.col("toks"), F.col("cs"), F.col("ce")))
     got = chunk_rows(docs, "en", "ordinal", "leads", "term", "marked").withColumn("uid", F.concat_ws("_", "doc_id", "ordinal"))
     same(got, S.candidates(chunks, False), "uid", "term", "marked")
     same(got.where("leads"), S.candidates(chunks, True), "uid", "term")
@@ -93,8 +116,8 @@ def test_other_columns_and_large_documents(spark):
 
 
 @pytest.mark.parametrize("name", [
-    "features_english", "highlighted_terms", "features_prev_v", "features_prev_vnp", "features_prev_npr", "features_cn", "features_de", "features_basic", "title_noun_filter",
-    "feature_lines", "chunks_en_w_of", "chunks_en_w_lists", "chunks_de", "chunks_en_w_verbs", "chunks_en_w_of_org", "features_prev_jpr", "chunks_cn", "type_token_counts",
+    "features_english", "highlighted_terms", "features_prev_v", "features_prev_vnp", "features_prev_npr", "features_cn", "features_basic", "features_de", "title_noun_filter", "feature_lines",
+    "chunks_en_w_of", "chunks_en_w_lists", "chunks_de", "chunks_en_w_verbs", "features_prev_jpr", "chunks_cn", "type_token_counts", "chunks_en_w_of_org",
 ])
 def test_no_expression_tree_is_walked_for_each_token(spark, name):
     """Before, these queries took most of their time in lambdas of columns, and some sorted every chunk to number it."""
