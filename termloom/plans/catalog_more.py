@@ -326,7 +326,7 @@ _SCHEMA_LINES = ["start_pat\tNN", "start_pat\tNNS", "cont_pat\tNN", "cont_pat\tN
 SELECT doc_id, sent_id, CAST(cs AS INT) AS cs, CAST(CASE WHEN last = mx THEN mx ELSE le END AS INT) AS last FROM h WHERE cs IS NOT NULL AND (last = mx OR le >= cs)""")
 def chunks_of_a_schema_file(spark, d):
     """Chunks by a schema read from lines."""
-    made = S.chunks_of(S.document_sentences(_docs(spark, d, "text")), chunking.parse_schema(_SCHEMA_LINES))
+    made = chunk_rows(_texts(spark, d), chunking.parse_schema(_SCHEMA_LINES), "sent_id", "cs", "ce")
     return made.select("doc_id", "sent_id", "cs", (F.col("ce") - 1).alias("last"))
 
 

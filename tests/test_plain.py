@@ -117,7 +117,7 @@ def test_other_columns_and_large_documents(spark):
 
 @pytest.mark.parametrize("name", [
     "features_english", "highlighted_terms", "features_prev_v", "features_prev_vnp", "features_prev_npr", "features_cn", "features_basic", "features_de", "title_noun_filter", "feature_lines",
-    "chunks_en_w_of", "chunks_en_w_lists", "chunks_de", "chunks_en_w_verbs", "features_prev_jpr", "chunks_cn", "type_token_counts", "chunks_en_w_of_org",
+    "chunks_en", "chunks_en_w_of", "chunks_en_w_lists", "chunks_de", "chunks_en_w_verbs", "features_prev_jpr", "chunks_cn", "type_token_counts", "chunks_en_w_of_org",
 ])
 def test_no_expression_tree_is_walked_for_each_token(spark, name):
     """Before, these queries took most of their time in lambdas of columns, and some sorted every chunk to number it."""
