@@ -55,6 +55,28 @@ def _body(start: Column, end: Column) -> Column:
     return F.substring("text", start + 1, F.greatest(end - start, F.lit(0)))
 
 
+#: Characters in a block of text: a piece far into a text is cut out of the blocks that hold it, not found by walking from the start.
+BLOCK = 512
+
+
+def _blocks(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def _piece(blocks: Column, start: Column, n: Column) -> Column:
+    """``n`` characters from ``start`` of the text in blocks."""
+    first = F.floor(start / BLOCK).cast("int")
+    held = F.slice(blocks, first + 1, F.floor((start % BLOCK + n) / BLOCK).cast("int") + 1)
+    return F.substring(F.array_join(held, ""), start % BLOCK + 1, n)
+
+
+def _is_heading(blocks: Column, start: Column, end: Column) -> Column:
+    """``structure.is_header`` of a piece; where its beginning is too long already, white space made one, the rest is not looked at."""
+    n = F.greatest(end - start, F.lit(0))
+    begin = F.trim(F.regexp_replace(_piece(blocks, start, F.least(n, F.lit(100))), r"\s+", " "))
+    return F.when(F.length(begin) > 50, False).otherwise(S.is_header(_piece(blocks, start, n)))
+
+
 def _linked(sections: DataFrame, key: str) -> DataFrame:
     """Add ``parent_id``: of the longer sections around each the one that begins last, ties by id."""
     order = Window.partitionBy(key).orderBy("start", F.desc("end"), "section_id")
@@ -69,39 +91,61 @@ SECTION = ("section_id", "parent_id", "struct", "types", "language", "title", "s
 
 
 def patent_sections(texts: DataFrame, tags: DataFrame, key: str = "doc_id") -> DataFrame:
-    """A row for each selected tag (see ``structure_tags``, ``markup_tags``): inherited and header types, claims numbered."""
-    placed = S.in_order(tags, key).join(texts.select(key, "text"), key).withColumn("body", _body(F.col("start"), F.col("end"))).drop("text")
-    heading = (F.col("name") == "p") & S.is_header(F.col("body"))
-    named = placed.withColumn("name", F.when(heading, "heading").otherwise(F.col("name")))
+    """A row for each selected tag (see ``structure_tags``, ``markup_tags``): inherited and header types, claims numbered.
+
+    A document's tags meet in one row and its text meets them there, once; what is then exploded knows all that surrounds it, so nothing
+    is joined back. The text goes on only where ``body`` is asked for.
+    """
+    tag = F.struct("start", (-F.col("end")).alias("back"), "tag_id", "end", "name", "struct", F.col("attrs")["lang"].alias("language"))
+    listed = tags.groupBy(key).agg(F.array_sort(F.collect_list(tag)).alias("_t"))
     kinds = F.create_map(*(F.lit(x) for pair in S.TAG_TYPES.items() for x in pair))
-    typed = named.withColumn("_own", kinds[F.col("name")])
-    above = S.enclosing(typed, F.col("_own"), key)
-    inherited = F.filter(F.col("around")["label"], lambda x: x.isNotNull())
-    own = F.array_compact(F.array("_own"))
-    nodes = (
-        typed.join(above, [key, "ord"], "left")
-        .withColumn("_base", F.concat(inherited, own))
-        .withColumn("is_header", F.col("name") == "heading")
-        .withColumn("is_stop", F.col("name") == "claims")
-        .withColumn("types", F.when(F.col("name") == "heading", S.header_types(F.col("body"))))
+
+    def named(t: Column, i: Column) -> Column:
+        heading = (t["name"] == "p") & _is_heading(F.col("_b"), t["start"], t["end"])
+        name = F.when(heading, "heading").otherwise(t["name"])
+        return F.struct((i + 1).alias("ord"), t["start"].alias("start"), t["end"].alias("end"), name.alias("name"), t["struct"].alias("struct"), t["language"].alias("language"))
+
+    def typed(t: Column) -> Column:
+        body = _piece(F.col("_b"), t["start"], F.greatest(t["end"] - t["start"], F.lit(0)))
+        own = F.get(F.array(kinds[t["name"]]), F.lit(0))
+        head = F.when(t["name"] == "heading", S.header_types(body))
+        return F.struct(t.alias("t"), own.alias("own"), head.alias("head"), F.when(t["name"] == "claim", S.claim_references(body)).alias("refs"))
+
+    known = (
+        listed.join(texts.select(key, "text"), key)
+        .withColumn("_b", _blocks(F.col("text")))
+        .withColumn("_t", F.transform("_t", named))
+        .withColumn("_t", F.transform("_t", typed))
+        .withColumn("_a", S.stacked(F.transform("_t", lambda x: F.struct(x["t"]["ord"].alias("ord"), x["t"]["start"].alias("start"), x["t"]["end"].alias("end"), x["own"].alias("label")))))
     )
+    rows = known.select(key, "text", F.explode(F.arrays_zip("_t", "_a")).alias("_x")).select(key, "text", "_x._t.*", F.col("_x._a.around").alias("around")).select(
+        key, "text", "t.*", "own", "head", "refs", "around"
+    )
+    longer = F.filter("around", lambda o: o["e"] - o["s"] > F.col("end") - F.col("start"))
+    nearest = F.array_max(F.transform(longer, lambda o: F.struct(o["s"].alias("s"), o["ord"].alias("id"))))
+    inherited = F.filter(F.col("around")["label"], lambda x: x.isNotNull())
+    nodes = rows.select(
+        key, "ord", "name", "struct", "language", "start", "end", "refs",
+        nearest["id"].alias("parent_id"), F.concat(inherited, F.array_compact(F.array("own"))).alias("_base"), F.col("head").alias("types"),
+        (F.col("name") == "heading").alias("is_header"), (F.col("name") == "claims").alias("is_stop"), _body(F.col("start"), F.col("end")).alias("body"),
+    )
     spread = S.spread_headers(nodes, key).withColumn("types", F.when(F.col("header_types").isNull(), F.col("_base")).otherwise(S.with_header_types(F.col("_base"), F.col("header_types"))))
     claim = F.col("name") == "claim"
     number = F.sum(claim.cast("int")).over(Window.partitionBy(key).orderBy("ord"))
-    rows = spread.select(
+    return spread.select(
         key,
         F.col("ord").alias("section_id"),
+        "parent_id",
         "struct",
         "types",
-        F.col("attrs")["lang"].alias("language"),
+        "language",
         F.lit(None).cast("string").alias("title"),
         "start",
         "end",
         F.when(claim, number).cast("int").alias("claim_number"),
-        F.when(claim, S.claim_references(F.col("body"))).alias("parent_claims"),
+        F.col("refs").alias("parent_claims"),
         "body",
-    )
-    return _linked(rows, key).select(key, *SECTION)
+    ).select(key, *SECTION)
 
 
 def article_sections(texts: DataFrame, tags: DataFrame, key: str = "doc_id", reach: int = 30) -> DataFrame:

@@ -64,10 +64,11 @@ def enclosing(ordered: DataFrame, label: Column, key: str = "doc_id") -> DataFra
     """
     tag = F.struct("ord", "start", "end", label.alias("label"))
     each = ordered.groupBy(key).agg(F.array_sort(F.collect_list(tag)).alias("_t"))
-    return each.select(key, F.explode(_stacked(F.col("_t"))).alias("_f")).select(key, F.col("_f.ord").alias("ord"), F.col("_f.around").alias("around"))
+    return each.select(key, F.explode(stacked(F.col("_t"))).alias("_f")).select(key, F.col("_f.ord").alias("ord"), F.col("_f.around").alias("around"))
 
 
-def _stacked(tags: Column) -> Column:
+def stacked(tags: Column) -> Column:
+    """``enclosing`` of one document: array<struct<ord, around>> of its tags (ord, start, end, label) in order."""
     near = "array<struct<ord: int, s: int, e: int, label: string>>"
     start = F.struct(
         F.expr(f"cast(array() as {near})").alias("open"),

@@ -100,3 +100,29 @@ def test_header_types(spark):
     got = {r["h"]: r["t"] for r in frame.select("h", S.header_types(F.col("h")).alias("t")).collect()}
     assert got["Materials and Methods"] == ["Materials", "Methods"] and got["xyz"] == ["Other"]
     assert got["Summary"] == ["Conclusion", "Summary"] and got["Summary of the Invention"] == ["Summary"] and got["Field of the Invention"] == ["Field"]
+
+
+def test_pieces_of_blocks(spark):
+    """Pieces anywhere in a long text, and whether they are headings, as the text itself says."""
+    import random
+
+    r = random.Random(3)
+    text = "".join(r.choices(["the ", "Field\t", "summary", "é", "文", "𝄞", "\n", " ", " " * 70, "background"], k=900))
+    spans = [(a, b) for a, b in ((r.randrange(len(text) + 9), r.randrange(len(text) + 9)) for _ in range(600)) if a <= b]
+    spans += [(a, a + r.randrange(140)) for a in r.choices(range(len(text)), k=600)] + [(0, len(text)), (0, 0), (len(text), len(text) + 5)]
+    frame = spark.createDataFrame([(text, a, b) for a, b in spans], "text string, a int, b int")
+    start, end = F.col("a"), F.col("b")
+    piece = F.substring("text", start + 1, end - start)
+    made = frame.select(X._piece(X._blocks(F.col("text")), start, end - start).alias("p"), X._is_heading(X._blocks(F.col("text")), start, end).alias("h"), S.is_header(piece).alias("want"))
+    got = made.collect()
+    assert [x["p"] for x in got] == [text[a:b] for a, b in spans]
+    assert [x["h"] for x in got] == [x["want"] for x in got] and {x["h"] for x in got} == {True, False}
+
+
+def test_text_and_tags_are_shuffled_once(spark):
+    texts = spark.createDataFrame([(1, "a b")], "doc_id int, text string")
+    tags = spark.createDataFrame([(1, 1, "p", {"lang": "en"}, 0, 3)], "doc_id int, tag_id int, name string, attrs map<string,string>, start int, end int").withColumn("struct", F.col("name"))
+    made = X.patent_sections(texts, tags)
+    assert made.select("section_id", "types", "parent_id", "body").collect() == [(1, [], None, "a b")]
+    plan = made.select("doc_id", "types", "parent_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hash") == 2, plan
