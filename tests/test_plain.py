@@ -72,6 +72,14 @@ def test_islands_shuffle_only_what_may_stand_in_a_chunk(docs):
     assert "lambda" not in plan and plan.count("Exchange hash") == 1 and plan.index("Exchange hash") < plan.rindex("Filter") < plan.index("MapInArrow")
 
 
+def test_kept_words_are_bounded():
+    lexer = plain.Lexer()
+    lexer.MOST = 10
+    text = " ".join(["a" * k for k in range(1, 120)]) + " end."
+    (s,) = lexer.sentences(text.encode())
+    assert len(s.words) == 121 and len(lexer.words) <= 10 and max(map(len, lexer.words)) <= lexer.LONGEST
+
+
 @pytest.mark.parametrize("schema", sorted(chunking.SCHEMAS))
 def test_chunks(docs, schema):
     columns = "sent_id", "section", "sent_in_section", "cs", "ce", "phrase", "term", "tag_sig"
